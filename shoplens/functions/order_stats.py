@@ -162,6 +162,14 @@ def cut_at(value: Column, edges: Sequence[float]) -> Column:
     return F.when(value.isNotNull(), code)
 
 
+def label_of(code: Column, names: Sequence[str]) -> Column:
+    """The name of a 1-based bin code; null stays null."""
+    case = F.lit(None).cast("string")
+    for rank, name in enumerate(names, start=1):
+        case = F.when(code == rank, name).otherwise(case)
+    return case
+
+
 def inner_edges(
     frame: DataFrame, column: str, shares: Sequence[float], on_ties: str = "raise"
 ) -> list[float]:

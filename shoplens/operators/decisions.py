@@ -2,11 +2,11 @@
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.expressions import clip_upper, half_even, number
-from shoplens.functions.order_stats import cut_at, exact_quantiles, inner_edges
+from shoplens.functions.order_stats import cut_at, exact_quantiles, inner_edges, label_of
 from shoplens.operators.lifetime_value import TIERS
 
 # Risk tiers in ascending order and the quantiles between them.
@@ -43,7 +43,7 @@ def churn_risk_tiers(scored: DataFrame, on_ties: str = "raise") -> DataFrame:
     """Add the risk tier, tertiles of the churn probability. Pass a stored table."""
     edges = inner_edges(scored, "ChurnProbability", RISK_CUTS, on_ties)
     code = cut_at(number(F.col("ChurnProbability")), edges)
-    return scored.withColumn("ChurnRiskTier", F.array(*map(F.lit, RISKS))[code - 1])
+    return scored.withColumn("ChurnRiskTier", label_of(code, RISKS))
 
 
 def join_segment(scored: DataFrame, clustered: DataFrame) -> DataFrame:
@@ -183,17 +183,16 @@ def priority_map(business: DataFrame, share: float = 0.97) -> DataFrame:
 def top_urgent(business: DataFrame, count: int = 20) -> DataFrame:
     """The most valuable urgent customers, or of all customers when none is urgent.
 
-    Urgent rows sort first, so the top rows are all urgent when any is; rows below the first
-    kind are then dropped. One top-k job, no look ahead.
+    Urgent rows sort first, so the top rows start with them when there are any; rows of the
+    other kind are then dropped. One top-k job; the window sees at most ``count`` rows.
     """
-    urgent = (F.col("Recommendation") == URGENT).cast("int")
     top = (
-        business.withColumn("_urgent", urgent)
+        business.withColumn("_urgent", (F.col("Recommendation") == URGENT).cast("int"))
         .orderBy(F.desc("_urgent"), F.desc_nulls_last("CLV_12m"), "CustomerID")
         .limit(count)
+        .withColumn("_kind", F.max("_urgent").over(Window.partitionBy()))
     )
-    any_urgent = business.agg(F.max(urgent)).scalar()
-    return top.filter(F.col("_urgent") == any_urgent).select(
+    return top.filter(F.col("_urgent") == F.col("_kind")).select(
         "CustomerID",
         "Segment",
         half_even(F.col("ChurnProbability"), 2).alias("ChurnProb"),

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.expressions import number, share_percent
@@ -44,25 +44,26 @@ def purchase_frequency(clean: DataFrame) -> DataFrame:
 
 
 def monthly_revenue(clean: DataFrame) -> DataFrame:
-    """Revenue per calendar month, months without sales included as 0."""
-    by_month = clean.groupBy(F.last_day(F.to_date("InvoiceDate")).alias("MonthEnd")).agg(
-        F.sum("TotalPrice").alias("Sales")
-    )
-    first_day = F.trunc("MonthEnd", "month")
-    spine = (
-        by_month.agg(
-            F.sequence(
-                F.min(first_day), F.max(first_day), F.make_ym_interval(F.lit(0), F.lit(1))
-            ).alias("Months")
-        )
-        .select(F.explode("Months").alias("Month"))
-        .select(F.last_day("Month").alias("MonthEnd"))
-    )
-    return (
-        spine.join(by_month, "MonthEnd", "left")
-        .select("MonthEnd", F.coalesce("Sales", F.lit(0).cast("decimal(33,2)")).alias("Revenue"))
-        .orderBy("MonthEnd")
+    """Revenue per calendar month, months without sales included as 0.
+
+    Each month is spread up to the next month with sales, so the transactions are read once and
+    the empty months need no join. The window sees one row per calendar month.
+    """
+    month = F.trunc(F.to_date("InvoiceDate"), "month").alias("Month")
+    by_month = clean.groupBy(month).agg(F.sum("TotalPrice").alias("Sales"))
+    following = F.lead("Month").over(Window.orderBy("Month"))
+    spread = by_month.withColumn(
+        "Last", F.coalesce(F.add_months(following, -1), F.col("Month"))
+    ).select(
+        "Sales",
+        F.posexplode(
+            F.sequence("Month", "Last", F.make_ym_interval(F.lit(0), F.lit(1)))
+        ).alias("Gap", "Month"),
     )
+    return spread.select(
+        F.last_day("Month").alias("MonthEnd"),
+        F.when(F.col("Gap") == 0, F.col("Sales")).otherwise(0).alias("Revenue"),
+    ).orderBy("MonthEnd")
 
 
 def eda_key_stats(invoices: DataFrame, customers: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.expressions import clip_lower, number
-from shoplens.functions.order_stats import cut_at, inner_edges
+from shoplens.functions.order_stats import cut_at, inner_edges, label_of
 from shoplens.functions.special import digamma, gammaln, hyp2f1
 from shoplens.sources.stages import store
 
@@ -479,17 +479,11 @@ def one_time_fallback(scored: DataFrame, spend: DataFrame) -> DataFrame:
     return joined.withColumn("CLV_12m", clip_lower(value, 0.0)).drop("ActualSpend")
 
 
-def tier_of(code: Column) -> Column:
-    case = F.lit(None).cast("string")
-    for rank, name in enumerate(TIERS, start=1):
-        case = F.when(code == rank, name).otherwise(case)
-    return case
-
-
 def clv_tiers(valued: DataFrame, on_ties: str = "raise") -> DataFrame:
     """Add the value tier, cut at the median and the 80th percentile. Pass a stored table."""
     edges = inner_edges(valued, "CLV_12m", TIER_CUTS, on_ties)
-    return valued.withColumn("CLV_Tier", tier_of(cut_at(number(F.col("CLV_12m")), edges)))
+    code = cut_at(number(F.col("CLV_12m")), edges)
+    return valued.withColumn("CLV_Tier", label_of(code, TIERS))
 
 
 def clv_tier_summary(valued: DataFrame) -> DataFrame:
