@@ -67,7 +67,7 @@ def ordered_keys(
     task_rows: int = TASK_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[int, tuple]:
-    """The rows at the given 0-based positions when ordered by ``columns`` (no nulls).
+    """The rows at the given 0-based positions when ordered by ``columns`` (numbers, no nulls).
 
     Works one column at a time: find the leading value at a position, then look for the rest
     among the rows tied on it. ``frame`` is read several times, so pass a stored table.
@@ -75,35 +75,64 @@ def ordered_keys(
     positions = sorted(set(positions))
     if not positions:
         return {}
-    head, tail = columns[0], list(columns[1:])
     total = frame.count()
     if total <= task_rows:
-        row = frame.agg(
-            F.array_sort(F.collect_list(F.struct(*columns))).alias("ordered")
-        ).select(*[F.col("ordered")[p].alias(f"p{p}") for p in positions]).first()
-        return {p: tuple(row[f"p{p}"]) for p in positions}
+        return _gathered(frame, columns, positions)
+    # The sketch compares doubles, which cannot tell long neighbours apart: a long is looked up
+    # as its upper and its lower 32 bits.
+    kinds = dict(frame.dtypes)
+    parts: dict[str, list[Column]] = {
+        c: [F.shiftright(c, 32), F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))]
+        if kinds[c] == "bigint"
+        else [F.col(c)]
+        for c in columns
+    }
+    split = frame.select(*[p.alias(f"{c}_{i}") for c in columns for i, p in enumerate(parts[c])])
+    found = _tied_search(split, split.columns, positions, total, task_rows, accuracy)
+    out = {}
+    for position, values in found.items():
+        rest = iter(values)
+        out[position] = tuple(
+            (next(rest) << 32) + next(rest) if len(parts[c]) == 2 else next(rest) for c in columns
+        )
+    return out
+
+
+def _gathered(frame: DataFrame, columns: Sequence[str], positions: Sequence[int]) -> dict:
+    """Rows at the positions of a frame small enough for one task."""
+    row = (
+        frame.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("ordered"))
+        .select(*[F.col("ordered")[p].alias(f"p{p}") for p in positions])
+        .first()
+    )
+    return {p: tuple(row[f"p{p}"]) for p in positions}
+
+
+def _tied_search(frame, columns, positions, total, task_rows, accuracy) -> dict[int, tuple]:
+    if total <= task_rows:
+        return _gathered(frame, columns, positions)
+    head, tail = columns[0], columns[1:]
     heads = _narrowed(frame.select(head), head, total, positions, task_rows, accuracy)
     if not tail:
         return {p: (v,) for p, v in heads.items()}
     found: dict[int, tuple] = {}
     for value in set(heads.values()):
-        below = frame.filter(F.col(head) < F.lit(value)).count()
-        mine = {p - below: p for p, v in heads.items() if v == value}
-        tied = frame.filter(F.col(head) == F.lit(value))
-        for p, rest in ordered_keys(tied, tail, list(mine), task_rows, accuracy).items():
-            found[mine[p]] = (value, *rest)
+        around = frame.agg(
+            F.count_if(F.col(head) < F.lit(value)).alias("below"),
+            F.count_if(F.col(head) == F.lit(value)).alias("tied"),
+        ).first()
+        mine = {p - around.below: p for p, v in heads.items() if v == value}
+        tied = frame.filter(F.col(head) == F.lit(value)).select(*tail)
+        rest = _tied_search(tied, tail, sorted(mine), around.tied, task_rows, accuracy)
+        for p, values in rest.items():
+            found[mine[p]] = (value, *values)
     return found
 
 
 def _narrowed(frame, column, total, positions, task_rows, accuracy) -> dict:
     """Values at sorted positions of one column, by bracketing."""
     if total <= task_rows:
-        row = (
-            frame.agg(F.array_sort(F.collect_list(column)).alias("ordered"))
-            .select(*[F.col("ordered")[p].alias(f"p{p}") for p in positions])
-            .first()
-        )
-        return {p: row[f"p{p}"] for p in positions}
+        return {p: v for p, (v,) in _gathered(frame, [column], positions).items()}
     value = F.col(column)
     slack = 2.0 / accuracy
     shares = [p / (total - 1) for p in positions]
@@ -171,18 +200,22 @@ def label_of(code: Column, names: Sequence[str]) -> Column:
 
 
 def inner_edges(
-    frame: DataFrame, column: str, shares: Sequence[float], on_ties: str = "raise"
-) -> list[float]:
-    """Inner bin edges of a quantile cut, ends left out.
+    frame: DataFrame, cuts: dict[str, Sequence[float]], on_ties: str = "raise"
+) -> dict[str, list[float]]:
+    """Inner bin edges of the quantile cuts of several columns, ends left out.
 
     Tied edges leave fewer bins than labels. ``on_ties="raise"`` refuses that; ``"merge"`` keeps
     the labels of the bins that remain (a value on tied edges takes the lowest).
     """
     if on_ties not in ("raise", "merge"):
         raise ValueError(f"on_ties must be 'raise' or 'merge', not {on_ties!r}")
-    quantiles = exact_quantiles(frame, {column: [0.0, *shares, 1.0]})[column]
-    if quantiles[0] is None:
-        return []
-    if on_ties == "raise" and len(set(quantiles)) < len(quantiles):
-        raise ValueError(f"bin edges of {column} are not unique: {quantiles}")
-    return quantiles[1:-1]
+    found = exact_quantiles(frame, {c: [0.0, *shares, 1.0] for c, shares in cuts.items()})
+    edges = {}
+    for column, quantiles in found.items():
+        if quantiles[0] is None:
+            edges[column] = []
+            continue
+        if on_ties == "raise" and len(set(quantiles)) < len(quantiles):
+            raise ValueError(f"bin edges of {column} are not unique: {quantiles}")
+        edges[column] = quantiles[1:-1]
+    return edges

@@ -92,7 +92,7 @@ def fit_forest(
         maxDepth=depth,
         seed=seed,
         # All trees of one level fit one pass when the node statistics may use this much memory.
-        maxMemoryInMB=1024,
+        maxMemoryInMB=512,
     ).fit(data)
 
 

@@ -41,8 +41,8 @@ LOW_PRIORITY = ("Low-cost Automation Only", "Minimal Spend")
 
 def churn_risk_tiers(scored: DataFrame, on_ties: str = "raise") -> DataFrame:
     """Add the risk tier, tertiles of the churn probability. Pass a stored table."""
-    edges = inner_edges(scored, "ChurnProbability", RISK_CUTS, on_ties)
-    code = cut_at(number(F.col("ChurnProbability")), edges)
+    edges = inner_edges(scored, {"ChurnProbability": RISK_CUTS}, on_ties)
+    code = cut_at(number(F.col("ChurnProbability")), edges["ChurnProbability"])
     return scored.withColumn("ChurnRiskTier", label_of(code, RISKS))
 
 

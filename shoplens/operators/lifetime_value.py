@@ -202,10 +202,12 @@ def likelihood_sums(
         .mapInPandas(partial_sums, schema)
         .groupBy("trial")
         .agg(*[F.sum(c).alias(c) for c in sum_names])
-        .orderBy("trial")
         .collect()  # one row per trial
     )
-    return [(r.n, r.value, np.array([r[f"g{j}"] for j in range(width)])) for r in rows]
+    return [
+        (r.n, r.value, np.array([r[f"g{j}"] for j in range(width)]))
+        for r in sorted(rows, key=lambda r: r.trial)
+    ]
 
 
 @dataclass(frozen=True)
@@ -229,7 +231,8 @@ def _fit(
 ) -> Fit:
     """Minimize -mean log-likelihood + penalty * sum(theta^2) over log-parameters (BFGS).
 
-    Each step tries several step lengths in the same Spark job.
+    A step costs one Spark job; only when the full step fails are shorter ones tried, all in one
+    more job.
     """
 
     def evaluate(points: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
@@ -248,20 +251,24 @@ def _fit(
     if not np.isfinite(objective):
         raise ArithmeticError("the likelihood is not finite at the start; is the table empty?")
     inverse = np.eye(width)
+    standing = 0
     for step in range(max_steps):
         if np.max(np.abs(slope)) < tolerance:
             break
         direction = -inverse @ slope
         if direction @ slope >= 0:
             inverse, direction = np.eye(width), -slope
-        direction *= min(1.0, 3.0 / np.max(np.abs(direction)))
-        lengths = [1.0, 0.5, 0.2, 0.05, 0.005]
-        trials = evaluate([point + t * direction for t in lengths])
-        usable = [
-            (t, f, g)
-            for t, (f, g) in zip(lengths, trials)
-            if f <= objective + 1e-4 * t * (direction @ slope)
-        ]
+        direction *= min(1.0, 4.0 / np.max(np.abs(direction)))
+        usable = []
+        for lengths in ([1.0], [0.4, 0.15, 0.04, 0.005]):
+            trials = evaluate([point + t * direction for t in lengths])
+            usable = [
+                (t, f, g)
+                for t, (f, g) in zip(lengths, trials)
+                if f <= objective + 1e-4 * t * (direction @ slope)
+            ]
+            if usable:
+                break
         if not usable:
             if np.max(np.abs(slope)) < 1e-4:  # rounding hides further progress
                 break
@@ -277,7 +284,12 @@ def _fit(
                 inverse = np.eye(width) * curvature / (turned @ turned)
             left = np.eye(width) - np.outer(moved, turned) / curvature
             inverse = left @ inverse @ left.T + np.outer(moved, moved) / curvature
+        gained = objective - new_objective
         point, objective, slope = point + moved, new_objective, new_slope
+        # A parameter running to its boundary keeps moving long after the objective stands still.
+        standing = standing + 1 if gained < 1e-8 * max(1.0, abs(objective)) else 0
+        if standing == 3:
+            break
     else:
         raise ArithmeticError(f"the likelihood fit did not converge in {max_steps} steps")
 
@@ -481,8 +493,8 @@ def one_time_fallback(scored: DataFrame, spend: DataFrame) -> DataFrame:
 
 def clv_tiers(valued: DataFrame, on_ties: str = "raise") -> DataFrame:
     """Add the value tier, cut at the median and the 80th percentile. Pass a stored table."""
-    edges = inner_edges(valued, "CLV_12m", TIER_CUTS, on_ties)
-    code = cut_at(number(F.col("CLV_12m")), edges)
+    edges = inner_edges(valued, {"CLV_12m": TIER_CUTS}, on_ties)
+    code = cut_at(number(F.col("CLV_12m")), edges["CLV_12m"])
     return valued.withColumn("CLV_Tier", label_of(code, TIERS))
 
 

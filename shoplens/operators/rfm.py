@@ -45,15 +45,18 @@ def rfm_table(clean: DataFrame) -> DataFrame:
     )
 
 
-def recency_score(rfm: DataFrame, on_ties: str = "raise") -> Column:
+def quintile_edges(rfm: DataFrame, on_ties: str = "raise") -> dict[str, list[float]]:
+    """Score edges of recency and monetary value, both from one pass."""
+    return inner_edges(rfm, {"Recency": QUINTILES, "Monetary": QUINTILES}, on_ties)
+
+
+def recency_score(edges: dict[str, list[float]]) -> Column:
     """5 for the most recent fifth, 1 for the least recent."""
-    edges = inner_edges(rfm, "Recency", QUINTILES, on_ties)
-    return 6 - cut_at(number(F.col("Recency")), edges)
+    return 6 - cut_at(number(F.col("Recency")), edges["Recency"])
 
 
-def monetary_score(rfm: DataFrame, on_ties: str = "raise") -> Column:
-    edges = inner_edges(rfm, "Monetary", QUINTILES, on_ties)
-    return cut_at(number(F.col("Monetary")), edges)
+def monetary_score(edges: dict[str, list[float]]) -> Column:
+    return cut_at(number(F.col("Monetary")), edges["Monetary"])
 
 
 def frequency_score(rfm: DataFrame) -> Column:
@@ -91,12 +94,13 @@ def first_rank(rfm: DataFrame, partitions: int | None = None) -> DataFrame:
 
 def score_rfm(rfm: DataFrame, on_ties: str = "raise") -> DataFrame:
     """Add the three scores, their digits as text and their sum: a projection, no shuffle."""
+    edges = quintile_edges(rfm, on_ties)
     return (
         rfm.withColumns(
             {
-                "R_Score": recency_score(rfm, on_ties),
+                "R_Score": recency_score(edges),
                 "F_Score": frequency_score(rfm),
-                "M_Score": monetary_score(rfm, on_ties),
+                "M_Score": monetary_score(edges),
             }
         )
         .withColumn("RFM_Score", score_text())

@@ -520,7 +520,7 @@ SELECTS = {
     "rfm_table": """SELECT CustomerID, Recency, Frequency, Monetary::DOUBLE AS Monetary
         FROM rfm""",
     "churn_dataset": f"SELECT {FEATURE_COLUMNS}, Churned FROM labelled",
-    "customer_features": f"SELECT {FEATURE_COLUMNS} FROM features",
+    "churn_features": f"SELECT {FEATURE_COLUMNS} FROM features",
     "live_features": f"SELECT {FEATURE_COLUMNS} FROM live",
     "segment_summary": """SELECT Segment, count(*) AS Customers,
         round(avg(Recency), 8) AS AvgRecency, round(avg(Frequency), 8) AS AvgFrequency,

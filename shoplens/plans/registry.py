@@ -465,7 +465,7 @@ def churn_dataset(spark, folder):
 
 
 @query
-def customer_features(spark, folder):
+def churn_features(spark, folder):
     clean = stored_clean(spark, folder)
     cutoff = cf.churn_cutoff(clean)
     return plain(cf.customer_features(cf.observation_window(clean, cutoff), cutoff))
@@ -598,7 +598,7 @@ def clv_summary_input(spark, folder):
 @query
 def recency_score(spark, folder):
     table = rfm_of(spark, folder)
-    return table.select("CustomerID", rfm.recency_score(table, "merge").alias("R_Score"))
+    return table.select("CustomerID", rfm.recency_score(rfm.quintile_edges(table, "merge")).alias("R_Score"))
 
 
 @query
@@ -610,7 +610,7 @@ def frequency_score(spark, folder):
 @query
 def monetary_score(spark, folder):
     table = rfm_of(spark, folder)
-    return table.select("CustomerID", rfm.monetary_score(table, "merge").alias("M_Score"))
+    return table.select("CustomerID", rfm.monetary_score(rfm.quintile_edges(table, "merge")).alias("M_Score"))
 
 
 @query

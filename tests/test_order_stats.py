@@ -61,6 +61,18 @@ def test_ordered_keys_break_ties_by_the_next_column(spark):
     frame.unpersist()
 
 
+def test_keys_wider_than_a_double_are_still_exact(spark):
+    rng = np.random.default_rng(8)
+    keys = [int(k) for k in rng.integers(2**59, 2**60, 1500)]
+    keys += [2**60 + i for i in range(500)]  # neighbours a double cannot tell apart
+    frame = spark.createDataFrame([(k,) for k in keys], "k long").repartition(3).cache()
+    positions = [0, 700, 1499, 1500, 1750, 1999]
+    ordered = sorted(keys)
+    got = ordered_keys(frame, ["k"], positions, **TINY)
+    assert got == {p: (ordered[p],) for p in positions}
+    frame.unpersist()
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-50, 50), min_size=5, max_size=60))
 def test_cut_equals_qcut(spark, values):
@@ -68,10 +80,10 @@ def test_cut_equals_qcut(spark, values):
         expected = pd.qcut(pd.Series(values, dtype=float), 5, labels=False) + 1
     except ValueError:
         with pytest.raises(ValueError, match="not unique"):
-            inner_edges(column(spark, values), "x", [0.2, 0.4, 0.6, 0.8])
+            inner_edges(column(spark, values), {"x": [0.2, 0.4, 0.6, 0.8]})
         return
     frame = column(spark, values)
-    edges = inner_edges(frame, "x", [0.2, 0.4, 0.6, 0.8])
+    edges = inner_edges(frame, {"x": [0.2, 0.4, 0.6, 0.8]})["x"]
     got = [r[0] for r in frame.select(cut_at(F.col("x"), edges)).collect()]
     assert got == list(expected)
 
@@ -79,8 +91,8 @@ def test_cut_equals_qcut(spark, values):
 def test_tied_edges_merge_on_request(spark):
     frame = column(spark, [1, 1, 1, 1, 2, 3])
     with pytest.raises(ValueError, match="not unique"):
-        inner_edges(frame, "x", [1 / 3, 2 / 3])
-    edges = inner_edges(frame, "x", [1 / 3, 2 / 3], on_ties="merge")
+        inner_edges(frame, {"x": [1 / 3, 2 / 3]})
+    edges = inner_edges(frame, {"x": [1 / 3, 2 / 3]}, on_ties="merge")["x"]
     assert [r[0] for r in frame.select(cut_at(F.col("x"), edges)).collect()] == [1, 1, 1, 1, 3, 3]
 
 
