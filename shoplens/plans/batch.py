@@ -14,7 +14,7 @@ from shoplens.operators import (
     rfm,
 )
 from shoplens.sources.stages import store
-from shoplens.sources.tables import read_stage, write_stage
+from shoplens.sources.tables import read_stage, write_csv, write_stage
 
 
 def live_scores(clean: DataFrame, trees: int = churn_models.FOREST_TREES) -> DataFrame:
@@ -57,14 +57,21 @@ def run(
     rounds: int = churn_models.BOOST_ROUNDS,
     restarts: int = clustering.RESTARTS,
     on_ties: str = "raise",
+    csv: bool = False,
 ) -> dict[str, str]:
-    """Run every stage over ``raw`` and return the written paths by table name."""
+    """Run every stage over ``raw`` and return the written paths by table name.
+
+    ``csv`` also writes each table as CSV under ``folder``/csv.
+    """
     paths: dict[str, str] = {}
 
     def stage(name: str, frame: DataFrame) -> DataFrame:
         paths[name] = f"{folder.rstrip('/')}/{name}"
         write_stage(frame, paths[name])
-        return read_stage(spark, paths[name])
+        written = read_stage(spark, paths[name])
+        if csv:
+            write_csv(written, f"{folder.rstrip('/')}/csv/{name}")
+        return written
 
     clean = stage("cleaned", cleaning.clean_transactions(raw))
     segments = stage("rfm_table", rfm.rfm_segments(rfm.rfm_table(clean), on_ties))

@@ -77,7 +77,8 @@ def test_partitioned_stage_prunes(spark, folder, tmp_path):
 
 def test_whole_batch(spark, folder, tmp_path):
     paths = batch.run(
-        spark, retail_raw(spark, folder), str(tmp_path / "out"), trees=10, rounds=3, restarts=2
+        spark, retail_raw(spark, folder), str(tmp_path / "out"), trees=10, rounds=3, restarts=2,
+        csv=True,
     )
     read = {name: tables.read_stage(spark, path) for name, path in paths.items()}
     customers = read["rfm_table"].count()
@@ -94,4 +95,8 @@ def test_whole_batch(spark, folder, tmp_path):
     assert read["dashboard_kpis"].first().TotalCustomers == customers
     assert 0 < read["dashboard_top_urgent"].count() <= 20
     business = read["business_recommendations"]
+    copied = tables.read_csv_table(
+        spark, str(tmp_path / "out" / "csv" / "business_recommendations"), business.schema
+    )
+    assert copied.count() == customers
     assert business.filter("Priority = 99").count() == 0
