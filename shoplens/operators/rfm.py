@@ -132,13 +132,13 @@ OTHER_SEGMENT = "Others"
 
 def segment() -> Column:
     """The named segment of a scored row, as one CASE expression."""
-    case = F
-    for name, *ranges in SEGMENT_RULES:
+    case = F.lit(OTHER_SEGMENT)
+    for name, *ranges in reversed(SEGMENT_RULES):
         match = F.lit(True)
         for column, (low, high) in zip(("R_Score", "F_Score", "M_Score"), ranges):
             match = match & F.col(column).between(low, high)
-        case = case.when(match, name)
-    return case.otherwise(OTHER_SEGMENT)
+        case = F.when(match, name).otherwise(case)
+    return case
 
 
 def rfm_segments(rfm: DataFrame, on_ties: str = "raise") -> DataFrame:
