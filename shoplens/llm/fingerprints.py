@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.words import joined_lines, mix, slices, split_words, word_hashes
 
 IDF_BAND = (math.log(10), math.log(500))
-SCALES, REPLICAS = 8, 8
+SCALES, REPLICAS = 11, 8
 KEEP = 1 << 22  # distinct terms that a task gathers before it hands their counts on
 EMPTY = "00000000"
 

@@ -136,55 +136,52 @@ def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fan_in: i
     return repeats.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
 
-def drop_repeated_lines(
-    docs: DataFrame, least: int = 10, batches: int = 4, fan_in: int = 2, text: str = "kept_text"
-) -> DataFrame:
-    """All columns of ``docs`` with n_lines, n_dropped and the text without repeated lines."""
-    repeats = repeated_lines(docs, least, batches, fan_in)
-    keys, place = f"keys_{uuid4().hex}", f"place_{uuid4().hex}"
-    lost = repeats.select(F.col("doc_id").alias(place), F.col("keys").alias(keys))
-    joined = docs.join(
-        lost.hint("shuffle_hash"),
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)) == F.col(place),
-        "left",
-    ).drop(place)
-    added = [
-        T.StructField("n_lines", T.LongType()),
-        T.StructField("n_dropped", T.LongType()),
-        T.StructField(text, T.StringType()),
-    ]
-    names = {f.name for f in added}
-    kept = [f for f in docs.schema.fields if f.name not in names]
-    schema = T.StructType(kept + added)
+def cut_lines(docs: DataFrame, repeats: DataFrame, least: int) -> DataFrame:
+    """(doc, n_lines, n_dropped, kept_text): every row of ``docs`` as a struct, and what is left."""
+    whole = docs.select(F.struct("*").alias("doc"), "text", F.coalesce(
+        F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("place"))
+    lost = repeats.withColumnRenamed("doc_id", "place")
+    joined = whole.join(lost.hint("shuffle_hash"), "place", "left").select("doc", "text", "keys")
+    schema = T.StructType([joined.schema["doc"]])
+    schema.add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(found):
             lines, dropped, texts = [], [], []
-            for whole, own in zip(
-                pc.fill_null(part.column("text"), "").to_pylist(), part.column(keys).to_pylist()
+            for text, keys in zip(
+                pc.fill_null(part.column("text"), "").to_pylist(), part.column("keys").to_pylist()
             ):
-                all_lines = whole.split("\n")
+                all_lines = text.split("\n")
                 left = all_lines
-                if own:
-                    gone = set(own)
+                if keys:
+                    gone = set(keys)
                     left = [x for x in all_lines if line_key(x, least) not in gone]
                 lines.append(len(all_lines))
                 dropped.append(len(all_lines) - len(left))
-                texts.append("\n".join(left) if own else whole)
+                texts.append("\n".join(left) if keys else text)
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(f.name) for f in kept), pa.array(lines, pa.int64()),
-                 pa.array(dropped, pa.int64()), pa.array(texts, pa.string())],
-                [f.name for f in schema.fields],
+                [part.column("doc"), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()),
+                 pa.array(texts, pa.string())],
+                ["doc", "n_lines", "n_dropped", "kept_text"],
             )
 
-    columns = [*(f.name for f in kept), *({"text"} & names), keys]
-    return joined.select(*(joined[f"`{c}`"] for c in columns)).mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema)
 
 
-def line_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the SHA-256 of the kept text."""
-    kept = drop_repeated_lines(docs.select("doc_id", "text"))
+def without_repeated_lines(
+    docs: DataFrame, least: int = 10, batches: int = 4, fan_in: int = 2
+) -> DataFrame:
+    """The same rows and columns with the repeated lines gone from ``text``; null stays null."""
+    cut = cut_lines(docs, repeated_lines(docs, least, batches, fan_in), least)
+    text = F.when(F.col("doc.text").isNotNull(), F.col("kept_text")).alias("text")
+    return cut.select(*(text if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns))
 
-    return kept.select(
-        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
-    )
+
+def line_digests(
+    docs: DataFrame, least: int = 10, batches: int = 4, fan_in: int = 2
+) -> DataFrame:
+    """doc_id, n_lines, n_dropped and the SHA-256 of the kept text."""
+    thin = docs.select("doc_id", "text")
+    cut = cut_lines(thin, repeated_lines(thin, least, batches, fan_in), least)
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return cut.select("doc.doc_id", "n_lines", "n_dropped", digest)

@@ -80,14 +80,13 @@ def measure(texts: pa.Array) -> list[pa.Array]:
     texts = pc.fill_null(texts, "")
     words = split_words(texts)
     lengths = pc.utf8_length(words.distinct).to_numpy(zero_copy_only=False)
-    total = np.concatenate([[0], np.cumsum(lengths[words.codes])]).astype(np.int64)[words.starts]
     hashes = word_hashes(words.strings())[words.codes]
-    symbols = pc.count_substring_regex(texts, r"[#*$%&|<>]")
+    symbols = pc.count_substring_regex(words.distinct, r"[#*$%&|<>]")
     lines = [line_counts(text) for text in texts.to_pylist()]
     columns = [
         words.counts,
-        np.diff(total),
-        symbols.to_numpy(zero_copy_only=False),
+        words.sums(lengths),
+        words.sums(symbols.to_numpy(zero_copy_only=False)),
         [b for _, b in lines],
         repeated_words(hashes, words.starts),
         [a for a, _ in lines],

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import bpe, fingerprints, language_id, line_dedup, packing, quality_rules
-from shoplens.llm import secrets, token_files
+from shoplens.llm import bpe, fingerprints, language_id, line_dedup, near_dedup, packing
+from shoplens.llm import quality_classifier, quality_rules, secrets, token_files
 from shoplens.llm.tokens import word_bpe_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +38,19 @@ def op5_bpe(spark, folder):
     return bpe.round_trip(documents(spark, folder), word_bpe_path())
 
 
+def op6_near_dedup(spark, folder):
+    return near_dedup.near_duplicates(documents(spark, folder), words=3, percent=85)
+
+
 def op7_token_files(spark, folder):
     return token_files.round_trip(documents(spark, folder), word_bpe_path())
 
 
+def op8_quality_classifier(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return quality_classifier.score_documents(documents(spark, folder), labels)
+
+
 def op9_line_dedup(spark, folder):
     return line_dedup.line_digests(documents(spark, folder))
 
@@ -54,7 +63,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_quality_rules, op3_fingerprints, op4_packing, op5_bpe,
-        op7_token_files, op9_line_dedup, op10_secrets,
+        op6_near_dedup, op7_token_files, op8_quality_classifier, op9_line_dedup, op10_secrets,
     )
 }
 

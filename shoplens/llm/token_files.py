@@ -152,7 +152,7 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFr
         .repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     )
-    schema = "shard int, file string, documents bigint, ids bigint"
+    schema = "shard bigint, file string, documents bigint, ids bigint"
     return store(ordered.mapInArrow(write, schema), "token-shards")
 
 

@@ -46,6 +46,11 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.starts)
 
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum over its words of a whole number given for each distinct word."""
+        total = np.concatenate([[0], np.cumsum(np.asarray(values, np.int64)[self.codes])])
+        return np.diff(total.astype(np.int64)[self.starts])
+
     def strings(self) -> list[str]:
         """The distinct words; one join and one split, since no word holds a line end."""
         return joined_lines(self.distinct).split("\n") if len(self.distinct) else []
