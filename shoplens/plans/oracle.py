@@ -10,9 +10,9 @@ RAW_COLUMNS = (
 
 SHARED = f"""
 kept AS (
-  SELECT o_orderkey, o_custkey, o_orderdate
-  FROM (SELECT *, min(o_orderkey) OVER (PARTITION BY o_custkey) AS first_order FROM orders)
-  WHERE o_custkey % 5 <> 0 OR o_orderkey = first_order),
+  SELECT o_orderkey, o_custkey, o_orderdate,
+    CASE WHEN o_custkey % 5 = 0 THEN 1000000000000 + o_orderkey ELSE o_custkey END AS buyer
+  FROM orders),
 single AS (
   SELECT
     CASE WHEN l_returnflag = 'R' AND o_orderkey % 7 = 0 THEN 'C'
@@ -25,7 +25,7 @@ single AS (
     o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS InvoiceDate,
     CASE WHEN (l_partkey + l_suppkey) % 61 = 0 THEN CAST(0 AS DECIMAL(12,2))
          ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS UnitPrice,
-    CASE WHEN o_custkey % 41 = 0 THEN NULL ELSE o_custkey END AS CustomerID,
+    CASE WHEN o_custkey % 41 = 0 THEN NULL ELSE buyer END AS CustomerID,
     n_name AS Country,
     (o_orderkey + l_linenumber) % 67 = 0 AS twice
   FROM lineitem JOIN kept ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
@@ -117,14 +117,15 @@ valued AS (
          ELSE 'Low Value' END AS CLV_Tier
   FROM live, valued_edges),
 clustered AS (
-  SELECT *, CAST(CustomerID % 4 AS INT) AS Cluster FROM segments WHERE CustomerID % 29 <> 0),
+  SELECT *, CAST(CustomerID % 4 AS INT) AS Cluster FROM segments),
+known_clustered AS (SELECT * FROM clustered WHERE CustomerID % 29 <> 0),
 merged AS (
   SELECT l.CustomerID, l.ChurnProbability, l.Recency, l.Frequency, l.Monetary,
     CASE WHEN l.ChurnProbability > p2 THEN 'High Risk' WHEN l.ChurnProbability > p1
          THEN 'Medium Risk' ELSE 'Low Risk' END AS ChurnRiskTier,
     s.Segment, s.Cluster, v.CLV_12m, v.CLV_Tier
   FROM live l CROSS JOIN valued_edges
-  LEFT JOIN clustered s USING (CustomerID)
+  LEFT JOIN known_clustered s USING (CustomerID)
   LEFT JOIN (SELECT * FROM valued WHERE CustomerID % 29 <> 0) v USING (CustomerID)),
 matrix(CLV_Tier, ChurnRiskTier, Recommendation, Priority, Action) AS (VALUES
   ('High Value', 'High Risk', 'URGENT: VIP Win-back', 1,
@@ -431,14 +432,18 @@ SELECTS = {
     # filters, cleaning and data quality
     "drop_missing_customer": _raw_rows("identified"),
     "drop_cancellations": _raw_rows(
-        "identified WHERE left(InvoiceNo, 1) <> 'C' AND left(InvoiceNo, 1) <> 'A'"
+        "retail_raw WHERE left(InvoiceNo, 1) <> 'C' AND left(InvoiceNo, 1) <> 'A'",
+        "CustomerID::VARCHAR",
     ),
     "drop_non_product": _raw_rows(
-        "identified WHERE upper(StockCode) NOT IN"
-        " ('POST', 'D', 'M', 'BANK CHARGES', 'PADS', 'DOT', 'CRUK')"
+        "retail_raw WHERE upper(StockCode) NOT IN"
+        " ('POST', 'D', 'M', 'BANK CHARGES', 'PADS', 'DOT', 'CRUK')",
+        "CustomerID::VARCHAR",
     ),
-    "drop_nonpositive": _raw_rows("identified WHERE Quantity > 0 AND UnitPrice > 0"),
-    "dedup_rows": _raw_rows("(SELECT DISTINCT * FROM identified)"),
+    "drop_nonpositive": _raw_rows(
+        "retail_raw WHERE Quantity > 0 AND UnitPrice > 0", "CustomerID::VARCHAR"
+    ),
+    "dedup_rows": _raw_rows("(SELECT DISTINCT * FROM retail_raw)", "CustomerID::VARCHAR"),
     "clean_transactions": _clean_rows("clean"),
     "cleaning_funnel": FUNNEL,
     "null_profile": _null_rows(),
@@ -470,7 +475,7 @@ SELECTS = {
           AS LowPriorityShare FROM business""",
     # projections
     "total_price": """SELECT InvoiceNo, StockCode,
-        (Quantity::DECIMAL(11,0) * UnitPrice)::DOUBLE AS TotalPrice FROM identified""",
+        (Quantity::DECIMAL(11,0) * UnitPrice)::DOUBLE AS TotalPrice FROM retail_raw""",
     "cast_types": _raw_rows("retail_raw", "CustomerID::VARCHAR"),
     "reference_date": """SELECT strftime(today, '%Y-%m-%d %H:%M:%S') AS ReferenceDate,
         strftime(cutoff, '%Y-%m-%d %H:%M:%S') AS Cutoff FROM dates""",
@@ -485,7 +490,7 @@ SELECTS = {
     "recommendation": """SELECT CustomerID, CLV_Tier, ChurnRiskTier, Recommendation, Priority,
         Action FROM business""",
     "clip_lower": """SELECT InvoiceNo, StockCode, Quantity,
-        greatest(Quantity::DOUBLE, 0.0::DOUBLE) AS Clipped FROM identified""",
+        greatest(Quantity::DOUBLE, 0.0::DOUBLE) AS Clipped FROM retail_raw""",
     "cap_at_quantile": """SELECT CustomerID, round(least(CLV_12m, v97), 4) AS CLV_capped
         FROM valued, valued_edges""",
     "fill_missing": """SELECT CustomerID, coalesce(CLV_12m, 0) AS monetary_value FROM business""",
@@ -505,7 +510,7 @@ SELECTS = {
         round(log10(Monetary::DOUBLE), 8) AS LogMonetary FROM segments""",
     # joins
     "join_segment": """SELECT l.CustomerID, ChurnProbability, Segment,
-        Cluster::VARCHAR AS Cluster FROM live l LEFT JOIN clustered c USING (CustomerID)""",
+        Cluster::VARCHAR AS Cluster FROM live l LEFT JOIN known_clustered c USING (CustomerID)""",
     "join_clv": """SELECT l.CustomerID, ChurnProbability, CLV_12m, CLV_Tier FROM live l
         LEFT JOIN (SELECT * FROM valued WHERE CustomerID % 29 <> 0) v USING (CustomerID)""",
     "churn_label": "SELECT CustomerID, Churned FROM labelled",

@@ -96,31 +96,40 @@ def summary_of(spark: SparkSession, folder: str) -> DataFrame:
     return store(lv.clv_summary_input(clean_of(spark, folder)), "clv-summary")
 
 
-def formula_tables(
-    spark: SparkSession, folder: str
-) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Live scores, segments with clusters, valued customers and the business table."""
-    live = with_formula_score(cf.live_features(clean_of(spark, folder)))
+def live_of(spark: SparkSession, folder: str) -> DataFrame:
+    return with_formula_score(cf.live_features(clean_of(spark, folder)))
+
+
+def clustered_of(live: DataFrame) -> DataFrame:
     recent = live.select("CustomerID", "Recency", "Frequency", "Monetary")
-    known = F.col("CustomerID") % 29 != 0
-    clustered = (
-        rfm.rfm_segments(recent, on_ties="merge")
-        .withColumn("Cluster", (F.col("CustomerID") % 4).cast("int"))
-        .filter(known)
+    return rfm.rfm_segments(recent, on_ties="merge").withColumn(
+        "Cluster", (F.col("CustomerID") % 4).cast("int")
     )
-    valued = lv.clv_tiers(
-        live.select("CustomerID", F.col("Monetary").cast("double").alias("CLV_12m")), "merge"
+
+
+def tiers_of(live: DataFrame) -> DataFrame:
+    spent = live.select("CustomerID", F.col("Monetary").cast("double").alias("CLV_12m"))
+    return lv.clv_tiers(spent, "merge")
+
+
+def known(frame: DataFrame) -> DataFrame:
+    """Without every 29th customer: what a join then misses feeds the Unknown branch."""
+    return frame.filter(F.col("CustomerID") % 29 != 0)
+
+
+def business_frame(spark: SparkSession, folder: str) -> DataFrame:
+    live = live_of(spark, folder)
+    return decisions.business_table(
+        live, known(clustered_of(live)), known(tiers_of(live)), "merge"
     )
-    business = decisions.business_table(live, clustered, valued.filter(known), "merge")
-    return live, clustered, valued, business
 
 
 def business_of(spark: SparkSession, folder: str) -> DataFrame:
-    return store(formula_tables(spark, folder)[3], "business")
+    return store(business_frame(spark, folder), "business")
 
 
 def valued_of(spark: SparkSession, folder: str) -> DataFrame:
-    return formula_tables(spark, folder)[2]
+    return tiers_of(live_of(spark, folder))
 
 
 def scaled_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,7 +171,7 @@ def write_csv(spark, folder):
 @query
 def write_profile_csv(spark, folder):
     path = stage_path(spark, "profile-csv")
-    _, clustered, _, _ = formula_tables(spark, folder)
+    clustered = clustered_of(live_of(spark, folder))
     profile = clustering.cluster_profile(clustered)
     tables.write_csv(profile, path)
     return plain(tables.read_csv_table(spark, path, profile.schema))
@@ -178,26 +187,22 @@ def drop_missing_customer(spark, folder):
 
 @query
 def drop_cancellations(spark, folder):
-    frame = cleaning.drop_missing_customer(retail_raw(spark, folder))
-    return plain(cleaning.drop_cancellations(frame))
+    return as_text(plain(cleaning.drop_cancellations(retail_raw(spark, folder))), "CustomerID")
 
 
 @query
 def drop_non_product(spark, folder):
-    frame = cleaning.drop_missing_customer(retail_raw(spark, folder))
-    return plain(cleaning.drop_non_product(frame))
+    return as_text(plain(cleaning.drop_non_product(retail_raw(spark, folder))), "CustomerID")
 
 
 @query
 def drop_nonpositive(spark, folder):
-    frame = cleaning.drop_missing_customer(retail_raw(spark, folder))
-    return plain(cleaning.drop_nonpositive(frame))
+    return as_text(plain(cleaning.drop_nonpositive(retail_raw(spark, folder))), "CustomerID")
 
 
 @query
 def dedup_rows(spark, folder):
-    frame = cleaning.drop_missing_customer(retail_raw(spark, folder))
-    return plain(cleaning.dedup_rows(frame))
+    return as_text(plain(cleaning.dedup_rows(retail_raw(spark, folder))), "CustomerID")
 
 
 @query
@@ -222,7 +227,7 @@ def clean_profile(spark, folder):
 
 @query
 def merge_missing_counts(spark, folder):
-    return decisions.merge_missing_counts(formula_tables(spark, folder)[3])
+    return decisions.merge_missing_counts(business_frame(spark, folder))
 
 
 @query
@@ -255,19 +260,19 @@ def repeat_buyer_counts(spark, folder):
 
 @query
 def urgent_customers(spark, folder):
-    frame = decisions.urgent_customers(formula_tables(spark, folder)[3])
+    frame = decisions.urgent_customers(business_frame(spark, folder))
     return as_text(plain(frame), "Cluster")
 
 
 @query
 def low_priority_customers(spark, folder):
-    frame = decisions.low_priority_customers(formula_tables(spark, folder)[3])
+    frame = decisions.low_priority_customers(business_frame(spark, folder))
     return as_text(plain(frame), "Cluster")
 
 
 @query
 def low_priority_share(spark, folder):
-    return decisions.low_priority_share(formula_tables(spark, folder)[3])
+    return decisions.low_priority_share(business_frame(spark, folder))
 
 
 # ---- projections -----------------------------------------------------------------------------
@@ -275,7 +280,7 @@ def low_priority_share(spark, folder):
 
 @query
 def total_price(spark, folder):
-    frame = cleaning.drop_missing_customer(retail_raw(spark, folder))
+    frame = retail_raw(spark, folder)
     return plain(cleaning.add_total_price(frame).select("InvoiceNo", "StockCode", "TotalPrice"))
 
 
@@ -333,21 +338,21 @@ def rfm_segment(spark, folder):
 
 @query
 def recommendation(spark, folder):
-    return formula_tables(spark, folder)[3].select(
+    return business_frame(spark, folder).select(
         "CustomerID", "CLV_Tier", "ChurnRiskTier", "Recommendation", "Priority", "Action"
     )
 
 
 @query
 def clip_lower(spark, folder):
-    lines = cleaning.drop_missing_customer(retail_raw(spark, folder))
+    lines = retail_raw(spark, folder)
     clipped = ex.clip_lower(F.col("Quantity").cast("double"), 0.0).alias("Clipped")
     return lines.select("InvoiceNo", "StockCode", "Quantity", clipped)
 
 
 @query
 def cap_at_quantile(spark, folder):
-    _, _, valued, _ = formula_tables(spark, folder)
+    valued = valued_of(spark, folder)
     return plain(
         decisions.cap_at_quantile(valued, "CLV_12m", 0.97, "CLV_capped").select(
             "CustomerID", "CLV_capped"
@@ -358,7 +363,7 @@ def cap_at_quantile(spark, folder):
 
 @query
 def fill_missing(spark, folder):
-    known = formula_tables(spark, folder)[3].select(
+    known = business_frame(spark, folder).select(
         "CustomerID", F.col("CLV_12m").alias("monetary_value")
     )
     return lv.fill_missing_spend(known)
@@ -411,16 +416,17 @@ def log10_axes(spark, folder):
 
 @query
 def join_segment(spark, folder):
-    live, clustered, _, _ = formula_tables(spark, folder)
+    live = live_of(spark, folder)
+    clustered = known(clustered_of(live))
     joined = decisions.join_segment(live.select("CustomerID", "ChurnProbability"), clustered)
     return as_text(joined, "Cluster")
 
 
 @query
 def join_clv(spark, folder):
-    live, _, valued, _ = formula_tables(spark, folder)
-    known = valued.filter(F.col("CustomerID") % 29 != 0)
-    return decisions.join_clv(live.select("CustomerID", "ChurnProbability"), known)
+    live = live_of(spark, folder)
+    valued = known(tiers_of(live))
+    return decisions.join_clv(live.select("CustomerID", "ChurnProbability"), valued)
 
 
 @query
@@ -493,7 +499,7 @@ def segment_revenue(spark, folder):
 
 @query
 def cluster_profile(spark, folder):
-    return plain(clustering.cluster_profile(formula_tables(spark, folder)[1]))
+    return plain(clustering.cluster_profile(clustered_of(live_of(spark, folder))))
 
 
 @query
@@ -557,22 +563,22 @@ def clv_tier_summary(spark, folder):
 
 @query
 def tier_risk_crosstab(spark, folder):
-    return decisions.tier_risk_crosstab(formula_tables(spark, folder)[3])
+    return decisions.tier_risk_crosstab(business_frame(spark, folder))
 
 
 @query
 def recommendation_summary(spark, folder):
-    return decisions.recommendation_summary(formula_tables(spark, folder)[3])
+    return decisions.recommendation_summary(business_frame(spark, folder))
 
 
 @query
 def revenue_at_risk(spark, folder):
-    return plain(decisions.revenue_at_risk(formula_tables(spark, folder)[3]), RevenueAtRisk=2)
+    return plain(decisions.revenue_at_risk(business_frame(spark, folder)), RevenueAtRisk=2)
 
 
 @query
 def kpi_row(spark, folder):
-    kpis = reports.kpi_row(formula_tables(spark, folder)[3])
+    kpis = reports.kpi_row(business_frame(spark, folder))
     return plain(kpis, TotalCLV=2, AvgChurn=8, RevenueAtRisk=2, LowPriorityShare=8)
 
 
@@ -620,7 +626,7 @@ def clv_tier(spark, folder):
 
 @query
 def churn_risk_tier(spark, folder):
-    live = formula_tables(spark, folder)[0]
+    live = live_of(spark, folder)
     return decisions.churn_risk_tiers(live, "merge").select(
         "CustomerID", "ChurnProbability", "ChurnRiskTier"
     )
@@ -1029,24 +1035,24 @@ def chart_priority_map(spark, folder):
 
 @query
 def chart_segment_bar(spark, folder):
-    _, clustered, _, _ = formula_tables(spark, folder)
+    clustered = clustered_of(live_of(spark, folder))
     return plain(rfm.segment_revenue(clustered, ascending=True))
 
 
 @query
 def chart_clv_pie(spark, folder):
-    return plain(reports.clv_pie(formula_tables(spark, folder)[3]), TotalCLV=2)
+    return plain(reports.clv_pie(business_frame(spark, folder)), TotalCLV=2)
 
 
 @query
 def chart_risk_bar(spark, folder):
-    return reports.risk_bar(formula_tables(spark, folder)[3])
+    return reports.risk_bar(business_frame(spark, folder))
 
 
 @query
 def dashboard_tables(spark, folder):
-    _, clustered, _, business = formula_tables(spark, folder)
-    business = store(business, "business")
+    clustered = clustered_of(live_of(spark, folder))
+    business = business_of(spark, folder)
     shown = {}
     for name, table in reports.dashboard_tables(business, clustered).items():
         path = stage_path(spark, f"dashboard-{name}")
