@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 
 def whole_days(later: Column, earlier: Column) -> Column:
@@ -18,8 +19,15 @@ def days(count: int) -> Column:
 
 
 def total_price(quantity: Column, unit_price: Column) -> Column:
-    """Exact money: an int times a decimal(12,2) stays decimal."""
-    return (quantity * unit_price).cast("decimal(23,2)")
+    """Exact money: an int times a decimal(14,4) stays decimal."""
+    return (quantity * unit_price).cast("decimal(25,4)")
+
+
+def exact_number(value: Column, kind: DataType) -> Column:
+    """The value in a whole or decimal type; null where the type cannot hold it as it is."""
+    wide = value.try_cast("decimal(38,12)")
+    fitted = wide.try_cast(kind)
+    return F.when(fitted == wide, fitted)
 
 
 def half_even(value: Column, places: int) -> Column:

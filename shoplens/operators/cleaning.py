@@ -5,8 +5,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
-from shoplens.functions.expressions import total_price
+from shoplens.functions.expressions import exact_number, total_price
 from shoplens.sources.schemas import RAW
 
 # Invoice prefixes of cancellations and adjustments, service stock codes.
@@ -75,11 +76,38 @@ def dedup_rows(frame: DataFrame) -> DataFrame:
     return frame.dropDuplicates()
 
 
-def cast_types(frame: DataFrame) -> DataFrame:
-    """Raw columns in their declared types; a value that does not parse becomes null."""
-    return frame.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW.fields]
+def _typed(field: StructField, date_format: str | None) -> Column:
+    text = F.col(field.name)
+    if field.name in ("CustomerID", "UnitPrice"):
+        return exact_number(text, field.dataType)
+    if field.name == "InvoiceDate" and date_format:
+        # Read as UTC and counted from the epoch, so that no session time zone moves the clock.
+        at = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{date_format} X"))
+        seconds = (F.unix_micros(at).cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+        since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+        return F.lit("1970-01-01").cast("timestamp_ntz") + since
+    return text.try_cast(field.dataType)
+
+
+def cast_types(frame: DataFrame, date_format: str | None = None) -> DataFrame:
+    """Raw columns in their declared types.
+
+    A customer may be written ``17850.0``. A value that does not parse, or that its type would
+    round, becomes null; ``cast_losses`` counts them.
+    """
+    return frame.select(*[_typed(f, date_format).alias(f.name) for f in RAW.fields])
+
+
+def cast_losses(frame: DataFrame, date_format: str | None = None) -> DataFrame:
+    """Per column, the values that ``cast_types`` turns into null, from one aggregate."""
+    lost = frame.agg(
+        *[
+            F.count_if(F.col(f.name).isNotNull() & _typed(f, date_format).isNull()).alias(f.name)
+            for f in RAW.fields
+        ]
     )
+    rows = [F.struct(F.lit(c).alias("Column"), F.col(c).alias("Lost")) for c in lost.columns]
+    return lost.select(F.inline(F.array(*rows)))
 
 
 def add_total_price(frame: DataFrame) -> DataFrame:

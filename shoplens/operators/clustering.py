@@ -131,13 +131,12 @@ def k_sweep(
     ks: Sequence[int] = K_RANGE,
     restarts: int = RESTARTS,
     seed: int = SEED,
-    metric: str = "euclidean",
+    metric: str = "squaredEuclidean",
 ) -> DataFrame:
     """Inertia and silhouette per k.
 
-    ``metric="euclidean"`` is exact in plain distances, and quadratic in customers whatever the
-    engine; ``"squaredEuclidean"`` is exact in squared distances and linear, for tables where the
-    quadratic form is out of reach.
+    The silhouette in squared distances is exact and linear in customers. ``metric="euclidean"``
+    asks for plain distances: exact too, and quadratic in customers whatever the engine.
     """
     models = _best_fits(features, list(ks), restarts, seed)
     labelled = features
@@ -245,6 +244,11 @@ def silhouette(labelled: DataFrame, label: str = "Cluster") -> DataFrame:
     return labelled.sparkSession.createDataFrame([(value,)], "Silhouette double")
 
 
+def squared_silhouette_row(labelled: DataFrame, label: str = "Cluster") -> DataFrame:
+    value = squared_silhouette(labelled, label)
+    return labelled.sparkSession.createDataFrame([(value,)], "Silhouette double")
+
+
 @dataclass(frozen=True)
 class Components:
     """Two principal directions of centred features, and the variance they keep."""
@@ -262,6 +266,12 @@ class Components:
             loadings.append([float(sign * x) for x in direction])
         return Components(loadings, [float(x) for x in model.explainedVariance.toArray()])
 
+    def variance(self, frame: DataFrame) -> DataFrame:
+        """The share of the variance that each direction keeps."""
+        return frame.sparkSession.createDataFrame(
+            list(enumerate(self.variance_ratio, start=1)), "Component int, Ratio double"
+        )
+
     def apply(self, features: DataFrame) -> DataFrame:
         return features.withColumns(
             {
@@ -274,10 +284,17 @@ class Components:
 
 
 def cluster_customers(
-    segments: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED
+    segments: DataFrame,
+    k: int = CLUSTERS,
+    restarts: int = RESTARTS,
+    seed: int = SEED,
+    features: DataFrame | None = None,
 ) -> DataFrame:
-    """The scored table with its cluster and two principal coordinates."""
-    features = scaled_features(segments)
+    """The scored table with its cluster and two principal coordinates.
+
+    ``features``: the scaled features, where they are stored already.
+    """
+    features = scaled_features(segments) if features is None else features
     labelled = assign(features, fit_centers(features, k, restarts, seed))
     placed = Components.fit(features).apply(labelled)
     return segments.join(placed.select("CustomerID", "Cluster", "PCA1", "PCA2"), "CustomerID")

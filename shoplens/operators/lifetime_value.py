@@ -39,7 +39,7 @@ def clv_summary_input(clean: DataFrame, observed_to: Column | None = None) -> Da
     """
     by_day = store(
         clean.groupBy("CustomerID", F.to_date("InvoiceDate").alias("Day")).agg(
-            F.sum("TotalPrice").cast("decimal(33,2)").alias("Spend")
+            F.sum("TotalPrice").cast("decimal(35,4)").alias("Spend")
         ),
         "customer-days",
     )
@@ -212,12 +212,17 @@ def likelihood_sums(
 
 @dataclass(frozen=True)
 class Fit:
-    """Fitted parameters (natural scale), their standard errors and the final objective."""
+    """Fitted parameters (natural scale), their standard errors and how the search ended.
+
+    An error is None where the likelihood is flat: at a parameter that has run to its boundary, and
+    everywhere if the curvature of the others is not that of a maximum.
+    """
 
     parameters: tuple[float, ...]
-    errors: tuple[float, ...]
+    errors: tuple[float | None, ...]
     objective: float
     steps: int
+    stop: str
 
 
 def _fit(
@@ -235,12 +240,16 @@ def _fit(
     more job.
     """
 
+    customers = 0.0
+
     def evaluate(points: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
+        nonlocal customers
         thetas = [np.exp(p) for p in points]
         out = []
         for theta, (n, value, gradient) in zip(
             thetas, likelihood_sums(frame, likelihood, columns, thetas)
         ):
+            customers = n
             objective = -value / n + penalty * np.sum(theta**2)
             slope = (-gradient / n + 2 * penalty * theta) * theta
             out.append((objective if np.isfinite(objective) else np.inf, slope))
@@ -251,7 +260,7 @@ def _fit(
     if not np.isfinite(objective):
         raise ArithmeticError("the likelihood is not finite at the start; is the table empty?")
     inverse = np.eye(width)
-    standing = 0
+    standing, stop = 0, "gradient below tolerance"
     for step in range(max_steps):
         if np.max(np.abs(slope)) < tolerance:
             break
@@ -270,7 +279,8 @@ def _fit(
             if usable:
                 break
         if not usable:
-            if np.max(np.abs(slope)) < 1e-4:  # rounding hides further progress
+            if np.max(np.abs(slope)) < 1e-4:
+                stop = "rounding hides further progress"
                 break
             if np.array_equal(inverse, np.eye(width)):
                 raise ArithmeticError("the line search failed to improve the likelihood")
@@ -289,6 +299,7 @@ def _fit(
         # A parameter running to its boundary keeps moving long after the objective stands still.
         standing = standing + 1 if gained < 1e-8 * max(1.0, abs(objective)) else 0
         if standing == 3:
+            stop = "objective stands still"
             break
     else:
         raise ArithmeticError(f"the likelihood fit did not converge in {max_steps} steps")
@@ -302,10 +313,21 @@ def _fit(
         [(shifted[2 * j][1] - shifted[2 * j + 1][1]) / (2 * nudge) for j in range(width)]
     )
     theta = np.exp(point)
-    total = likelihood_sums(frame, likelihood, columns, [theta])[0][0]
-    spread = np.linalg.pinv((hessian + hessian.T) / 2) * np.outer(theta, theta) / total
-    errors = np.sqrt(np.maximum(np.diag(spread), 0.0))
-    return Fit(tuple(theta), tuple(errors), float(objective), step)
+    errors = _errors((hessian + hessian.T) / 2, theta, customers)
+    return Fit(tuple(theta), errors, float(objective), step, stop)
+
+
+def _errors(hessian: np.ndarray, theta: np.ndarray, customers: float) -> tuple[float | None, ...]:
+    """Standard errors from the curvature of the mean objective over the log-parameters."""
+    bend = np.diag(hessian)
+    inside = np.flatnonzero(bend > 1e-5 * max(bend.max(), 0.0))
+    errors: list[float | None] = [None] * len(theta)
+    own = hessian[np.ix_(inside, inside)]
+    if len(inside) and np.linalg.eigvalsh(own).min() > 0:
+        spread = np.diag(np.linalg.inv(own)) * theta[inside] ** 2 / customers
+        for place, variance in zip(inside, spread):
+            errors[place] = float(np.sqrt(variance))
+    return tuple(errors)
 
 
 def fit_bgnbd(summary: DataFrame, penalty: float = BGNBD_PENALTY) -> tuple[BgNbd, DataFrame]:
@@ -336,8 +358,8 @@ def fit_bgnbd(summary: DataFrame, penalty: float = BGNBD_PENALTY) -> tuple[BgNbd
         scaled.unpersist()
     unit = np.array([1.0, 1.0 / scale, 1.0, 1.0])
     values = np.array(fit.parameters) * unit
-    errors = np.array(fit.errors) * unit
-    table = _coefficients(summary, ("r", "alpha", "a", "b"), values, errors)
+    errors = [e if e is None else e * u for e, u in zip(fit.errors, unit)]
+    table = _coefficients(summary, ("r", "alpha", "a", "b"), values, errors, fit.stop)
     return BgNbd(*map(float, values)), table
 
 
@@ -357,17 +379,20 @@ def fit_gamma_gamma(
         )
     finally:
         buyers.unpersist()
-    table = _coefficients(summary, ("p", "q", "v"), fit.parameters, fit.errors)
+    table = _coefficients(summary, ("p", "q", "v"), fit.parameters, fit.errors, fit.stop)
     return GammaGamma(*map(float, fit.parameters)), table
 
 
-def _coefficients(frame: DataFrame, names, values, errors) -> DataFrame:
-    rows = [
-        (name, float(v), float(e), float(v - 1.96 * e), float(v + 1.96 * e))
-        for name, v, e in zip(names, values, errors)
-    ]
+def _coefficients(frame: DataFrame, names, values, errors, stop: str) -> DataFrame:
+    """One row per parameter; without an error the parameter is at its boundary."""
+    rows = []
+    for name, v, e in zip(names, values, errors):
+        bounds = (None, None) if e is None else (float(v - 1.96 * e), float(v + 1.96 * e))
+        rows.append((name, float(v), None if e is None else float(e), *bounds, e is None, stop))
     return frame.sparkSession.createDataFrame(
-        rows, "Parameter string, Coef double, StdErr double, Lower95 double, Upper95 double"
+        rows,
+        "Parameter string, Coef double, StdErr double, Lower95 double, Upper95 double, "
+        "NoError boolean, Stop string",
     )
 
 
@@ -393,6 +418,38 @@ def gamma_gamma_loglik(summary: DataFrame, model: GammaGamma) -> DataFrame:
     return _loglik_row(summary, n, value)
 
 
+def _objectives(frame, likelihood, columns, points, units, penalty):
+    """Rows of weight, and for each parameter list what the fit minimises."""
+    thetas = [np.array(p, dtype=float) * units for p in points]
+    sums = likelihood_sums(frame, likelihood, columns, thetas)
+    values = [-v / n + penalty * float(np.sum(t**2)) for t, (n, v, _) in zip(thetas, sums)]
+    return sums[0][0], values
+
+
+def bgnbd_objective(
+    summary: DataFrame, points: list[list[float]], penalty: float = BGNBD_PENALTY
+) -> tuple[float, list[float]]:
+    """Customers, and the penalised mean negative log-likelihood at each (r, alpha, a, b)."""
+    scale = 1.0 / max(summary.agg(F.max("T")).first()[0], 1)
+    scaled = summary.select(
+        "frequency", (F.col("recency") * scale).alias("recency"), (F.col("T") * scale).alias("T"),
+        F.lit(1.0).alias("weight"),
+    )
+    units = np.array([1.0, scale, 1.0, 1.0])
+    columns = ["frequency", "recency", "T", "weight"]
+    return _objectives(scaled, bgnbd_log_likelihood, columns, points, units, penalty)
+
+
+def gamma_gamma_objective(
+    summary: DataFrame, points: list[list[float]], penalty: float = GAMMA_PENALTY
+) -> tuple[float, list[float]]:
+    """Repeat buyers, and the penalised mean negative log-likelihood at each (p, q, v)."""
+    buyers = repeat_buyers(summary).filter(F.col("monetary_value") > 0)
+    columns = ["frequency", "monetary_value", "weight"]
+    weighted = buyers.withColumn("weight", F.lit(1.0))
+    return _objectives(weighted, gamma_gamma_log_likelihood, columns, points, np.ones(3), penalty)
+
+
 def _loglik_row(frame: DataFrame, n: float, value: float) -> DataFrame:
     return frame.sparkSession.createDataFrame(
         [(int(n), float(value))], "Customers long, LogLikelihood double"
@@ -415,9 +472,10 @@ def _expected_while_alive(model: BgNbd, horizon, x, age) -> np.ndarray:
 
     def at(a: float) -> np.ndarray:
         b, r = model.b, model.r
-        z = horizon / (model.alpha + age + horizon)
-        series = hyp2f1(a + b - 1 - r, a - 1, a + b + x - 1, z)
-        return (a + b + x - 1) / (a - 1) * (1 - np.exp((a - 1) * np.log1p(-z)) * series)
+        whole = model.alpha + age + horizon
+        rest = (model.alpha + age) / whole
+        series = hyp2f1(a + b - 1 - r, a - 1, a + b + x - 1, horizon / whole, rest)
+        return (a + b + x - 1) / (a - 1) * (1 - rest ** (a - 1) * series)
 
     if abs(model.a - 1) > 1e-5:
         return at(model.a)
@@ -513,17 +571,34 @@ def clv_tier_summary(valued: DataFrame) -> DataFrame:
     )
 
 
-def clv_predictions(clean: DataFrame, on_ties: str = "raise") -> DataFrame:
-    """Fit both models and value every customer. ``clean`` should be a stored table."""
+def clv_scores(clean: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Fit both models and score every customer, stored; with the tables about the fits."""
     summary = store(fill_missing_spend(clv_summary_input(clean)), "clv-summary")
-    purchases, _ = fit_bgnbd(summary)
-    spend, _ = fit_gamma_gamma(summary)
-    scored = summary.withColumns(
-        {
-            "PredictedPurchases_90d": expected_purchases(purchases),
-            "ProbAlive": prob_alive(purchases),
-            "CLV_12m": clv_12m(purchases, spend),
-        }
+    purchases, purchase_table = fit_bgnbd(summary)
+    spend, spend_table = fit_gamma_gamma(summary)
+    scored = store(
+        summary.withColumns(
+            {
+                "PredictedPurchases_90d": expected_purchases(purchases),
+                "ProbAlive": prob_alive(purchases),
+                "CLV_12m": clv_12m(purchases, spend),
+            }
+        ),
+        "clv-scored",
     )
+    return scored, {
+        "purchase_coefficients": purchase_table,
+        "spend_coefficients": spend_table,
+        "frequency_monetary_corr": frequency_spend_correlation(summary),
+        "unstable_clv": unstable_clv_count(scored),
+    }
+
+
+def clv_predictions(
+    clean: DataFrame, on_ties: str = "raise", scored: DataFrame | None = None
+) -> DataFrame:
+    """Value every customer. ``clean`` should be a stored table; ``scored`` is that of
+    ``clv_scores`` where it is at hand."""
+    scored = clv_scores(clean)[0] if scored is None else scored
     valued = store(one_time_fallback(scored, actual_spend(clean)), "clv-valued")
     return clv_tiers(valued, on_ties)

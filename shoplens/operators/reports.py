@@ -9,10 +9,19 @@ from shoplens.sources.stages import store
 INVOICE_BINS, ORDER_BINS, CLV_BINS = 50, 40, 50
 
 
-def eda_charts(clean: DataFrame) -> dict[str, DataFrame]:
+def eda_inputs(clean: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Invoice values and purchases per customer, stored."""
+    return (
+        store(exploration.invoice_value(clean), "invoice-value"),
+        store(exploration.purchase_frequency(clean), "purchase-frequency"),
+    )
+
+
+def eda_charts(
+    clean: DataFrame, inputs: tuple[DataFrame, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Monthly revenue, top countries, and the two trimmed histograms."""
-    invoices = store(exploration.invoice_value(clean), "invoice-value")
-    orders = store(exploration.purchase_frequency(clean), "purchase-frequency")
+    invoices, orders = inputs or eda_inputs(clean)
     return {
         "monthly_revenue": exploration.monthly_revenue(clean),
         "top_countries": exploration.top_countries(clean, 10),

@@ -1,5 +1,7 @@
 """The whole batch, stage by stage: each stage writes Parquet the next one reads."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from shoplens.operators import (
     cleaning,
     clustering,
     decisions,
+    evaluation,
+    exploration,
     lifetime_value,
     reports,
     rfm,
@@ -16,10 +20,18 @@ from shoplens.operators import (
 from shoplens.sources.stages import store
 from shoplens.sources.tables import read_stage, write_csv, write_stage
 
+HOME_COUNTRY = "United Kingdom"
+
 
-def live_scores(clean: DataFrame, trees: int = churn_models.FOREST_TREES) -> DataFrame:
-    """P(churn) of every customer today, from a forest validated on the holdout window."""
-    training = store(churn_features.churn_dataset(clean), "churn-features")
+def live_scores(
+    clean: DataFrame, trees: int = churn_models.FOREST_TREES, training: DataFrame | None = None
+) -> DataFrame:
+    """P(churn) of every customer today, from a forest validated on the holdout window.
+
+    ``training``: the churn dataset, where it is stored already.
+    """
+    if training is None:
+        training = store(churn_features.churn_dataset(clean), "churn-features")
     model = churn_models.fit_forest(training, trees=trees)
     return churn_models.score(model, churn_features.live_features(clean))
 
@@ -49,6 +61,88 @@ def compare_churn_models(
     return comparison, scored, boosted
 
 
+def cleaning_reports(raw: DataFrame, clean: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "cleaning_funnel": cleaning.cleaning_funnel(raw),
+        "raw_profile": cleaning.null_profile(raw),
+        "clean_profile": cleaning.clean_profile(clean),
+    }
+
+
+def exploration_reports(clean: DataFrame, home_country: str) -> dict[str, DataFrame]:
+    inputs = reports.eda_inputs(clean)
+    charts = reports.eda_charts(clean, inputs)
+    return {
+        "eda_country_revenue": exploration.country_revenue(clean),
+        "eda_home_country_share": exploration.home_country_share(clean, home_country),
+        "eda_key_stats": exploration.eda_key_stats(*inputs),
+        **{f"eda_{name}": table for name, table in charts.items()},
+    }
+
+
+def segment_reports(segments: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "rfm_describe": exploration.describe_table(segments, clustering.RFM_COLUMNS),
+        "segment_counts": exploration.value_counts(segments, "Segment"),
+        "segment_summary": rfm.segment_summary(segments),
+        "segment_treemap": rfm.treemap_shares(segments),
+        "rfm_scatter": rfm.rfm_scatter(segments),
+    }
+
+
+def cluster_reports(features: DataFrame, clustered: DataFrame, restarts: int) -> dict[str, DataFrame]:
+    labels = clustered.select("CustomerID", "Cluster")
+    return {
+        "cluster_profile": clustering.cluster_profile(clustered),
+        "cluster_k_selection": clustering.k_sweep(features, restarts=restarts),
+        "cluster_silhouette": clustering.squared_silhouette_row(
+            features.join(labels, "CustomerID")
+        ),
+        "cluster_pca_variance": clustering.Components.fit(features).variance(features),
+    }
+
+
+def churn_reports(
+    comparison: DataFrame, scored: dict[str, DataFrame], boosted, labelled: DataFrame
+) -> dict[str, DataFrame]:
+    """Curves of all models; importances; what the best model gets right on the test part."""
+    best = churn_models.best_model(comparison)
+    winner = scored[best.first()["Model"]]
+    label, probability = "Churned", "ChurnProbability"
+    curves = [
+        evaluation.roc_curve(frame, label, probability).select(F.lit(name).alias("Model"), "*")
+        for name, frame in scored.items()
+    ]
+    return {
+        "churn_rate": churn_features.churn_rate(labelled),
+        "churn_best_model": best.drop("Position"),
+        "churn_roc_curves": reduce(DataFrame.unionByName, curves),
+        "churn_confusion_matrix": evaluation.confusion_matrix(winner, label, probability),
+        "churn_classification_report": evaluation.classification_report(winner, label, probability),
+        "churn_feature_importance": churn_models.feature_importance(boosted, labelled),
+    }
+
+
+def value_reports(valued: DataFrame, fits: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    charts = reports.clv_charts(valued)
+    return {
+        **{f"clv_{name}": table for name, table in fits.items()},
+        "clv_repeat_buyers": lifetime_value.repeat_buyer_counts(valued),
+        "clv_tier_summary": charts["clv_by_tier"],
+        "clv_histogram": charts["clv_histogram"],
+    }
+
+
+def decision_reports(business: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "merge_missing_counts": decisions.merge_missing_counts(business),
+        "tier_risk_crosstab": decisions.tier_risk_crosstab(business),
+        "recommendation_summary": decisions.recommendation_summary(business),
+        "low_priority_share": decisions.low_priority_share(business),
+        "revenue_at_risk": decisions.revenue_at_risk(business),
+    }
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -58,10 +152,14 @@ def run(
     restarts: int = clustering.RESTARTS,
     on_ties: str = "raise",
     csv: bool = False,
+    clusters: int = clustering.CLUSTERS,
+    holdout_days: int = churn_features.HOLDOUT_DAYS,
+    home_country: str = HOME_COUNTRY,
 ) -> dict[str, str]:
     """Run every stage over ``raw`` and return the written paths by table name.
 
-    ``csv`` also writes each table as CSV under ``folder``/csv.
+    Each stage writes its table and the reports on it. ``csv`` also writes each table as CSV under
+    ``folder``/csv.
     """
     paths: dict[str, str] = {}
 
@@ -73,28 +171,47 @@ def run(
             write_csv(written, f"{folder.rstrip('/')}/csv/{name}")
         return written
 
+    def stages(tables: dict[str, DataFrame]) -> None:
+        for name, table in tables.items():
+            stage(name, table)
+
     clean = stage("cleaned", cleaning.clean_transactions(raw))
+    stages(cleaning_reports(raw, clean))
+    stages(exploration_reports(clean, home_country))
+
     segments = stage("rfm_table", rfm.rfm_segments(rfm.rfm_table(clean), on_ties))
+    stages(segment_reports(segments))
+
+    features = clustering.scaled_features(segments)
     clustered = stage(
-        "rfm_clustered", clustering.cluster_customers(segments, restarts=restarts)
+        "rfm_clustered",
+        clustering.cluster_customers(segments, clusters, restarts, features=features),
     )
-    stage("cluster_profile", clustering.cluster_profile(clustered))
+    stages(cluster_reports(features, clustered, restarts))
 
-    labelled = stage("churn_features", churn_features.churn_dataset(clean))
-    comparison, _, boosted = compare_churn_models(labelled, trees, rounds)
-    stage("churn_model_comparison", comparison)
+    cutoff = churn_features.churn_cutoff(clean, holdout_days)
+    labelled = stage("churn_features", churn_features.churn_dataset(clean, cutoff))
+    comparison, tested, boosted = compare_churn_models(labelled, trees, rounds)
+    comparison = stage("churn_model_comparison", comparison)
+    stages(churn_reports(comparison, tested, boosted, labelled))
     stage(
         "churn_predictions", churn_models.score(boosted, labelled, "ChurnProbability_Boosted")
     )
 
-    valued = stage("clv_predictions", lifetime_value.clv_predictions(clean, on_ties))
-    scored = store(live_scores(clean, trees), "live-scores")
+    scored, fits = lifetime_value.clv_scores(clean)
+    valued = stage(
+        "clv_predictions", lifetime_value.clv_predictions(clean, on_ties, scored)
+    )
+    stages(value_reports(valued, fits))
+
+    live = store(live_scores(clean, trees, labelled), "live-scores")
     business = stage(
         "business_recommendations",
         decisions.sort_recommendations(
-            decisions.business_table(scored, clustered, valued, on_ties)
+            decisions.business_table(live, clustered, valued, on_ties)
         ),
     )
+    stages(decision_reports(business))
     for name, table in reports.dashboard_tables(business, segments).items():
         stage(f"dashboard_{name}", table)
     return paths

@@ -1,7 +1,7 @@
 """Independent SQL for the registered queries, run by DuckDB on the same tables.
 
 Each query is a SELECT over shared CTEs; unused CTEs cost nothing. Queries without SQL (model
-fits) are checked by the tests instead.
+fits) have a check query beside them, whose SQL gives the rows and what must hold of them.
 """
 
 RAW_COLUMNS = (
@@ -322,7 +322,7 @@ def _bins(source: str, column: str, bins: int) -> str:
 def _null_rows() -> str:
     kinds = {
         "InvoiceNo": "string", "StockCode": "string", "Description": "string", "Quantity": "int",
-        "InvoiceDate": "timestamp_ntz", "UnitPrice": "decimal(12,2)", "CustomerID": "bigint",
+        "InvoiceDate": "timestamp_ntz", "UnitPrice": "decimal(14,4)", "CustomerID": "bigint",
         "Country": "string",
     }
     return " UNION ALL ".join(
@@ -422,6 +422,25 @@ SQUARED = """((p.Recency - q.Recency) * (p.Recency - q.Recency)
   + (p.Frequency - q.Frequency) * (p.Frequency - q.Frequency)
   + (p.Monetary - q.Monetary) * (p.Monetary - q.Monetary))"""
 
+PCA_POINTS = """SELECT CustomerID,
+        round(Recency * a.x + Frequency * a.y + Monetary * a.z, 6) AS PCA1,
+        round(Recency * b.x + Frequency * b.y + Monetary * b.z, 6) AS PCA2
+        FROM scaled, (SELECT * FROM directions WHERE k = 1) a,
+          (SELECT * FROM directions WHERE k = 2) b"""
+
+# The names of the churn features, as columns of the table they come from.
+FEATURE_NAMES = """SELECT name AS Term FROM (UNPIVOT (SELECT Recency::DOUBLE AS Recency,
+          Frequency::DOUBLE AS Frequency, Monetary::DOUBLE AS Monetary,
+          UniqueProducts::DOUBLE AS UniqueProducts, AvgQuantity::DOUBLE AS AvgQuantity,
+          Tenure::DOUBLE AS Tenure, AvgOrderValue::DOUBLE AS AvgOrderValue,
+          AvgDaysBetweenPurchases::DOUBLE AS AvgDaysBetweenPurchases FROM labelled LIMIT 1)
+          ON COLUMNS(*))"""
+
+SPLIT = """SELECT l.CustomerID, l.Churned, CASE WHEN row_number() OVER (
+          PARTITION BY l.Churned
+          ORDER BY substr(md5(l.CustomerID::VARCHAR || ':42'), 1, 15), l.CustomerID) <= size
+        THEN 1 ELSE 0 END AS IsTest FROM labelled l JOIN test_sizes t USING (Churned)"""
+
 SELECTS = {
     # sources and sinks
     "read_raw": _raw_rows("retail_raw", "CustomerID::VARCHAR"),
@@ -477,6 +496,10 @@ SELECTS = {
     "total_price": """SELECT InvoiceNo, StockCode,
         (Quantity::DECIMAL(11,0) * UnitPrice)::DOUBLE AS TotalPrice FROM retail_raw""",
     "cast_types": _raw_rows("retail_raw", "CustomerID::VARCHAR"),
+    "cast_losses": """SELECT c AS "Column", CASE WHEN c = 'Quantity' THEN n ELSE 0 END AS Lost FROM
+        (SELECT count(*) FILTER (StockCode IN ('post', 'D')) AS n FROM retail_raw),
+        (SELECT unnest(['InvoiceNo', 'StockCode', 'Description', 'Quantity', 'InvoiceDate',
+          'UnitPrice', 'CustomerID', 'Country']) AS c)""",
     "reference_date": """SELECT strftime(today, '%Y-%m-%d %H:%M:%S') AS ReferenceDate,
         strftime(cutoff, '%Y-%m-%d %H:%M:%S') AS Cutoff FROM dates""",
     "whole_days_between": "SELECT CustomerID, Recency FROM rfm",
@@ -605,22 +628,27 @@ SELECTS = {
     # clustering
     "standardize": """SELECT CustomerID, round(Recency, 6) AS Recency,
         round(Frequency, 6) AS Frequency, round(Monetary, 6) AS Monetary FROM scaled""",
+    "kmeans_check": """SELECT count(*) AS Customers, 4 AS Clusters, true AS NotAboveFixed, 9 AS Ks,
+        true AS Falling, true AS SweepAgrees, true AS SilhouettesInRange FROM scaled""",
     "kmeans_assign_fixed": "SELECT CustomerID, Cluster FROM assigned",
     "silhouette": _silhouette(f"sqrt({SQUARED})"),
     "silhouette_squared": _silhouette(SQUARED),
-    "pca_2d": """SELECT CustomerID,
-        round(Recency * a.x + Frequency * a.y + Monetary * a.z, 6) AS PCA1,
-        round(Recency * b.x + Frequency * b.y + Monetary * b.z, 6) AS PCA2
-        FROM scaled, (SELECT * FROM directions WHERE k = 1) a,
-          (SELECT * FROM directions WHERE k = 2) b""",
+    "pca_2d": PCA_POINTS,
+    "chart_pca_check": PCA_POINTS,
     "pca_variance": """SELECT 1 AS Component, round(e1 / 3, 8) AS Ratio FROM eigen
         UNION ALL SELECT 2, round(e2 / 3, 8) FROM eigen""",
     "inertia": "SELECT round(sum(d2), 4) AS Inertia FROM assigned",
     # churn models and evaluation
-    "stratified_split": """SELECT l.CustomerID, l.Churned, CASE WHEN row_number() OVER (
-          PARTITION BY l.Churned
-          ORDER BY substr(md5(l.CustomerID::VARCHAR || ':42'), 1, 15), l.CustomerID) <= size
-        THEN 1 ELSE 0 END AS IsTest FROM labelled l JOIN test_sizes t USING (Churned)""",
+    "stratified_split": SPLIT,
+    # Properties of fits: the rows and labels are computed, what must hold is stated.
+    "churn_models_check": f"""SELECT Model, CustomerID, Churned, true AS InRange, true AS Learned
+        FROM ({SPLIT}), (VALUES ('Logistic Regression'), ('Random Forest'), ('Boosted Trees'))
+          AS m(Model) WHERE IsTest = 1""",
+    "logreg_gradient_check": f"""SELECT Term, true AS Flat FROM ({FEATURE_NAMES})
+        UNION ALL SELECT 'Intercept', true""",
+    "churn_scores_check": f"""SELECT 'live' AS "Rows", CustomerID, true AS InRange FROM live
+        UNION ALL SELECT 'observed', CustomerID, true FROM labelled
+        UNION ALL SELECT 'importance ' || Term, 0, true FROM ({FEATURE_NAMES})""",
     "class_weights": """SELECT Churned, n AS "Rows",
         round(sum(n) OVER ()::DOUBLE / (count(*) OVER () * n), 8) AS Weight FROM class_rows""",
     "scale_pos_weight": """SELECT round(count(*) FILTER (Churned = 0)::DOUBLE
@@ -650,6 +678,12 @@ SELECTS = {
         + ln(1 + CASE WHEN frequency = 0 THEN 0 ELSE 1.6::DOUBLE / (3.0::DOUBLE + frequency)
             * exp((0.9::DOUBLE + frequency) * (ln(20.0::DOUBLE + T) - ln(20.0::DOUBLE + recency)))
           END)), 4) AS LogLikelihood FROM summary""",
+    "lifetime_fit_check": """SELECT 'purchases' AS Model, count(*) AS Customers, true AS AtBest
+        FROM summary UNION ALL SELECT 'spend', count(*), true FROM summary
+        WHERE frequency > 0 AND monetary_value > 0""",
+    "clv_rows_check": """SELECT CustomerID, CASE WHEN frequency = 0
+          THEN round(Monetary::DOUBLE, 4) END AS OneTimeValue, true AS InRange
+        FROM summary JOIN rfm USING (CustomerID)""",
     "expected_purchases": f"""SELECT CustomerID, round(ProbAlive * purchases, 8)
         AS PredictedPurchases_90d FROM alive
         JOIN {ALIVE_PURCHASES.format(horizons="[90]")} USING (CustomerID)""",

@@ -5,6 +5,7 @@ the model fits themselves are registered beside them.
 """
 
 from collections.abc import Callable
+from dataclasses import astuple
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -291,6 +292,14 @@ def cast_types(spark, folder):
     return as_text(plain(cleaning.cast_types(text)), "CustomerID")
 
 
+@query
+def cast_losses(spark, folder):
+    raw = retail_raw(spark, folder)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    # Service codes are no numbers: read as quantities, they are what gets lost.
+    return cleaning.cast_losses(text.withColumn("Quantity", F.col("StockCode")))
+
+
 @query
 def reference_date(spark, folder):
     dates = clean_of(spark, folder).agg(
@@ -729,6 +738,29 @@ def kmeans_assign(spark, folder):
     return labelled.select("CustomerID", "Cluster")
 
 
+@query
+def kmeans_check(spark, folder):
+    """What must hold of the sweep and of the fit, whatever the start: no center is left without
+    customers, no fit costs more than other centers do, cost falls with k, silhouettes are in range."""
+    features = scaled_of(spark, folder)
+    centers = clustering.fit_centers(features)
+    labelled = clustering.assign(features, centers)
+    cost = clustering.inertia(features, centers).first()[0]
+    other = clustering.inertia(features, CENTERS).first()[0]
+    sweep = clustering.k_sweep(features).orderBy("K").collect()
+    costs = [r.Inertia for r in sweep]
+    return labelled.agg(
+        F.count("Cluster").alias("Customers"), F.count_distinct("Cluster").alias("Clusters")
+    ).select(
+        "*",
+        F.lit(cost <= other).alias("NotAboveFixed"),
+        F.lit(len(sweep)).alias("Ks"),
+        F.lit(costs == sorted(costs, reverse=True)).alias("Falling"),
+        F.lit(abs(costs[2] / cost - 1) < 1e-3).alias("SweepAgrees"),
+        F.lit(all(-1 <= r.Silhouette <= 1 for r in sweep)).alias("SilhouettesInRange"),
+    )
+
+
 @query
 def kmeans_assign_fixed(spark, folder):
     return clustering.assign(scaled_of(spark, folder), CENTERS).select("CustomerID", "Cluster")
@@ -743,8 +775,7 @@ def silhouette(spark, folder):
 @query
 def silhouette_squared(spark, folder):
     labelled = clustering.assign(scaled_of(spark, folder), CENTERS)
-    value = clustering.squared_silhouette(labelled, "Cluster")
-    return plain(spark.createDataFrame([(value,)], "Silhouette double"), Silhouette=6)
+    return plain(clustering.squared_silhouette_row(labelled), Silhouette=6)
 
 
 @query
@@ -756,9 +787,8 @@ def pca_2d(spark, folder):
 
 @query
 def pca_variance(spark, folder):
-    ratios = clustering.Components.fit(scaled_of(spark, folder)).variance_ratio
-    rows = [(i, r) for i, r in enumerate(ratios, start=1)]
-    return plain(spark.createDataFrame(rows, "Component int, Ratio double"), Ratio=8)
+    features = scaled_of(spark, folder)
+    return plain(clustering.Components.fit(features).variance(features), Ratio=8)
 
 
 @query
@@ -832,6 +862,76 @@ def score_all_observed(spark, folder):
     return plain(scored)
 
 
+def in_range(name: str):
+    return F.col(name).between(0, 1).alias("InRange")
+
+
+@query
+def churn_models_check(spark, folder):
+    """Test rows of the three fits with their labels; whether the scores are probabilities and
+    whether each model tells the classes of its training rows apart better than chance."""
+    train, test = _split(spark, folder)
+    logistic, scaler = cm.fit_logistic(train)
+    fits = {
+        cm.LOGISTIC: (logistic, scaler),
+        cm.FOREST: (cm.fit_forest(train), None),
+        cm.BOOSTED: (cm.fit_boosted(train), None),
+    }
+    parts = []
+    for name, (model, scale) in fits.items():
+        known = store(cm.score(model, train, scaler=scale), "train-scores")
+        area = evaluation.roc_auc(known, "Churned", "ChurnProbability").first()[0]
+        parts.append(
+            cm.score(model, test, scaler=scale).select(
+                F.lit(name).alias("Model"), "CustomerID", "Churned", in_range("ChurnProbability"),
+                F.lit(area > 0.55).alias("Learned"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def logreg_gradient_check(spark, folder):
+    """The gradient of the logistic objective at the fit, per coefficient: flat at the optimum."""
+    train, _ = _split(spark, folder)
+    model, scaler = cm.fit_logistic(train)
+    counts = cf.class_counts(train)
+    rows = sum(counts.values())
+    miss = cm.balanced_weight(counts) * (F.col("ChurnProbability") - F.col("Churned"))
+    slopes = cm.score(model, train, scaler=scaler).agg(
+        *[(F.sum(miss * scaler.column(c)) / rows).alias(c) for c in cf.FEATURES],
+        (F.sum(miss) / rows).alias("Intercept"),
+    )
+    weights = [*(w / rows for w in model.coefficients.toArray()), 0.0]
+    flat = [
+        F.struct(F.lit(c).alias("Term"), (F.abs(F.col(c) + float(w)) < 1e-3).alias("Flat"))
+        for c, w in zip(slopes.columns, weights)
+    ]
+    return slopes.select(F.inline(F.array(*flat)))
+
+
+@query
+def churn_scores_check(spark, folder):
+    """All customers scored live and all observed customers scored: who, and whether in range."""
+    clean = stored_clean(spark, folder)
+    labelled = store(cf.churn_dataset(clean), "churn-features")
+    live = batch.live_scores(clean, training=labelled)
+    boosted = cm.fit_boosted(labelled)
+    known = cm.score(boosted, labelled)
+    importance = cm.feature_importance(boosted, labelled)
+    total = importance.agg(F.sum("Importance")).first()[0]
+    parts = [
+        live.select(F.lit("live").alias("Rows"), "CustomerID", in_range("ChurnProbability")),
+        known.select(F.lit("observed").alias("Rows"), "CustomerID", in_range("ChurnProbability")),
+        importance.select(
+            F.concat(F.lit("importance "), "Feature").alias("Rows"),
+            F.lit(0).cast("long").alias("CustomerID"),
+            ((F.col("Importance") >= 0) & F.lit(abs(total - 1) < 1e-9)).alias("InRange"),
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def classification_metrics(spark, folder):
     return evaluation.classification_metrics(
@@ -849,7 +949,7 @@ def roc_auc(spark, folder):
 @query
 def roc_curve(spark, folder):
     curve = evaluation.roc_curve(scored_labels(spark, folder), "Churned", "ChurnProbability")
-    # The origin's threshold is infinite; shown as text, which every engine prints alike.
+    # The origin's threshold is infinite, which engines print differently; it is shown as -1.
     return curve.select(
         "Fpr",
         "Tpr",
@@ -912,6 +1012,44 @@ def bgnbd_params(spark, folder):
     return lv.fit_bgnbd(summary_of(spark, folder))[1]
 
 
+@query
+def lifetime_fit_check(spark, folder):
+    """Customers behind each fit, and whether the penalised likelihood is at its highest there:
+    every parameter is tried a twentieth lower and higher."""
+    summary = summary_of(spark, folder)
+    fits = {
+        "purchases": (lv.fit_bgnbd(summary)[0], lv.bgnbd_objective),
+        "spend": (lv.fit_gamma_gamma(summary)[0], lv.gamma_gamma_objective),
+    }
+    rows = []
+    for name, (model, objective) in fits.items():
+        theta = list(astuple(model))
+        tried = [theta] + [
+            [v * (factor if i == j else 1) for j, v in enumerate(theta)]
+            for i in range(len(theta))
+            for factor in (0.95, 1.05)
+        ]
+        customers, values = objective(summary, tried)
+        slack = 1e-6 * max(1.0, abs(values[0]))
+        rows.append((name, int(customers), min(values[1:]) >= values[0] - slack))
+    return spark.createDataFrame(rows, "Model string, Customers long, AtBest boolean")
+
+
+@query
+def clv_rows_check(spark, folder):
+    """Every customer once, with the value of one-time buyers and the range of the others."""
+    valued = lv.clv_predictions(stored_clean(spark, folder), on_ties="merge")
+    one_time = F.when(F.col("frequency") == 0, F.round("CLV_12m", 4))
+    return valued.select(
+        "CustomerID",
+        one_time.alias("OneTimeValue"),
+        (
+            (F.col("CLV_12m") >= 0) & F.col("ProbAlive").between(0, 1)
+            & (F.col("PredictedPurchases_90d") >= 0)
+        ).alias("InRange"),
+    )
+
+
 @query
 def expected_purchases(spark, folder):
     value = lv.expected_purchases(PURCHASES, 90).alias("PredictedPurchases_90d")
@@ -1019,6 +1157,12 @@ def chart_pca_points(spark, folder):
     )
 
 
+@query
+def chart_pca_check(spark, folder):
+    placed = clustering.cluster_customers(segments_of(spark, folder))
+    return plain(placed.select("CustomerID", "PCA1", "PCA2"), PCA1=6, PCA2=6)
+
+
 @query
 def chart_clv(spark, folder):
     charts = reports.clv_charts(valued_of(spark, folder))

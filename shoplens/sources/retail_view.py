@@ -65,8 +65,8 @@ def retail_raw(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("o_orderdate")
                 + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
             ).alias("InvoiceDate"),
-            F.when((part + F.col("l_suppkey")) % 61 == 0, F.lit(0).cast("decimal(12,2)"))
-            .otherwise(F.col("p_retailprice").cast("decimal(12,2)"))
+            F.when((part + F.col("l_suppkey")) % 61 == 0, F.lit(0).cast("decimal(14,4)"))
+            .otherwise(F.col("p_retailprice").cast("decimal(14,4)"))
             .alias("UnitPrice"),
             F.when(F.col("o_custkey") % 41 != 0, F.col("buyer")).alias("CustomerID"),
             F.col("n_name").alias("Country"),

@@ -9,10 +9,10 @@ RAW = T.StructType(
         T.StructField("Description", T.StringType()),
         T.StructField("Quantity", T.IntegerType()),
         T.StructField("InvoiceDate", T.TimestampNTZType()),
-        T.StructField("UnitPrice", T.DecimalType(12, 2)),
+        T.StructField("UnitPrice", T.DecimalType(14, 4)),
         T.StructField("CustomerID", T.LongType()),
         T.StructField("Country", T.StringType()),
     ]
 )
 
-CLEAN = T.StructType(RAW.fields + [T.StructField("TotalPrice", T.DecimalType(23, 2))])
+CLEAN = T.StructType(RAW.fields + [T.StructField("TotalPrice", T.DecimalType(25, 4))])

@@ -1,35 +1,82 @@
 """Readers and writers for the transaction and customer tables."""
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
+from shoplens.functions.expressions import exact_number
 from shoplens.sources.schemas import CLEAN, RAW
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+#: Seconds with or without a fraction; a fraction is always written.
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
+#: Columns of a CSV file that other programs write as decimals of their own (``17850.0``).
+LOOSE = ("CustomerID", "UnitPrice")
+WIDE = DecimalType(38, 12)
 
-def _read(spark: SparkSession, path: str, schema: StructType, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        # Quotes inside a description are doubled, as pandas and spreadsheets write them.
-        reader = (
-            reader.option("header", True)
-            .option("escape", '"')
-            .option("multiLine", False)
-            .option("mode", "FAILFAST")
-            .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        )
-    return reader.format(fmt).load(path)
+
+def _csv(
+    spark: SparkSession, path: str, schema: StructType, date_format: str, multi_line: bool
+) -> DataFrame:
+    # Quotes inside a description are doubled, as pandas and spreadsheets write them.
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
+        .option("timestampNTZFormat", date_format)
+        .csv(path)
+    )
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw invoice lines with the declared schema."""
-    return _read(spark, path, RAW, fmt)
+def _fitting(name: str, kind: DataType) -> Column:
+    """The column in its declared type; a value that would change ends the read."""
+    value = exact_number(F.col(name), kind)
+    text = F.format_string(f"{name} %s does not fit {kind.simpleString()}", F.col(name).cast("string"))
+    return F.when(F.col(name).isNotNull() & value.isNull(), F.raise_error(text).cast(kind)).otherwise(
+        value
+    )
+
+
+def _lines(
+    spark: SparkSession, path: str, schema: StructType, fmt: str, date_format: str, multi_line: bool
+) -> DataFrame:
+    if fmt != "csv":
+        return spark.read.schema(schema).format(fmt).load(path)
+    loose = [StructField(f.name, WIDE if f.name in LOOSE else f.dataType) for f in schema.fields]
+    return _csv(spark, path, StructType(loose), date_format, multi_line).select(
+        *[
+            _fitting(f.name, f.dataType).alias(f.name) if f.name in LOOSE else F.col(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
-def read_clean(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    date_format: str = TIMESTAMP_FORMAT,
+    multi_line: bool = True,
+) -> DataFrame:
+    """Raw invoice lines with the declared schema.
+
+    CSV: a customer may be written ``17850.0``; ``date_format`` is that of the file. A description
+    may hold line ends; where none does, ``multi_line=False`` lets Spark split large files.
+    """
+    return _lines(spark, path, RAW, fmt, date_format, multi_line)
+
+
+def read_clean(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    date_format: str = TIMESTAMP_FORMAT,
+    multi_line: bool = True,
+) -> DataFrame:
     """Cleaned invoice lines, ``TotalPrice`` included."""
-    return _read(spark, path, CLEAN, fmt)
+    return _lines(spark, path, CLEAN, fmt, date_format, multi_line)
 
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +85,8 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return _read(spark, path, schema, "csv")
+    """A table that ``write_csv`` wrote."""
+    return _csv(spark, path, schema, TIMESTAMP_FORMAT, True)
 
 
 def write_csv(frame: DataFrame, path: str) -> None:

@@ -82,6 +82,29 @@ def test_cast_types_nulls_what_does_not_parse(spark):
     assert row.InvoiceDate == datetime(2011, 1, 2, 3, 4, 5)
 
 
+def test_cast_types_reads_what_spreadsheets_write(spark):
+    rows = [
+        ("1", "x", "d", "3", "12/1/2010 8:26", "0.001", "17850.0", "UK"),
+        ("2", "x", "d", "3", "3/27/2011 2:30", "0.00001", "17850.5", "UK"),
+        ("3", "x", "d", "3", "2011-13-45", None, None, "UK"),
+    ]
+    text = spark.createDataFrame(rows, RAW.names)
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")  # no 02:30 on that day there
+    try:
+        got = cleaning.cast_types(text, "M/d/yyyy H:mm").collect()
+        lost = cleaning.cast_losses(text, "M/d/yyyy H:mm").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.CustomerID for r in got] == [17850, None, None]
+    assert [r.UnitPrice for r in got] == [Decimal("0.0010"), None, None]
+    assert [r.InvoiceDate for r in got] == [
+        datetime(2010, 12, 1, 8, 26), datetime(2011, 3, 27, 2, 30), None,
+    ]
+    assert {r.Column: r.Lost for r in lost if r.Lost} == {
+        "CustomerID": 1, "UnitPrice": 1, "InvoiceDate": 1,
+    }
+
+
 def test_whole_days_are_elapsed_days(spark):
     row = spark.sql(
         "SELECT TIMESTAMP_NTZ '2011-12-10 12:50:00' AS b, TIMESTAMP_NTZ '2011-12-09 23:00:00' AS a"

@@ -124,6 +124,33 @@ def test_boundary_parameters_stay_finite():
     assert np.isfinite(value).all() and (value > 0).all()
 
 
+@pytest.mark.parametrize(
+    "a,b,c,rest",
+    [(3.7, 0.6, 4.6, 1e-2), (3.7, 0.6, 4.6, 2e-5), (3.7, 0.6, 9.6, 1e-4), (3.7, 0.6, 400.6, 1e-5),
+     (1003.0, 0.6, 1004.6, 1e-2), (2.0, -0.5, 1.2, 1e-5)],
+)
+def test_series_near_one_equals_the_long_sum(a, b, c, rest):
+    n = np.arange(3_000_000)
+    expected = 1 + np.cumprod((a + n) * (b + n) / ((c + n) * (1 + n)) * (1 - rest)).sum()
+    assert float(special.hyp2f1(a, b, c, 1 - rest, rest)[0]) == pytest.approx(expected, rel=1e-10)
+
+
+def test_new_customers_do_not_stop_the_forecast():
+    x, age = np.array([0.0, 0.0, 3.0, 250.0]), np.array([0.0, 10.0, 0.0, 0.0])
+    before = np.zeros(4)
+    for alpha in (20.0, 0.05, 0.005, 1e-9):
+        value = lv._expected_while_alive(lv.BgNbd(0.9, alpha, 1.6, 4.0), 360.0, x, age)
+        assert np.isfinite(value).all() and (value >= before).all()
+        before = value
+
+
+def test_no_errors_at_the_boundary():
+    theta = np.array([0.5, 1e-13])
+    flat = lv._errors(np.array([[2.0, 0.0], [0.0, 1e-12]]), theta, 100.0)
+    assert flat == (pytest.approx(0.5 / np.sqrt(200)), None)
+    assert lv._errors(np.array([[1.0, 2.0], [2.0, 1.0]]), theta, 100.0) == (None, None)
+
+
 def test_summary_equals_pandas(clean, clean_pandas):
     days = clean_pandas.assign(day=clean_pandas["InvoiceDate"].dt.normalize())
     daily = days.groupby(["CustomerID", "day"])["TotalPrice"].sum().reset_index()

@@ -31,7 +31,7 @@ def test_scans_read_only_what_is_needed(clean):
         "InvoiceNo", "InvoiceDate", "CustomerID", "TotalPrice",
     }
     country = plan_of(exploration.country_revenue(clean))
-    assert "struct<Country:string,TotalPrice:decimal(23,2)>" in country
+    assert "struct<Country:string,TotalPrice:decimal(25,4)>" in country
 
 
 def test_cleaning_filters_reach_the_scan_of_a_raw_table(spark, folder, tmp_path):

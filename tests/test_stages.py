@@ -7,6 +7,22 @@ from shoplens.sources import stages, tables
 from shoplens.sources.retail_view import retail_raw
 
 
+#: Every table that the batch writes.
+TABLES = set(
+    """cleaned cleaning_funnel raw_profile clean_profile eda_country_revenue eda_home_country_share
+    eda_key_stats eda_monthly_revenue eda_top_countries eda_invoice_histogram eda_order_histogram
+    rfm_table rfm_describe segment_counts segment_summary segment_treemap rfm_scatter rfm_clustered
+    cluster_profile cluster_k_selection cluster_silhouette cluster_pca_variance churn_features
+    churn_model_comparison churn_rate churn_best_model churn_roc_curves churn_confusion_matrix
+    churn_classification_report churn_feature_importance churn_predictions clv_predictions
+    clv_purchase_coefficients clv_spend_coefficients clv_frequency_monetary_corr clv_unstable_clv
+    clv_repeat_buyers clv_tier_summary clv_histogram business_recommendations merge_missing_counts
+    tier_risk_crosstab recommendation_summary low_priority_share revenue_at_risk dashboard_kpis
+    dashboard_segment_bar dashboard_clv_pie dashboard_risk_bar dashboard_priority_map
+    dashboard_top_urgent""".split()
+)
+
+
 class Session:
     """Just enough of a session to see which folder is picked."""
 
@@ -63,6 +79,34 @@ def test_csv_keeps_text_types_quotes_and_nulls(spark, tmp_path):
     assert [tuple(r) for r in back] == rows
 
 
+def test_csv_keeps_line_ends_fractions_and_fine_prices(spark, tmp_path):
+    from datetime import datetime
+    from decimal import Decimal
+
+    from shoplens.sources.schemas import RAW
+
+    rows = [
+        ("1", "85A", "two\nlines", 1, datetime(2011, 1, 2, 1, 1, 1, 123456), Decimal("0.0010"), 5, "UK")
+    ]
+    path = str(tmp_path / "raw")
+    tables.write_csv(spark.createDataFrame(rows, RAW), path)
+    assert [tuple(r) for r in tables.read_raw(spark, path, "csv").collect()] == rows
+
+
+def test_csv_of_other_programs(spark, tmp_path):
+    from datetime import datetime
+
+    header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    (tmp_path / "a.csv").write_text(header + "1,x,d,2,12/1/2010 8:26,2.55,17850.0,UK\n2,x,,1,12/1/2010 8:26,1,,UK\n")
+    read = tables.read_raw(spark, str(tmp_path / "a.csv"), "csv", "M/d/yyyy H:mm").orderBy("InvoiceNo")
+    assert [r.CustomerID for r in read.collect()] == [17850, None]
+    assert read.first().InvoiceDate == datetime(2010, 12, 1, 8, 26)
+    for name, line in (("b", "1,x,d,2,12/1/2010 8:26,2.55,17850.5,UK"), ("c", "1,x,d,2,12/1/2010 8:26,0.00001,1,UK")):
+        (tmp_path / f"{name}.csv").write_text(f"{header}{line}\n")
+        with pytest.raises(Exception, match="does not fit"):
+            tables.read_raw(spark, str(tmp_path / f"{name}.csv"), "csv", "M/d/yyyy H:mm").collect()
+
+
 def test_partitioned_stage_prunes(spark, folder, tmp_path):
     from pyspark.sql import functions as F
 
@@ -78,11 +122,11 @@ def test_partitioned_stage_prunes(spark, folder, tmp_path):
 def test_whole_batch(spark, folder, tmp_path):
     paths = batch.run(
         spark, retail_raw(spark, folder), str(tmp_path / "out"), trees=10, rounds=3, restarts=2,
-        csv=True,
+        on_ties="merge", csv=True, home_country="NATION_0",
     )
     read = {name: tables.read_stage(spark, path) for name, path in paths.items()}
     customers = read["rfm_table"].count()
-    assert customers == 145 and read["cleaned"].count() == 4231
+    assert customers == 408 and read["cleaned"].count() == 5243
     for name in ("rfm_clustered", "clv_predictions", "business_recommendations"):
         assert read[name].count() == customers
         assert read[name].select("CustomerID").distinct().count() == customers
@@ -91,7 +135,20 @@ def test_whole_batch(spark, folder, tmp_path):
     assert {r.Model for r in read["churn_model_comparison"].collect()} == {
         cm.LOGISTIC, cm.FOREST, cm.BOOSTED,
     }
-    assert read["churn_predictions"].count() == read["churn_features"].count() == 145
+    assert read["churn_predictions"].count() == read["churn_features"].count() == 399
+    assert set(paths) == TABLES
+    funnel = read["cleaning_funnel"].orderBy("StepNo").collect()
+    assert funnel[-1].RowsAfter == 5243
+    assert read["segment_counts"].agg({"Customers": "sum"}).first()[0] == customers
+    assert [r.K for r in read["cluster_k_selection"].orderBy("K").collect()] == list(range(2, 11))
+    best = read["churn_best_model"].first()
+    compared = {r.Model: r["ROC-AUC"] for r in read["churn_model_comparison"].collect()}
+    assert best["ROC-AUC"] == max(compared.values()) == compared[best.Model]
+    assert set(compared) == {r.Model for r in read["churn_roc_curves"].collect()}
+    assert read["churn_confusion_matrix"].agg({"Customers": "sum"}).first()[0] == 100
+    assert read["clv_purchase_coefficients"].count() == 4
+    assert read["merge_missing_counts"].first().MissingCLV == 0
+    assert read["recommendation_summary"].agg({"Customers": "sum"}).first()[0] == customers
     assert read["dashboard_kpis"].first().TotalCustomers == customers
     assert 0 < read["dashboard_top_urgent"].count() <= 20
     business = read["business_recommendations"]
