@@ -681,7 +681,7 @@ SELECTS = {
     "lifetime_fit_check": """SELECT 'purchases' AS Model, count(*) AS Customers, true AS AtBest
         FROM summary UNION ALL SELECT 'spend', count(*), true FROM summary
         WHERE frequency > 0 AND monetary_value > 0""",
-    "clv_rows_check": """SELECT CustomerID, CASE WHEN frequency = 0
+    "clv_rows_check": """SELECT CustomerID, CASE WHEN summary.frequency = 0
           THEN round(Monetary::DOUBLE, 4) END AS OneTimeValue, true AS InRange
         FROM summary JOIN rfm USING (CustomerID)""",
     "expected_purchases": f"""SELECT CustomerID, round(ProbAlive * purchases, 8)
