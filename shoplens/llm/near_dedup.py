@@ -13,7 +13,10 @@ where they are few, and node by node, skipping what is joined meanwhile, where t
 of all pairs of a group is made, and no candidate between components goes untested.
 
 A set that no token separates from more than ``NODE`` others in ``DEPTH`` levels agrees with them in
-nearly all tokens; such a node is cut at random into parts that share some sets as bridges.
+nearly all tokens. Such a node is first cut into parts that share some sets as bridges, among them the
+one nearest to the node's commonest tokens, which joins a family of copies of one text. Then every set
+outside the node's largest component is compared with all sets of the node, block against block, each
+pair of blocks a node of its own: rows grow with sets left outside x size of the node / ``NODE``.
 
 Only A-Z are put in lower case. A text with fewer words than a shingle is one shingle. A text without
 words, or null, is empty: it links with nothing. Rows with one doc_id are one document. A row with a
@@ -116,8 +119,11 @@ def children(active: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def small_nodes(sets: DataFrame, threshold: float, trees: int) -> DataFrame:
-    """(node, id) of all nodes with 2 to NODE sets; ``sets``: (id, tokens)."""
+def small_nodes(
+    sets: DataFrame, threshold: float, trees: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """(node, id) of all nodes with 2 to NODE sets and of the parts of nodes that stay larger, and
+    (node, id, n) of the larger ones, if any; ``sets``: (id, tokens)."""
     roots = F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree")
     active = sets.select("id", "tokens", roots).withColumn("node", F.xxhash64("tree"))
     leaves = None
@@ -129,14 +135,83 @@ def small_nodes(sets: DataFrame, threshold: float, trees: int) -> DataFrame:
         leaves = small if leaves is None else leaves.unionByName(small)
         large = found.filter(F.col("n") > NODE)
         if large.isEmpty():
-            return leaves
+            return leaves, None
         active = large.join(sets.select("id", "tokens"), "id")
-    parts = F.ceil(F.col("n") * 2 / NODE).cast("int")
-    own = F.array(F.pmod(F.xxhash64("id"), parts).cast("int"))
-    bridge = F.pmod(F.xxhash64("id", "node"), F.col("n")) < BRIDGES
+    large = store(large.select("node", "id", "n"), "large-nodes")
+    return leaves.unionByName(cut_with_bridges(large, sets)), large
+
+
+def blocks(size: Column) -> Column:
+    """Into how many blocks a node is cut so that two blocks have at most about NODE sets."""
+    return F.ceil(size * 2.5 / NODE).cast("int")
+
+
+def cut_with_bridges(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, id) of parts of the large nodes. What the parts separate is left to ``across``."""
+
+    def commonest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_node(batches):
+            tokens, nodes, rows = token_matrix(batch), batch.column("node"), []
+            for a, b in groups(batch):
+                found = (np.unique(column, return_counts=True) for column in tokens[a:b].T)
+                rows.append([int(values[counts.argmax()]) for values, counts in found])
+            firsts = pa.array([a for a, _ in groups(batch)], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [nodes.take(firsts), pa.array(rows, pa.list_(pa.int32()))], ["node", "centre"]
+            )
+
+    rows = large.join(sets.select("id", "tokens"), "id").select("node", "id", "tokens", "n")
+    sample = rows.filter(F.pmod(F.xxhash64("node", "id"), F.col("n")) < NODE // 2)
+    centres = sorted_nodes(sample.select("node", "id", "tokens")).mapInArrow(
+        commonest, "node bigint, centre array<int>"
+    )
+    equal = F.filter(F.zip_with("tokens", "centre", lambda x, y: x == y), lambda same: same)
+    hubs = rows.join(centres, "node").groupBy("node").agg(
+        F.max_by("id", F.struct(F.size(equal), -F.col("id"))).alias("hub")
+    )
+    parts = blocks(F.col("n"))
+    own = F.array(F.pmod(F.xxhash64("id", "node"), parts).cast("int"))
+    chosen = F.pmod(F.xxhash64("id", "node", F.lit(1)), F.col("n")) < BRIDGES
+    bridge = chosen | F.coalesce(F.col("id") == F.col("hub"), F.lit(False))
     every = F.when(bridge, F.sequence(F.lit(0), parts - 1)).otherwise(own)
-    cut = large.select("node", "id", F.explode(every).alias("part"))
-    return leaves.unionByName(cut.select(F.xxhash64("node", "part").alias("node"), "id"))
+    cut = large.join(hubs, "node", "left").select("node", "id", F.explode(every).alias("part"))
+    return cut.select(F.xxhash64("node", "part").alias("node"), "id")
+
+
+def across(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, id) of pairs of blocks of the large nodes, so that every set outside its node's
+    largest component meets all sets of the node; nothing for nodes in one component."""
+    known = large.join(labels, "id", "left").select(
+        "node", "id", F.coalesce("label", "id").alias("label")
+    )
+    known = store(known, "large-labelled")
+    counts = known.groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (
+        counts.groupBy("node")
+        .agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+        .select("node", F.col("top.label").alias("largest"), blocks(F.col("n")).alias("parts"),
+                (F.col("n") - F.col("top.n")).alias("outside"))
+        .filter("outside > 0")
+        .withColumn("outer", blocks(F.col("outside")))
+    )
+    rows = known.join(sizes, "node")
+
+    def block(salt: int, parts: str) -> Column:
+        return F.pmod(F.xxhash64("id", "node", F.lit(salt)), F.col(parts)).cast("int")
+
+    def numbers(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+
+    whole = rows.select("node", "id", numbers("outer").alias("x"), block(1, "parts").alias("y"))
+    outside = (
+        rows.filter("label <> largest")
+        .select("node", "id", block(2, "outer").alias("x"), block(1, "parts").alias("own"),
+                numbers("parts").alias("y"))
+        .filter("y <> own")
+        .drop("own")
+    )
+    pairs = whole.unionByName(outside).select(F.xxhash64("node", "x", "y").alias("node"), "id")
+    return store(pairs, "block-pairs")
 
 
 def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,12 +478,17 @@ def near_duplicates(
     )
     # Four and a half deviations of the estimate below the threshold.
     least = int(TOKENS * threshold - 4.5 * (TOKENS * threshold * (1 - threshold)) ** 0.5)
-    nodes = store(small_nodes(sets, threshold, trees), "small-nodes")
+    nodes, large = small_nodes(sets, threshold, trees)
+    nodes = store(nodes, "small-nodes")
     pairs = store(first_candidates(nodes, sets, least), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    if large is not None:
+        wanted = wanted.union(large.select("id"))
+    wanted = wanted.distinct()
     full = store(full_sets(docs, wanted, words), "full-sets")
     edges = store(linked(pairs, full, percent), "links")
-    # A candidate's two sets are in some forest of its node, so ``full`` has all sets asked for here.
+    # A candidate's two sets are in some forest of its node or in a large node, so ``full`` has all
+    # sets asked for here.
     more, members = open_candidates(nodes, sets, components(edges), least)
     edges = (
         edges.unionByName(linked(more, full, percent))
@@ -416,6 +496,16 @@ def near_duplicates(
         .distinct()
     )
     labels = components(edges)
+    if large is not None:
+        far = across(large, labels)
+        if not far.isEmpty():
+            more, members = open_candidates(far, sets, labels, least)
+            edges = (
+                edges.unionByName(linked(more, full, percent))
+                .unionByName(linked_in_nodes(members, full, percent))
+                .distinct()
+            )
+            labels = components(edges)
     found = sets.join(labels, "id", "left").select(
         "set_key", F.coalesce("label", "id").alias("component_id")
     )

@@ -303,6 +303,38 @@ def test_components_equal_brute_force(spark, monkeypatch, node):
         assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_copies_of_one_text_far_above_a_node_are_one_component(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE", 64)
+    draw, base = random.Random(8), [f"b{i}" for i in range(100)]
+    rows = [(5000, " ".join(base))]
+    for i in range(2500):
+        words = list(base)
+        for place in (draw.randrange(5, 45), draw.randrange(55, 95)):
+            words[place] = f"n{i}p{place}"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(frame, words=3, percent=85)
+    # Every copy has 92 of 104 shingles in common with the base alone.
+    assert Counter(r.component_id for r in found.collect()) == {0: len(rows)}
+
+
+def test_blocks_of_a_large_node_meet(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE", 64)
+    large = spark.createDataFrame([(9, i, 300) for i in range(300)] + [(8, i, 100) for i in range(100)],
+                                  "node long, id long, n long")
+    labels = {i: 0 if i < 120 else 200 for i in range(240) if i < 120 or i >= 200}
+    frame = spark.createDataFrame(list(labels.items()), "id long, label long")
+    nodes = defaultdict(set)
+    for r in near_dedup.across(large, frame).collect():
+        assert r.id not in nodes[r.node]
+        nodes[r.node].add(r.id)
+    met = {(a, b) for own in nodes.values() for a in own for b in own}
+    for a in range(300):
+        for b in range(300):
+            assert (a, b) in met or labels.get(a, a) == labels.get(b, b)
+    assert max(map(len, nodes.values())) <= 1.5 * near_dedup.NODE
+
+
 def test_near_duplicates_of_awkward_rows(docs):
     rows = near_dedup.near_duplicates(docs).collect()
     assert len(rows) == len(ROWS)
