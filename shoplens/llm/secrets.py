@@ -1,9 +1,10 @@
 """Secret scans: patterns, and Shannon entropy of sliding windows over candidate strings.
 
-A candidate is a run of ``CANDIDATE`` characters with a letter and a digit. Its class is the first
-of hex, alnum and base64 that holds all its characters. A window slides over it; the counts of its
-characters change by one in and one out per step, and with them the sum of c * log2(c) that gives
-the entropy. Windows above the class's limit join into spans. A candidate that the allow-list knows
+A candidate is a run of ``CANDIDATE`` characters. For each class (lower or upper hex, alnum, base64)
+it is cut into the longest runs of that class; those with a letter and a digit count. A window slides
+over each; the counts of its characters change by one in and one out per step, and with them the sum
+of c * log2(c) that gives the entropy. Windows above the class's limit join into spans; a span inside
+one of another class is left out, of equal ones the narrower class stays. A candidate that the allow-list knows
 (mail and web addresses, UUIDs, placeholders, well-known digests) adds none, and neither does a span
 inside a pattern's match; pattern matches always stay.
 
@@ -37,9 +38,10 @@ ORDER = {kind: i for i, kind in enumerate(KINDS)}
 #: Window in characters, and per class its characters and the entropy in bits that counts as random.
 WINDOW = 20
 CLASSES = (
-    ("entropy_hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 3.0),
-    ("entropy_alnum", re.compile(r"[A-Za-z0-9]+"), 3.7),
-    ("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
+    ("entropy_hex", re.compile(r"[0-9a-f]{%d,}" % WINDOW), 3.0),
+    ("entropy_hex", re.compile(r"[0-9A-F]{%d,}" % WINDOW), 3.0),
+    ("entropy_alnum", re.compile(r"[A-Za-z0-9]{%d,}" % WINDOW), 3.7),
+    ("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW), 3.8),
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 #: What looks random and is not secret.
@@ -94,16 +96,29 @@ def allowed(text: str, start: int, end: int) -> bool:
     return any(pattern.search(string) for pattern in ALLOWED)
 
 
+def mixed(string: str) -> bool:
+    return any(map(str.isdigit, string)) and any(map(str.isalpha, string))
+
+
+def class_spans(string: str) -> list[tuple[int, int, str]]:
+    """The spans of all classes in a candidate; none inside another."""
+    found: list[tuple[int, int, str]] = []
+    for kind, pattern, limit in CLASSES:
+        for m in pattern.finditer(string):
+            if mixed(m[0]):
+                for a, b in random_runs(m[0], limit):
+                    a, b = m.start() + a, m.start() + b
+                    if not any(x <= a and b <= y for x, y, _ in found):
+                        found = [s for s in found if not (a <= s[0] and s[1] <= b)]
+                        found.append((a, b, kind))
+    return found
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, str]]:
     spans = []
     for m in CANDIDATE.finditer(text):
-        string = m[0]
-        if string.isalpha() or not (any(map(str.isdigit, string)) and any(map(str.isalpha, string))):
-            continue
-        if allowed(text, *m.span()):
-            continue
-        kind, _, limit = next(c for c in CLASSES if c[1].fullmatch(string))
-        spans += [(m.start() + a, m.start() + b, kind) for a, b in random_runs(string, limit)]
+        if mixed(m[0]) and not allowed(text, *m.span()):
+            spans += [(m.start() + a, m.start() + b, kind) for a, b, kind in class_spans(m[0])]
     return spans
 
 

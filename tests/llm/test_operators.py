@@ -399,6 +399,18 @@ def test_entropy_finds_random_strings_and_knows_harmless_ones():
         assert secrets.find_secrets(harmless)[1] == []
 
 
+def test_entropy_takes_every_class_inside_a_joined_string():
+    upper, lower = "9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B", "9f86d081884c7d659a2feaa0"
+    for text, secret in ((f"sig={upper}", upper), (f"build-{lower}", lower), (f"/v1/{lower}", lower)):
+        spans = secrets.find_secrets(text)[1]
+        assert "entropy_hex" in [s[2] for s in spans]
+        assert secret not in secrets.masked(text, spans, "-") and min(s[0] for s in spans) <= text.index(secret)
+    draw = random.Random(6)
+    for _ in range(200):
+        key = "".join(draw.choices("0123456789ABCDEF", k=40))
+        assert any(s[2] == "entropy_hex" for s in secrets.find_secrets(f"sig={key}")[1])
+
+
 def test_redaction(docs):
     rows = secrets.redact(docs).collect()
     assert [r.doc_id for r in rows] == [r[0] for r in ROWS]
