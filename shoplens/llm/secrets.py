@@ -4,9 +4,11 @@ A candidate is a run of ``CANDIDATE`` characters. For each class (lower or upper
 it is cut into the longest runs of that class; those with a letter and a digit count. A window slides
 over each; the counts of its characters change by one in and one out per step, and with them the sum
 of c * log2(c) that gives the entropy. Windows above the class's limit join into spans; a span inside
-one of another class is left out, of equal ones the narrower class stays. A candidate that the allow-list knows
-(mail and web addresses, UUIDs, placeholders, well-known digests) adds none, and neither does a span
-inside a pattern's match; pattern matches always stay.
+one of another class is left out, of equal ones the narrower class stays. No window
+touches what the allow-list knows: mail addresses, host and path of web addresses (their user names
+and queries are scanned), UUIDs, well-known digests, and placeholders with the letters and digits
+joined to them, up to ``REACH`` on either side. Nor does a span count inside a pattern's match;
+pattern matches always stay.
 
 Null or empty text: no spans. Rows are scanned each by itself, so repeated rows and null doc_ids
 give their own results; extra columns pass through ``redact`` and stay out of ``scan``.
@@ -46,11 +48,21 @@ CLASSES = (
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 #: What looks random and is not secret.
 ALLOWED = (
-    re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE),
-    re.compile(r"example|sample|dummy|placeholder|changeme|your[_-]?|xxxx|0123456789|abcdefgh", re.IGNORECASE),
-    re.compile(r"d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709"),
-    re.compile(r"(https?|ftp)$"),
+    re.compile(r"(?<![0-9A-Za-z])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9A-Za-z])",
+               re.IGNORECASE | re.ASCII),
+    re.compile(r"(?<![0-9A-Za-z])(d41d8cd98f00b204e9800998ecf8427e|da39a3ee5e6b4b0d3255bfef95601890afd80709)"
+               r"(?![0-9A-Za-z])"),
 )
+REACH = WINDOW // 2
+PLACEHOLDER = re.compile(
+    r"[A-Za-z0-9]{0,%d}?"
+    r"(example|sample|dummy|placeholder|changeme|your[_-]?|xxxx|0123456789|abcdefgh)"
+    r"(?:(?<![_-])[A-Za-z0-9]{0,%d})?" % (REACH, REACH),
+    re.IGNORECASE | re.ASCII,
+)
+#: Group 1 is what stands before the host, group 2 host and path.
+WEB = re.compile(r"(?:https?|ftp)://([^\s/?#@\"'<>]*@)?([^\s?#\"'<>]*)", re.IGNORECASE)
+MAIL = re.compile(r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]+")
 BITS = [0.0, 0.0, *(c * math.log2(c) for c in range(2, WINDOW + 1))]
 
 
@@ -88,12 +100,18 @@ def random_runs(string: str, limit: float) -> list[tuple[int, int]]:
     return runs
 
 
-def allowed(text: str, start: int, end: int) -> bool:
-    """Does the allow-list know the string, or is it part of an address?"""
-    string, before, after = text[start:end], text[max(0, start - 3) : start], text[end : end + 1]
-    if after == "@" or before.endswith("@") or "://" in before:
-        return True
-    return any(pattern.search(string) for pattern in ALLOWED)
+def addresses_in(text: str) -> list[tuple[int, int]]:
+    """Host and path of web addresses, and mail addresses outside of web addresses' user names."""
+    found, users = [], set()
+    if "://" in text:
+        for m in WEB.finditer(text):
+            found.append(m.span(2))
+            users.add(m.end(1))
+    if "@" in text:
+        for m in MAIL.finditer(text):
+            if text.index("@", m.start()) + 1 not in users:
+                found.append(m.span())
+    return sorted(found)
 
 
 def mixed(string: str) -> bool:
@@ -115,10 +133,24 @@ def class_spans(string: str) -> list[tuple[int, int, str]]:
 
 
 def entropy_spans(text: str) -> list[tuple[int, int, str]]:
-    spans = []
-    for m in CANDIDATE.finditer(text):
-        if mixed(m[0]) and not allowed(text, *m.span()):
-            spans += [(m.start() + a, m.start() + b, kind) for a, b, kind in class_spans(m[0])]
+    spans: list[tuple[int, int, str]] = []
+    candidates = [m.span() for m in CANDIDATE.finditer(text) if mixed(m[0])]
+    addresses, first = addresses_in(text) if candidates else [], 0
+    for start, end in candidates:
+        known = [m.span() for p in (*ALLOWED, PLACEHOLDER) for m in p.finditer(text, start, end)]
+        while first < len(addresses) and addresses[first][1] <= start:
+            first += 1
+        for place in range(first, len(addresses)):
+            a, b = addresses[place]
+            if a >= end:
+                break
+            if b > start:
+                known.append((max(a, start), min(b, end)))
+        at = start
+        for a, b in [*sorted(known), (end, end)]:
+            if a - at >= WINDOW:
+                spans += [(at + x, at + y, kind) for x, y, kind in class_spans(text[at:a])]
+            at = max(at, b)
     return spans
 
 

@@ -411,6 +411,16 @@ def test_entropy_takes_every_class_inside_a_joined_string():
         assert any(s[2] == "entropy_hex" for s in secrets.find_secrets(f"sig={key}")[1])
 
 
+def test_the_allow_list_covers_only_what_it_knows():
+    key, uuid = "tR4x9QmZ7pLw2VbN8sKd3HgY6", "123e4567-e89b-12d3-a456-426614174000"
+    for text in (f"sample-app/{key}", f"{uuid}_{key}", f"your_{key}", f"EXAMPLE{'q' * 30}/{key}",
+                 f"https://example.com/a?sig={key}", f"https://u1:{key}@host.example.com/a"):
+        assert key not in secrets.masked(text, secrets.find_secrets(text)[1], "-"), text
+    for harmless in (f"https://host.org/files/{key}", f"see ftp://host.org/v1/{key}/x, too", f"{uuid}/{uuid}",
+                     f"sample{key}", f"dummy/{uuid}", f"http://host.org/{key.lower()}"):
+        assert secrets.find_secrets(harmless)[1] == [], harmless
+
+
 def test_redaction(docs):
     rows = secrets.redact(docs).collect()
     assert [r.doc_id for r in rows] == [r[0] for r in ROWS]
