@@ -8,8 +8,10 @@ of the other view. At the end the two calibrated scores are combined by a third
 the documents kept apart, and all documents are scored. All rows take part; the driver holds
 coefficients and histograms of scores of fixed size.
 
-Labels: the mean ``quality`` of a doc_id, null ones left out; 1/2 and more is good. If labels or one
-of the two classes are missing, there is no ground to reject by: every score is 1. Null text: empty. A null doc_id is never labelled. Repeated rows are scored each by itself.
+Two targets are learned by the same views, each for itself: ``good`` from the mean ``quality`` of a
+doc_id (1/2 and more is good) and ``clean`` from its mean ``toxic`` (below 1/2 is clean), null ones
+left out. A document is rejected on either. If a target's labels or one of its two classes are
+missing, there is no ground to reject by: its every score is 1. Null text: empty. A null doc_id is never labelled. Repeated rows are scored each by itself.
 Extra columns stay out of ``score_documents`` and pass through ``keep_good``.
 """
 
@@ -36,7 +38,7 @@ ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 2, 0.98, 0.5
 REJECT_BELOW = 0.5
 #: Share of the labelled documents kept apart for calibration: one in APART, by checksum of doc_id.
 APART = 5
-VIEWS = ("text", "meta")
+VIEWS, TARGETS = ("text", "meta"), ("good", "clean")
 LARGEST = 12.0  # log odds beyond this count as this
 CLASSES = (r"\p{Lu}", r"\p{L}", r"\p{N}", r"[#*$%&|<>]", r"[!?]", r"[.,;:]")
 
@@ -156,82 +158,99 @@ def probability(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
 
 
-def fit_on_histogram(rows: DataFrame, scores: list[Column], step: float) -> np.ndarray:
+def fit_on_histogram(
+    rows: DataFrame, scores: list[Column], step: float, target: str
+) -> np.ndarray:
     """A logistic regression on scores rounded to ``step``: at most a fixed number of cells."""
     names = [f"s{i}" for i in range(len(scores))]
     cells = (
-        rows.select("good", *((F.round(s / step) * step).alias(n) for s, n in zip(scores, names)))
+        rows.select(F.col(target).alias("good"), *((F.round(s / step) * step).alias(n) for s, n in zip(scores, names)))
         .groupBy("good", *names).count().toPandas()
     )
     positive = cells.loc[cells.good == 1, "count"].sum()
     negative = cells.loc[cells.good == 0, "count"].sum()
-    target = np.where(
-        cells.good == 1, (positive + 1) / (positive + 2), 1 / (negative + 2)
-    )
-    return logistic(cells[names].to_numpy(float), cells["count"].to_numpy(float), target)
+    aim = np.where(cells.good == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
+    return logistic(cells[names].to_numpy(float), cells["count"].to_numpy(float), aim)
 
 
-def co_train(rows: DataFrame, apart: DataFrame, rounds: int) -> Column:
-    """The log odds of a document to be good, as an expression over the two views.
+def co_train(rows: DataFrame, apart: DataFrame, rounds: int, target: str) -> Column:
+    """The log odds of a document to be ``target``, as an expression over the two views.
 
-    ``rows``: (view_text, view_meta, good, apart), good null if unlabelled; ``apart``: the labelled rows that
+    ``rows``: (view_text, view_meta, target, apart), target null if unlabelled; ``apart``: the labelled rows that
     calibrate.
     """
     extra: dict[str, Column | None] = dict.fromkeys(VIEWS)
     for turn in range(rounds + 1):
         scores = {}
         for view in VIEWS:
-            label = F.col("good").cast("double")
+            label = F.col(target).cast("double")
             weight = F.lit(1.0)
             if extra[view] is not None:
                 weight = F.when(label.isNull(), PSEUDO_WEIGHT).otherwise(1.0)
                 label = F.coalesce(label, extra[view])
-            training = rows.filter("NOT apart OR good IS NULL").select(
+            training = rows.filter(f"NOT apart OR {target} IS NULL").select(
                 array_to_vector(f"view_{view}").alias("features"), label.alias("label"), weight.alias("weight")
             )
             model = LogisticRegression(maxIter=20, regParam=1e-3, weightCol="weight").fit(
                 training.filter("label IS NOT NULL")
             )
             raw = log_odds(model, view)
-            scores[view] = combined(fit_on_histogram(apart, [raw], 0.01), [raw])
+            scores[view] = combined(fit_on_histogram(apart, [raw], 0.01, target), [raw])
         if turn < rounds:
             for view, other in zip(VIEWS, VIEWS[::-1]):
                 sure = probability(scores[other])
                 extra[view] = F.when(sure >= CONFIDENT, 1.0).when(sure <= 1 - CONFIDENT, 0.0)
     bounded = [F.greatest(F.least(scores[v], F.lit(LARGEST)), F.lit(-LARGEST)) for v in VIEWS]
-    return combined(fit_on_histogram(apart, bounded, 0.1), bounded)
+    return combined(fit_on_histogram(apart, bounded, 0.1, target), bounded)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, rounds: int) -> tuple[DataFrame, Column]:
-    """Stored rows (doc_id, views), and the chance of good quality as an expression over the views."""
+def fitted(
+    docs: DataFrame, labels: DataFrame, rounds: int
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Stored rows (doc_id, views), and for each target its chance as an expression over the views."""
+    for column in ("quality", "toxic"):
+        if column not in labels.columns:
+            labels = labels.withColumn(column, F.lit(None).cast("int"))
     known = (
-        labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+        labels.filter("doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
-        .agg((F.avg("quality") >= 0.5).cast("int").alias("good"))
-    )
+        .agg((F.avg("quality") >= 0.5).cast("int").alias("good"),
+             (F.avg("toxic") < 0.5).cast("int").alias("clean"))
+    )
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % APART == 0
     own = featured(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *inputs()), ["doc_id"])
     rows = own.join(known, "doc_id", "left").withColumn("apart", F.coalesce(held, F.lit(False)))
     rows = store(rows, "views")
-    seen = rows.filter("good IS NOT NULL").groupBy("good", "apart").count().toPandas()
-    if seen.empty or seen.good.nunique() < 2 or seen[~seen.apart].good.nunique() < 2:
-        return rows, F.lit(1.0)
-    apart = rows.filter("good IS NOT NULL")
-    if seen[seen.apart].good.nunique() == 2:
-        apart = apart.filter("apart")
-    return rows, probability(co_train(rows, apart, rounds))
+    scores = {}
+    for target in TARGETS:
+        labelled = rows.filter(f"{target} IS NOT NULL")
+        seen = labelled.groupBy(F.col(target).alias("is"), "apart").count().toPandas()
+        if seen.empty or seen["is"].nunique() < 2 or seen[~seen.apart]["is"].nunique() < 2:
+            scores[target] = F.lit(1.0)
+            continue
+        apart = labelled
+        if seen[seen.apart]["is"].nunique() == 2:
+            apart = labelled.filter("apart")
+        scores[target] = probability(co_train(rows, apart, rounds, target))
+    return rows, scores
+
+
+def is_kept(scores: dict[str, Column]) -> Column:
+    return F.least(*scores.values()) >= REJECT_BELOW
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """doc_id, score (chance of good quality) and kept for every row."""
-    rows, score = fitted(docs, labels, rounds)
-    return rows.select("doc_id", score.alias("score")).withColumn(
-        "kept", F.col("score") >= REJECT_BELOW
-    )
+    """doc_id, score (chance of good quality), kept and clean_score (chance not to be toxic) for
+    every row; kept asks for both."""
+    rows, scores = fitted(docs, labels, rounds)
+    return rows.select(
+        "doc_id", scores["good"].alias("score"), is_kept(scores).alias("kept"),
+        scores["clean"].alias("clean_score"),
+    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The documents that are kept, with all their columns; texts are read again, not shuffled."""
-    _, score = fitted(docs, labels, rounds)
+    _, scores = fitted(docs, labels, rounds)
     whole = docs.select(F.struct("*").alias("doc"), *inputs())
-    return featured(whole, ["doc"]).filter(score >= REJECT_BELOW).select("doc.*")
+    return featured(whole, ["doc"]).filter(is_kept(scores)).select("doc.*")

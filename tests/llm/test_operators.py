@@ -221,6 +221,24 @@ def test_classifier_on_held_out_labels(spark, folder, table):
     assert scored.count() == table.count()
 
 
+def test_classifier_rejects_toxic_documents_of_good_quality(spark):
+    draw, plain = random.Random(9), [f"w{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(600):
+        toxic, bad = i % 5 == 0, i % 7 == 0
+        words = draw.choices(plain, k=80) + ["vile", "scum"] * (8 * toxic) + ["###"] * (20 * bad)
+        draw.shuffle(words)
+        rows.append((i, " ".join(words), "en", "a"))
+        labels.append((i, int(not bad), int(toxic)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    known = spark.createDataFrame([r for r in labels if r[0] % 3], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality_classifier.score_documents(frame, known).collect()}
+    held = [r for r in labels if r[0] % 3 == 0]
+    caught = [not kept[i] for i, quality, toxic in held if toxic and quality]
+    clean = [kept[i] for i, quality, toxic in held if quality and not toxic]
+    assert sum(caught) >= 0.9 * len(caught) and sum(clean) >= 0.95 * len(clean)
+
+
 # ---- fingerprints --------------------------------------------------------------------------------
 
 
