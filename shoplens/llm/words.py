@@ -76,6 +76,19 @@ def split_words(texts: pa.Array) -> Words:
     )
 
 
+def raw_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts one after the other, and where each begins. Null: empty."""
+    texts = pc.fill_null(texts, "")
+    starts = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[starts[0] : starts[-1]]
+    return data, starts - starts[0]
+
+
+def from_raw(data: bytes, starts: np.ndarray) -> pa.Array:
+    """Texts from their bytes and starts."""
+    return pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data))
+
+
 def joined_lines(strings: pa.Array) -> str:
     """The strings with a line end between two."""
     whole = pa.ListArray.from_arrays(pa.array([0, len(strings)], pa.int32()), strings)

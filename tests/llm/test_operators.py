@@ -496,5 +496,5 @@ def test_pipeline_stages(spark, folder, table, docs, empty):
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
