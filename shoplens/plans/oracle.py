@@ -1,9 +1,12 @@
 """Independent SQL for the registered queries, run by DuckDB on the same tables.
 
-Each query is a SELECT over shared CTEs; unused CTEs cost nothing. Queries without SQL (model
-fits) have a check query beside them, whose SQL gives the rows and what must hold of them.
+Each query is a SELECT over shared CTEs; unused CTEs cost nothing. ``model_sql`` repeats the fits of the
+churn models. Queries without SQL (other fits) have a check query beside them, whose SQL gives the
+rows and what must hold of them.
 """
 
+from shoplens.plans import model_sql
+
 RAW_COLUMNS = (
     "InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country"
 )
@@ -746,9 +749,11 @@ SELECTS = {
 
 def oracle_queries() -> dict[str, str]:
     out = {}
-    for name, select in SELECTS.items():
+    for name, select in {**SELECTS, **model_sql.selects(SPLIT, FEATURE_COLUMNS)}.items():
         # A select with its own CTEs continues the shared list.
-        if select.startswith("WITH "):
+        if select.startswith("WITH RECURSIVE "):
+            out[name] = f"WITH RECURSIVE {SHARED.strip()}, {select[len('WITH RECURSIVE '):]}"
+        elif select.startswith("WITH "):
             out[name] = f"WITH {SHARED.strip()}, {select[len('WITH '):]}"
         else:
             out[name] = f"WITH {SHARED.strip()} {select}"

@@ -826,7 +826,8 @@ def _split(spark, folder):
 def logreg_churn(spark, folder):
     train, test = _split(spark, folder)
     model, scaler = cm.fit_logistic(train)
-    return cm.score(model, test, scaler=scaler).select("CustomerID", "Churned", "ChurnProbability")
+    scored = cm.score(model, test, scaler=scaler)
+    return plain(scored.select("CustomerID", "Churned", "ChurnProbability"), ChurnProbability=6)
 
 
 @query
@@ -839,19 +840,22 @@ def logreg_score_fixed(spark, folder):
 def random_forest_churn(spark, folder):
     train, test = _split(spark, folder)
     model = cm.fit_forest(train)
-    return cm.score(model, test).select("CustomerID", "Churned", "ChurnProbability")
+    scored = cm.score(model, test)
+    return plain(scored.select("CustomerID", "Churned", "ChurnProbability"), ChurnProbability=6)
 
 
 @query
 def boosted_trees_churn(spark, folder):
     train, test = _split(spark, folder)
     model = cm.fit_boosted(train)
-    return cm.score(model, test).select("CustomerID", "Churned", "ChurnProbability")
+    scored = cm.score(model, test)
+    return plain(scored.select("CustomerID", "Churned", "ChurnProbability"), ChurnProbability=6)
 
 
 @query
 def score_live_customers(spark, folder):
-    return batch.live_scores(stored_clean(spark, folder)).select("CustomerID", "ChurnProbability")
+    live = batch.live_scores(stored_clean(spark, folder))
+    return plain(live.select("CustomerID", "ChurnProbability"), ChurnProbability=6)
 
 
 @query
@@ -859,7 +863,7 @@ def score_all_observed(spark, folder):
     labelled = labelled_of(spark, folder)
     train, _ = _split(spark, folder)
     scored = cm.score(cm.fit_boosted(train), labelled, "ChurnProbability_Boosted")
-    return plain(scored)
+    return plain(scored, ChurnProbability_Boosted=6)
 
 
 def in_range(name: str):
@@ -975,7 +979,7 @@ def classification_report(spark, folder):
 @query
 def feature_importance(spark, folder):
     train, _ = _split(spark, folder)
-    return cm.feature_importance(cm.fit_boosted(train), train)
+    return plain(cm.feature_importance(cm.fit_boosted(train), train), Importance=6)
 
 
 @query
