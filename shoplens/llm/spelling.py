@@ -124,10 +124,10 @@ def best_splits(words: DataFrame, box: int) -> DataFrame:
     """(node, letter, least): the most even split of each node with more than ``box`` words; words with
     ``least`` of the letter or more go right. Nodes whose words have all the same counts give no row."""
     sizes = words.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > box)
-    open_words = words.join(sizes.select("node"), "node", "left_semi")
     letters = F.explode(F.array_distinct(F.split("word", ""))).alias("letter")
+    # All words are counted, those of small boxes too: sorting these out first would deal the words by box.
     cells = (
-        open_words.select("node", "word", letters).filter("letter <> ''")
+        words.select("node", "word", letters).filter("letter <> ''")
         .groupBy("node", "letter", times(F.col("letter")).alias("least"))
         .agg(F.count(F.lit(1)).alias("here"))
     )
