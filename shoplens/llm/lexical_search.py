@@ -42,6 +42,7 @@ from shoplens.llm.words import Words, from_raw, raw_texts, slices, split_words
 from shoplens.sources.stages import store
 
 TOP, BATCH = 20, 8 << 20
+BLOCK = 2 << 20  # bytes of text in a block of the index, one text at least
 #: Digits, letters (A-Z in lower case) and all bytes of longer characters stay, the rest is space.
 TERM_BYTES = bytes(
     b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32
@@ -104,7 +105,7 @@ def counted_blocks(docs: DataFrame, lexicon: dict[str, int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = shared.value
-        for part in slices(batches):
+        for part in slices(batches, limit=BLOCK):
             words = terms_of(part.column("text"))
             known = np.fromiter((number.get(w, -1) for w in words.strings()), np.int64, len(words.distinct))
             code = known[words.codes] if len(known) else np.empty(0, np.int64)
