@@ -29,8 +29,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +40,8 @@ from shoplens.sources.stages import store
 LEAST_LENGTH, LEAST_COUNT, FACTOR = 6, 5, 5
 BOX, VISITORS, LEAF = 4096, 1 << 18, 24
 EVERY = 199  # of the runs of a document one in EVERY loses a letter
-CELLS = 1 << 22  # letters compared at a time
+CELLS = 1 << 20  # letters compared at a time
+SLICE = 2 << 20  # bytes of text whose words are counted at a time, one text at least
 
 
 # ---- words ---------------------------------------------------------------------------------------
@@ -70,7 +71,7 @@ def edited(run: str, checksum: int) -> str:
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) of each slice."""
-    for part in slices(batches):
+    for part in slices(batches, limit=SLICE):
         words = split_words(letter_runs(part.column("text")))
         runs = words.strings()
         raw = [run.encode() for run in runs]
@@ -290,11 +291,12 @@ def search(
         work.append((visitors[enter], up[enter], (down - spare)[enter], inside[~goes]))
 
 
-def box_matches(group: pd.DataFrame) -> pd.DataFrame:
+def box_matches(group: pa.Table) -> pa.Table:
     """(word, n_near, best_n, best) of each visitor of one box: how many words of the box are near and
     the one of largest count, of equal ones the smallest."""
-    home = group["n"].notna()
-    inside, n = group.loc[home, "word"].tolist(), group.loc[home, "n"].to_numpy(np.int64)
+    home = pc.is_valid(group["n"])
+    own, guests = group.filter(home), group.filter(pc.invert(home))["word"].combine_chunks()
+    inside, n = own["word"].to_pylist(), own["n"].to_numpy()
     out = []
     if inside:
         two = letters_of(inside)
@@ -302,10 +304,9 @@ def box_matches(group: pd.DataFrame) -> pd.DataFrame:
         ranked = sorted(range(len(inside)), key=lambda j: (-n[j], inside[j]))
         rank = np.empty(len(inside), dtype=np.int64)
         rank[ranked] = np.arange(len(inside))
-        guests = group.loc[~home, "word"]
-        size = guests.str.len()
+        size = pc.utf8_length(guests)
         for length, gain, loss in ((two.shape[1] - 1, 1, 0), (two.shape[1], 1, 1), (two.shape[1] + 1, 0, 1)):
-            words = guests[size == length].tolist()
+            words = guests.filter(pc.equal(size, length)).to_pylist()
             if not words:
                 continue
             many, best = np.zeros(len(words), dtype=np.int64), np.full(len(words), len(inside))
@@ -315,7 +316,11 @@ def box_matches(group: pd.DataFrame) -> pd.DataFrame:
             for i in np.flatnonzero(many).tolist():
                 j = ranked[best[i]]
                 out.append((words[i], int(many[i]), int(n[j]), inside[j]))
-    return pd.DataFrame(out, columns=["word", "n_near", "best_n", "best"])
+    columns = zip(*out) if out else [[]] * 4
+    kinds = pa.string(), pa.int64(), pa.int64(), pa.string()
+    return pa.table(
+        [pa.array(c, k) for c, k in zip(columns, kinds)], names=["word", "n_near", "best_n", "best"]
+    )
 
 
 def near_words(words: DataFrame, box: int = BOX, visitors: int = VISITORS) -> DataFrame:
@@ -345,7 +350,7 @@ def near_words(words: DataFrame, box: int = BOX, visitors: int = VISITORS) -> Da
     )
     found = (
         one.unionByName(two).groupBy("node", "x", "y")
-        .applyInPandas(box_matches, "word string, n_near bigint, best_n bigint, best string")
+        .applyInArrow(box_matches, "word string, n_near bigint, best_n bigint, best string")
     )
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("first")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select(
