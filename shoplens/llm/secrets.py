@@ -10,7 +10,8 @@ and queries are scanned), UUIDs, well-known digests, and placeholders with the l
 joined to them, up to ``REACH`` on either side. Nor does a span count inside a pattern's match;
 pattern matches always stay.
 
-Null or empty text: no spans. Rows are scanned each by itself, so repeated rows and null doc_ids
+Null or empty text: no spans. A text is swept once, so a long one takes time in proportion to its length
+and its number of spans. Ties: spans at one place are listed by kind. An empty table gives no rows. Rows are scanned each by itself, so repeated rows and null doc_ids
 give their own results; extra columns pass through ``redact`` and stay out of ``scan``.
 """
 
@@ -19,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -118,17 +121,31 @@ def mixed(string: str) -> bool:
     return any(map(str.isdigit, string)) and any(map(str.isalpha, string))
 
 
+def without_nested(found: list[tuple], more: list[tuple]) -> list[tuple]:
+    """Both lists of spans as one, none inside another; of equal ones that of ``found`` stays. Each is
+    sorted and has no nested spans, so its ends ascend like its starts."""
+    starts = [span[0] for span in found]
+    dropped, added = set(), []
+    for span in more:
+        before = bisect_right(starts, span[0]) - 1
+        if before >= 0 and found[before][1] >= span[1]:
+            continue
+        added.append(span)
+        at = bisect_left(starts, span[0])
+        while at < len(found) and found[at][1] <= span[1]:
+            dropped.add(at)
+            at += 1
+    return sorted([s for i, s in enumerate(found) if i not in dropped] + added)
+
+
 def class_spans(string: str) -> list[tuple[int, int, str]]:
     """The spans of all classes in a candidate; none inside another."""
     found: list[tuple[int, int, str]] = []
     for kind, pattern, limit in CLASSES:
-        for m in pattern.finditer(string):
-            if mixed(m[0]):
-                for a, b in random_runs(m[0], limit):
-                    a, b = m.start() + a, m.start() + b
-                    if not any(x <= a and b <= y for x, y, _ in found):
-                        found = [s for s in found if not (a <= s[0] and s[1] <= b)]
-                        found.append((a, b, kind))
+        found = without_nested(found, [
+            (m.start() + a, m.start() + b, kind)
+            for m in pattern.finditer(string) if mixed(m[0]) for a, b in random_runs(m[0], limit)
+        ])
     return found
 
 
@@ -159,7 +176,12 @@ def find_secrets(text: str | None) -> tuple[list, list]:
     text = text or ""
     by = lambda span: (span[0], ORDER[span[2]], span[1])
     base = sorted(base_spans(text), key=by)
-    added = [s for s in entropy_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+    starts, reach = [b[0] for b in base], list(accumulate((b[1] for b in base), max))
+    added = []
+    for span in entropy_spans(text):
+        before = bisect_right(starts, span[0])
+        if not before or reach[before - 1] < span[1]:
+            added.append(span)
     return base, sorted(base + added, key=by)
 
 
