@@ -5,12 +5,13 @@ split over k windows: every rest begins as a partial partition of its own; again
 partial partitions with the widest spread are merged, the fullest window of one with the emptiest of
 the other, so that opposing imbalances cancel and all windows end nearly equal. If one exceeds the
 capacity, k rises by one and the block is split anew. A block closes when its rests fill ``FILL`` of
-``windows`` windows, so near-equal windows are near-full ones.
+``windows`` windows, so near-equal windows are near-full ones, or when it has ``RESTS`` rests. Where more rests
+are longer than half a window than windows are needed, half a window is cut off each of them.
 
 Blocks are made and packed inside the tasks that tokenize: no text moves, and a task holds one block
 of rests. Only the last block of a task may leave a window emptier.
 
-Null or empty text: the end id alone. Repeated rows are packed each by itself; a null doc_id stays
+Null or empty text: the end id alone. Equal sizes go by their order in the task. Repeated rows are packed each by itself; a null doc_id stays
 null; extra columns stay out of the result; an empty table gives no rows.
 """
 
@@ -30,6 +31,7 @@ from shoplens.llm.tokens import encoder, with_end
 from shoplens.llm.words import slices
 
 FILL = 0.985
+RESTS = 1 << 16  # rests of a block at most, so very short texts do not pile up
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint"
@@ -37,46 +39,42 @@ SCHEMA = (
 
 
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
-    """``sizes`` split over k windows of nearly equal sums: the places of the items of each."""
+    """``sizes`` (all above 0) split over k windows of nearly equal sums: the places of the items of each."""
     if k <= 1:
         return [list(range(len(sizes)))]
-    following = np.full(len(sizes), -1, dtype=np.int64)
-    # A partial partition: sums in ascending order, and the first and last item of each window.
-    queue = []
-    for i, size in enumerate(sizes):
-        sums, ends = np.zeros(k, dtype=np.int64), np.full((2, k), -1, dtype=np.int64)
-        sums[-1], ends[:, -1] = size, i
-        queue.append((-size, i, sums, ends))
+    following = [-1] * len(sizes)
+    # A partial partition: its filled windows (sum, first item, last item), least sum first. The other
+    # windows are empty, so an item that has not met another is one window, whatever k is.
+    queue = [(-size, i, [(size, i, i)]) for i, size in enumerate(sizes)]
     heapq.heapify(queue)
     made = len(sizes)
     while len(queue) > 1:
-        _, _, sums, ends = heapq.heappop(queue)
-        _, _, other_sums, other_ends = heapq.heappop(queue)
-        sums = sums + other_sums[::-1]
-        heads, tails = other_ends[0, ::-1], other_ends[1, ::-1]
-        both = (ends[0] >= 0) & (heads >= 0)
-        following[ends[1][both]] = heads[both]
-        ends = np.stack(
-            [np.where(ends[0] >= 0, ends[0], heads), np.where(heads >= 0, tails, ends[1])]
-        )
-        order = np.argsort(sums, kind="stable")
-        sums, ends = sums[order], ends[:, order]
-        heapq.heappush(queue, (int(sums[0] - sums[-1]), made, sums, ends))
+        _, _, one = heapq.heappop(queue)
+        _, _, two = heapq.heappop(queue)
+        # The fullest windows of one meet the empty ones of the other; where both are filled, the least of
+        # one meet the fullest of these.
+        shared = max(len(one) + len(two) - k, 0)
+        windows = one[shared:] + two[shared:]
+        for (a, first, last), (b, head, tail) in zip(one[:shared], reversed(two[:shared])):
+            following[last] = head
+            windows.append((a + b, first, tail))
+        windows.sort()
+        least = windows[0][0] if len(windows) == k else 0
+        heapq.heappush(queue, (least - windows[-1][0], made, windows))
         made += 1
-    windows = []
-    for first in queue[0][3][0].tolist() if queue else []:
+    out = []
+    for _, first, _ in queue[0][2] if queue else []:
         items = []
         while first >= 0:
             items.append(first)
-            first = int(following[first])
-        if items:
-            windows.append(items)
-    return windows
+            first = following[first]
+        out.append(items)
+    return out
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
     """Windows of at most ``capacity``; each item is at most that long."""
-    k = -(-sum(sizes) // capacity)
+    k = max(-(-sum(sizes) // capacity), sum(2 * size > capacity for size in sizes))
     while True:
         windows = differencing(sizes, k)
         if all(sum(sizes[i] for i in window) <= capacity for window in windows):
@@ -94,18 +92,29 @@ def pack_documents(
         model = encoder(path)
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << 40
-        rests: list[tuple] = []
+        rests: list[tuple] = []  # a piece and, if it may be cut, its ids
         waiting = 0
         full = FILL * windows * capacity
 
         def close() -> list[tuple]:
             nonlocal sequence, rests, waiting
+            long = sum(ids is not None for _, ids in rests)
+            pieces = []
+            for piece, ids in rests:
+                # More long rests than windows needed: two never share one, so half a window is cut off each.
+                if ids is None or long * capacity <= waiting + capacity:
+                    pieces.append(piece)
+                    continue
+                doc, at, length, _, total = piece
+                half = capacity // 2
+                pieces.append((doc, at, half, zlib.crc32(ids[:half]), total))
+                pieces.append((doc, at + half, length - half, zlib.crc32(ids[half:]), total))
             rows = []
-            for window in pack([r[2] for r in rests], capacity):
+            for window in pack([p[2] for p in pieces], capacity):
                 offset = 0
                 for i in sorted(window):
-                    rows.append((*rests[i], sequence, offset))
-                    offset += rests[i][2]
+                    rows.append((*pieces[i], sequence, offset))
+                    offset += pieces[i][2]
                 sequence += 1
             rests, waiting = [], 0
             return rows
@@ -118,14 +127,15 @@ def pack_documents(
                 total = end - begin
                 for at in range(0, total, capacity):
                     length = min(capacity, total - at)
-                    crc = zlib.crc32(ids[begin + at : begin + at + length])
+                    own = ids[begin + at : begin + at + length]
+                    crc = zlib.crc32(own)
                     if length == capacity:
                         rows.append((doc, at, length, crc, total, sequence, 0))
                         sequence += 1
                     else:
-                        rests.append((doc, at, length, crc, total))
+                        rests.append(((doc, at, length, crc, total), own.copy() if 2 * length > capacity else None))
                         waiting += length
-                if waiting >= full:
+                if waiting >= full or len(rests) >= RESTS:
                     rows += close()
             yield table(rows)
         if rests:

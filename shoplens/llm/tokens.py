@@ -20,7 +20,9 @@ import pyarrow.compute as pc
 
 from shoplens.llm.words import split_words
 
-CACHE, CALL, ROW, STEP = 600_000, 2_000, 8, 1 << 16
+CALL, ROW, STEP = 2_000, 8, 1 << 16
+#: Bytes that a worker's cache of words may take, and what an entry takes besides its word and ids.
+CACHE, ENTRY = 96 << 20, 180
 #: Characters whose case and normal form do not depend on their neighbours; the letters in lower case.
 PLAIN, LETTERS = "\\t-\\r -~À-ÖØ-öø-ÿ", "a-zß-öø-ÿ"
 ODD = f"[^{PLAIN}]|<\\|"
@@ -37,6 +39,7 @@ class TextEncoder:
 
     def __init__(self):
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def fresh(self, words: list[str], plain: bool) -> list[bytes]:
         raise NotImplementedError
@@ -55,17 +58,22 @@ class TextEncoder:
         return joined(each, words.codes, words.starts)
 
     def ids_of(self, words: list[str], plain: bool) -> list[bytes]:
-        if len(self.known) > CACHE:
+        if self.held > CACHE:
             self.known.clear()
-        known = self.known
+            self.held = 0
+        known, held = self.known, self.held
         each = list(map(known.get, words))
         missing = [i for i, ids in enumerate(each) if ids is None]
         gc.disable()  # many small objects, none of them in a cycle
         try:
             new = [words[i] for i in missing]
             for i, word, ids in zip(missing, new, self.fresh(new, plain)):
-                each[i] = known[word] = ids
+                each[i] = ids
+                if held <= CACHE:  # a slice with very many words must not outgrow it either
+                    known[word] = ids
+                    held += len(word) + len(ids) + ENTRY
         finally:
+            self.held = held
             gc.enable()
         return each
 
