@@ -1,23 +1,37 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-The text view sees what the words are: hashed word shares and shares of capitals, digits, symbols,
-repeats. The metadata view sees source, language, length and line layout. Both are logistic
-regressions, fitted on the labelled documents. In every round each view's scores are calibrated on
-labelled documents kept apart, and its confident scores of unlabelled documents become training labels
-of the other view. At the end the two calibrated scores are combined by a third logistic regression on
-the documents kept apart, and all documents are scored. All rows take part; the driver holds
-coefficients and histograms of scores of fixed size.
+The text view sees what the words are: hashed word shares, shares of capitals, digits, symbols, repeats,
+and the evidence of the words a document holds. The metadata view sees source, language, length and line
+layout. Both are logistic regressions, fitted on the labelled documents with both classes of equal weight.
+In every round each view's scores are calibrated on labelled documents kept apart, and its confident scores of
+unlabelled documents become training labels of the other view. At the end the two calibrated scores are
+combined by a third logistic regression on the documents kept apart, and all documents are scored.
+
+Evidence is for words that stand once in a long text, which no share shows: labelled documents that hold a
+word, or a word with the same first ``PREFIX`` letters, are counted per class in ``PLACES`` hashed places.
+Where the log odds of the classes are more than ``CERTAIN`` standard errors from even, they are the place's evidence;
+a document has the sum of the evidence for and against. The evidence of a source is its smoothed
+log odds. A training document is judged by the counts of the other folds only, so it never votes for itself.
+Nothing is listed in the program; what is bad is learned from ``labels``.
+
+Models are fitted on at most ``LABELLED`` labelled documents (those of lowest hash), a bound on what the
+driver and tasks hold: their doc_ids and classes are sent to all tasks, so neither texts nor features are
+shuffled. All documents are scored, and all unlabelled ones may become training rows.
 
 Two targets are learned by the same views, each for itself: ``good`` from the mean ``quality`` of a
 doc_id (1/2 and more is good) and ``clean`` from its mean ``toxic`` (below 1/2 is clean), null ones
-left out. A document is rejected on either. If a target's labels or one of its two classes are
-missing, there is no ground to reject by: its every score is 1. Null text: empty. A null doc_id is never labelled. Repeated rows are scored each by itself.
-Extra columns stay out of ``score_documents`` and pass through ``keep_good``.
+left out. A document is rejected on either: if its chance to be good is below 1/2, or its chance to be clean
+below the limit that catches most documents kept apart and loses at most ``LOSS`` of the clean ones. If
+a target's labels or one of its two classes are missing, there is no ground to reject by: its every score is 1. Null text: empty. A null doc_id is never labelled.
+Repeated rows are scored each by itself; equal scores are treated alike. Very long texts are a slice of
+their own. Extra columns stay out of ``score_documents`` and pass through ``keep_good``. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +44,167 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.llm.quality_rules import repeated_words
-from shoplens.llm.words import slices, split_words, word_hashes
+from shoplens.llm.words import Words, slices, split_words, word_hashes
 from shoplens.sources.stages import store
 
-WORD_BUCKETS, SOURCE_BUCKETS, LANG_BUCKETS = 64, 32, 8
+WORD_BUCKETS, LANG_BUCKETS = 64, 8
+PLACES, PREFIX, CERTAIN, LABELLED = 1 << 18, 4, 4.0, 1 << 18
+FOLDS = 4  # of the labelled documents not kept apart
+SMOOTH = 10.0  # documents of average kind that each source is given
+LOSS = 0.02
 ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 2, 0.98, 0.5
-REJECT_BELOW = 0.5
 #: Share of the labelled documents kept apart for calibration: one in APART, by checksum of doc_id.
 APART = 5
 VIEWS, TARGETS = ("text", "meta"), ("good", "clean")
 LARGEST = 12.0  # log odds beyond this count as this
+TRIMMED = ".,;:!?\"'()"
 CLASSES = (r"\p{Lu}", r"\p{L}", r"\p{N}", r"[#*$%&|<>]", r"[!?]", r"[.,;:]")
 
 
-def text_view(texts: pa.Array) -> np.ndarray:
+@dataclass
+class Labels:
+    """The labelled documents: ascending doc_ids, and for each target its class (-1 if unknown). ``part`` is 0
+    for documents kept apart, else 1 and more for their fold."""
+
+    ids: np.ndarray
+    targets: np.ndarray
+    part: np.ndarray
+
+    def of(self, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(row, target) classes of documents, and their parts; unlabelled ones are -1 and 0."""
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        wanted = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+        if not len(self.ids):
+            return np.full((len(wanted), len(TARGETS)), -1), np.zeros(len(wanted), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.ids, wanted), len(self.ids) - 1)
+        known &= self.ids[at] == wanted
+        return np.where(known[:, None], self.targets[at], -1), np.where(known, self.part[at], 0)
+
+
+def labels_of(labels: DataFrame) -> Labels:
+    for column in ("quality", "toxic"):
+        if column not in labels.columns:
+            labels = labels.withColumn(column, F.lit(None).cast("int"))
+    key = F.col("doc_id").cast("bigint").alias("doc_id")
+    known = (
+        labels.filter("doc_id IS NOT NULL").groupBy(key)
+        .agg((F.avg("quality") >= 0.5).cast("int").alias("good"),
+             (F.avg("toxic") < 0.5).cast("int").alias("clean"))
+        .filter("good IS NOT NULL OR clean IS NOT NULL")
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    )
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = known.select(
+        "doc_id", *(F.coalesce(t, F.lit(-1)).alias(t) for t in TARGETS),
+        F.when(draw % APART == 0, 0).otherwise(1 + F.floor(draw / APART) % FOLDS).cast("int").alias("part"),
+    ).toPandas().sort_values("doc_id")
+    return Labels(found["doc_id"].to_numpy(np.int64), found[list(TARGETS)].to_numpy(np.int64), found["part"].to_numpy(np.int64))
+
+
+def place_of(string: str) -> int:
+    return xxhash.xxh3_64_intdigest(string) % PLACES
+
+
+def word_places(words: Words) -> np.ndarray:
+    """The places of each distinct word: of the word itself and of its first letters."""
+    plain = [w.strip(TRIMMED).lower() or w for w in words.strings()]
+    whole = np.fromiter(map(place_of, plain), np.int64, len(plain))
+    start = np.fromiter((place_of(f" {w[:PREFIX]}") if len(w) > PREFIX else -1 for w in plain), np.int64, len(plain))
+    return np.column_stack([whole, np.where(start < 0, whole, start)])
+
+
+def source_places(part: pa.RecordBatch) -> np.ndarray:
+    values = part.column("source").cast(pa.string()).to_pylist()
+    place = {v: PLACES - 1 if v is None else place_of(v) for v in set(values)}
+    return np.array([place[v] for v in values], dtype=np.int64)
+
+
+def held_places(words: Words, places: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place): which places each text holds, each once; ``some`` says which places count."""
+    rows, found = words.rows, places[words.codes]
+    pairs = []
+    for column in found.T:
+        wanted = slice(None) if some is None else some[column]
+        pairs.append(rows[wanted] * PLACES + column[wanted])
+    return np.divmod(np.unique(np.concatenate(pairs)), PLACES)
+
+
+@dataclass
+class Evidence:
+    """``words[target][table]`` and ``sources[target][table]``: evidence for the class 0 of a target by
+    place. Table 0 is from all training documents, table f from those outside fold f."""
+
+    words: np.ndarray
+    sources: np.ndarray
+
+    @staticmethod
+    def learned(docs: DataFrame, labels: Labels) -> Evidence:
+        shared = docs.sparkSession.sparkContext.broadcast(labels)
+        cells = len(TARGETS) * 2 * FOLDS
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            labels = shared.value
+            for part in slices(batches):
+                targets, fold = labels.of(part.column("doc_id"))
+                mine = pa.array(fold > 0)
+                part = part.filter(mine)
+                if not part.num_rows:
+                    continue
+                targets, fold = targets[fold > 0], fold[fold > 0] - 1
+                words = split_words(part.column("text"))
+                row, place = held_places(words, word_places(words))
+                row = np.concatenate([row, np.arange(part.num_rows)])
+                place = np.concatenate([place, source_places(part) + PLACES])
+                keys = []
+                for t in range(len(TARGETS)):
+                    known = targets[row, t] >= 0
+                    keys.append(place[known] * cells + (t * 2 + targets[row, t][known]) * FOLDS + fold[row][known])
+                key, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+
+        rows = docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+        # At most 2 * PLACES * cells rows, whatever the data.
+        found = rows.toPandas()
+        counts = np.zeros(2 * PLACES * cells)
+        counts[found["key"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+        counts = counts.reshape(2, PLACES, len(TARGETS), 2, FOLDS)
+        sizes = np.array([[[((labels.targets[:, t] == c) & (labels.part == f + 1)).sum() for f in range(FOLDS)]
+                           for c in (0, 1)] for t in range(len(TARGETS))], dtype=float)
+        words, sources = [], []
+        for t in range(len(TARGETS)):
+            for table in range(FOLDS + 1):
+                kept = [f for f in range(FOLDS) if f + 1 != table]
+                bad, good = (counts[0, :, t, c][:, kept].sum(axis=1) for c in (0, 1))
+                n_bad, n_good = (sizes[t, c, kept].sum() for c in (0, 1))
+                odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
+                error = np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+                words.append(np.where(np.abs(odds) > CERTAIN * error, odds, 0))
+                bad, good = (counts[1, :, t, c][:, kept].sum(axis=1) for c in (0, 1))
+                base = (n_bad + 1) / (n_bad + n_good + 2)
+                rate = (bad + SMOOTH * base) / (bad + good + SMOOTH)
+                sources.append(np.log(rate / (1 - rate)) - np.log(base / (1 - base)))
+        shape = len(TARGETS), FOLDS + 1, PLACES
+        return Evidence(*(np.array(x, dtype=np.float32).reshape(shape) for x in (words, sources)))
+
+    def of_words(self, words: Words, table: np.ndarray) -> np.ndarray:
+        """For each text and target the evidence for and against, added up, in logarithms."""
+        places, size = word_places(words), len(table)
+        if not len(words.codes):
+            return np.zeros((size, 2 * len(TARGETS)))
+        row, place = held_places(words, places, (self.words != 0).any(axis=(0, 1)))
+        out = []
+        for own in self.words:
+            found = own[table[row], place]
+            out += [
+                np.log1p(np.bincount(row, np.maximum(sign * found, 0), minlength=size)) for sign in (1, -1)
+            ]
+        return np.column_stack(out)
+
+    def of_sources(self, part: pa.RecordBatch, table: np.ndarray) -> np.ndarray:
+        return np.column_stack([own[table, source_places(part)] for own in self.sources])
+
+
+def text_view(texts: pa.Array, evidence: Evidence, table: np.ndarray) -> np.ndarray:
     words = split_words(texts)
     counts = words.counts
     some = np.maximum(counts, 1)
@@ -78,12 +239,16 @@ def text_view(texts: pa.Array) -> np.ndarray:
         np.log1p(counts), characters / some, shouted / some, marked / some, different / some,
         same / some, repeated_words(own, words.starts) / some, counts == 0,
     ]
-    return np.column_stack([shares / some[:, None], *kinds, *more]).astype(np.float32)
+    return np.column_stack(
+        [shares / some[:, None], *kinds, *more, evidence.of_words(words, table)]
+    ).astype(np.float32)
 
 
-def meta_view(part: pa.RecordBatch, texts: pa.Array) -> np.ndarray:
+def meta_view(
+    part: pa.RecordBatch, texts: pa.Array, evidence: Evidence, table: np.ndarray
+) -> np.ndarray:
     def one_hot(column: str, buckets: int) -> np.ndarray:
-        values = part.column(column).to_pylist()
+        values = part.column(column).cast(pa.string()).to_pylist()
         places = [0 if v is None else 1 + xxhash.xxh3_64_intdigest(v) % (buckets - 1) for v in values]
         return np.eye(buckets, dtype=np.float32)[np.array(places, dtype=np.int64)]
 
@@ -94,34 +259,48 @@ def meta_view(part: pa.RecordBatch, texts: pa.Array) -> np.ndarray:
         [np.log1p(size), np.log1p(size) ** 2, np.log(lines), np.log1p(size / lines), empty / lines]
     )
     return np.column_stack(
-        [one_hot("source", SOURCE_BUCKETS), one_hot("lang", LANG_BUCKETS), more]
+        [evidence.of_sources(part, table), one_hot("lang", LANG_BUCKETS), more]
     ).astype(np.float32)
 
 
-def featured(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """The columns ``carried`` and the two views of every row; ``docs`` also has text, source, lang."""
+def views_of(part: pa.RecordBatch, evidence: Evidence, table: np.ndarray) -> dict[str, np.ndarray]:
+    texts = pc.fill_null(part.column("text"), "")
+    return {"text": text_view(texts, evidence, table), "meta": meta_view(part, texts, evidence, table)}
+
+
+def featured(docs: DataFrame, labels: Labels, evidence: Evidence) -> DataFrame:
+    """doc_id, the two views, the targets (null if unlabelled) and ``apart`` of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast((labels, evidence))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, evidence = shared.value
+
         def lists(matrix: np.ndarray) -> pa.Array:
             starts = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
             return pa.ListArray.from_arrays(pa.array(starts), pa.array(matrix.reshape(-1)))
 
         for part in slices(batches):
-            texts = pc.fill_null(part.column("text"), "")
+            targets, fold = labels.of(part.column("doc_id"))
+            views = views_of(part, evidence, fold)
             yield pa.RecordBatch.from_arrays(
-                [*map(part.column, carried), lists(text_view(texts)), lists(meta_view(part, texts))],
-                [*carried, *(f"view_{v}" for v in VIEWS)],
-            )
-
-    views = T.ArrayType(T.FloatType())
-    schema = T.StructType([*map(docs.schema.__getitem__, carried)])
-    for view in VIEWS:
-        schema.add(f"view_{view}", views)
-    return docs.mapInArrow(run, schema)
+                [part.column("doc_id"), *(lists(views[v]) for v in VIEWS),
+                 *(pa.array(own, pa.int32(), mask=own < 0) for own in targets.T),
+                 pa.array((targets >= 0).any(axis=1) & (fold == 0))],
+                ["doc_id", *(f"view_{v}" for v in VIEWS), *TARGETS, "apart"],
+            )
+
+    return docs.mapInArrow(
+        run,
+        "doc_id bigint, view_text array<float>, view_meta array<float>, good int, clean int, apart boolean",
+    )
 
 
-def inputs() -> list[Column]:
-    return [F.col(c).cast("string").alias(c) for c in ("text", "source", "lang")]
+def inputs(docs: DataFrame) -> DataFrame:
+    """doc_id, text, source and lang; a column that is not there is null."""
+    kinds = {"doc_id": "bigint", "text": "string", "source": "string", "lang": "string"}
+    return docs.select(
+        *((F.col(c) if c in docs.columns else F.lit(None)).cast(k).alias(c) for c, k in kinds.items())
+    )
 
 
 def logistic(x: np.ndarray, weight: np.ndarray, target: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -139,12 +318,46 @@ def logistic(x: np.ndarray, weight: np.ndarray, target: np.ndarray, ridge: float
     return beta
 
 
-def log_odds(model: LogisticRegressionModel, view: str) -> Column:
-    """The model's linear score, from its coefficients, bounded."""
-    weights = F.array(*(F.lit(float(w)) for w in model.coefficients))
-    products = F.zip_with(F.col(f"view_{view}"), weights, lambda a, b: a.cast("double") * b)
-    total = F.aggregate(products, F.lit(float(model.intercept)), lambda a, b: a + b)
-    return F.greatest(F.least(total, F.lit(LARGEST)), F.lit(-LARGEST))
+@dataclass
+class View:
+    """The linear score of a view and its calibration."""
+
+    weights: np.ndarray
+    intercept: float
+    scale: np.ndarray | None = None
+
+    def raw(self, view: str) -> Column:
+        weights = F.array(*(F.lit(float(w)) for w in self.weights))
+        products = F.zip_with(F.col(f"view_{view}"), weights, lambda a, b: a.cast("double") * b)
+        total = F.aggregate(products, F.lit(self.intercept), lambda a, b: a + b)
+        return F.greatest(F.least(total, F.lit(LARGEST)), F.lit(-LARGEST))
+
+    def calibrated(self, view: str) -> Column:
+        return combined(self.scale, [self.raw(view)])
+
+    def values(self, matrix: np.ndarray) -> np.ndarray:
+        raw = np.clip(matrix.astype(float) @ self.weights + self.intercept, -LARGEST, LARGEST)
+        return raw * self.scale[0] + self.scale[1]
+
+
+@dataclass
+class Model:
+    """The chance of a document to be of class 1 of a target, from its two views."""
+
+    views: dict[str, View]
+    weights: np.ndarray
+    limit: float = 0.5
+
+    def column(self) -> Column:
+        return probability(combined(self.weights, [bounded(v.calibrated(n)) for n, v in self.views.items()]))
+
+    def values(self, views: dict[str, np.ndarray]) -> np.ndarray:
+        scores = [np.clip(v.values(views[n]), -LARGEST, LARGEST) for n, v in self.views.items()]
+        return 1 / (1 + np.exp(-(np.column_stack(scores) @ self.weights[:-1] + self.weights[-1])))
+
+
+def bounded(score: Column) -> Column:
+    return F.greatest(F.least(score, F.lit(LARGEST)), F.lit(-LARGEST))
 
 
 def combined(beta: np.ndarray, columns: list[Column]) -> Column:
@@ -173,84 +386,107 @@ def fit_on_histogram(
     return logistic(cells[names].to_numpy(float), cells["count"].to_numpy(float), aim)
 
 
-def co_train(rows: DataFrame, apart: DataFrame, rounds: int, target: str) -> Column:
-    """The log odds of a document to be ``target``, as an expression over the two views.
-
-    ``rows``: (view_text, view_meta, target, apart), target null if unlabelled; ``apart``: the labelled rows that
-    calibrate.
-    """
+def co_train(rows: DataFrame, apart: DataFrame, rounds: int, target: str, share: float) -> Model:
+    """The model of a target. ``rows``: (view_text, view_meta, target, apart), target null if unlabelled;
+    ``apart``: the labelled rows that calibrate; ``share``: how many labelled rows are of class 1."""
     extra: dict[str, Column | None] = dict.fromkeys(VIEWS)
+    views: dict[str, View] = {}
     for turn in range(rounds + 1):
-        scores = {}
         for view in VIEWS:
             label = F.col(target).cast("double")
-            weight = F.lit(1.0)
+            weight = F.when(label == 1, 0.5 / share).otherwise(0.5 / (1 - share))
             if extra[view] is not None:
-                weight = F.when(label.isNull(), PSEUDO_WEIGHT).otherwise(1.0)
+                weight = F.when(label.isNull(), PSEUDO_WEIGHT).otherwise(weight)
                 label = F.coalesce(label, extra[view])
             training = rows.filter(f"NOT apart OR {target} IS NULL").select(
                 array_to_vector(f"view_{view}").alias("features"), label.alias("label"), weight.alias("weight")
             )
-            model = LogisticRegression(maxIter=20, regParam=1e-3, weightCol="weight").fit(
-                training.filter("label IS NOT NULL")
-            )
-            raw = log_odds(model, view)
-            scores[view] = combined(fit_on_histogram(apart, [raw], 0.01, target), [raw])
+            # Unscaled: shares of words, which are small numbers, are held back most by the penalty.
+            model = LogisticRegression(
+                maxIter=20, regParam=1e-4, standardization=False, weightCol="weight"
+            ).fit(training.filter("label IS NOT NULL"))
+            views[view] = View(model.coefficients.toArray(), float(model.intercept))
+            views[view].scale = fit_on_histogram(apart, [views[view].raw(view)], 0.01, target)
         if turn < rounds:
             for view, other in zip(VIEWS, VIEWS[::-1]):
-                sure = probability(scores[other])
+                sure = probability(views[other].calibrated(other))
                 extra[view] = F.when(sure >= CONFIDENT, 1.0).when(sure <= 1 - CONFIDENT, 0.0)
-    bounded = [F.greatest(F.least(scores[v], F.lit(LARGEST)), F.lit(-LARGEST)) for v in VIEWS]
-    return combined(fit_on_histogram(apart, bounded, 0.1, target), bounded)
-
-
-def fitted(
-    docs: DataFrame, labels: DataFrame, rounds: int
-) -> tuple[DataFrame, dict[str, Column]]:
-    """Stored rows (doc_id, views), and for each target its chance as an expression over the views."""
-    for column in ("quality", "toxic"):
-        if column not in labels.columns:
-            labels = labels.withColumn(column, F.lit(None).cast("int"))
-    known = (
-        labels.filter("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
-        .agg((F.avg("quality") >= 0.5).cast("int").alias("good"),
-             (F.avg("toxic") < 0.5).cast("int").alias("clean"))
-    )
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % APART == 0
-    own = featured(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *inputs()), ["doc_id"])
-    rows = own.join(known, "doc_id", "left").withColumn("apart", F.coalesce(held, F.lit(False)))
-    rows = store(rows, "views")
-    scores = {}
+    scores = [bounded(views[v].calibrated(v)) for v in VIEWS]
+    return Model(views, fit_on_histogram(apart, scores, 0.1, target))
+
+
+def limit_of(apart: DataFrame, model: Model, target: str) -> float:
+    """The limit below which documents are rejected: of the limits that lose at most ``LOSS`` of class 1 the one
+    that catches most of class 0 and loses least, of equal ones the one nearest to 1/2; chances are counted in
+    steps of 1/1000."""
+    step = F.ceil(model.column() * 1000).cast("int").alias("step")
+    cells = apart.groupBy(F.col(target).alias("is"), step).count().toPandas()
+    below = np.zeros((2, 1002))
+    for row in cells.itertuples():
+        below[int(row[1]), int(row[2])] += row[3]
+    totals = below.sum(axis=1)
+    # A chance in (k - 1, k] thousandths is below the limit k / 1000 or equals it.
+    rejected = np.cumsum(below, axis=1) / np.maximum(totals, 1)[:, None]
+    allowed = rejected[1] <= LOSS
+    value = np.where(allowed, rejected[0] - rejected[1], -1.0)
+    best = np.flatnonzero(value >= value.max() - 1e-12)
+    return float(best[np.abs(best - 500).argmin()]) / 1000
+
+
+def fitted(docs: DataFrame, labels: DataFrame, rounds: int) -> tuple[DataFrame, Evidence, dict[str, Model]]:
+    """Stored rows (doc_id, views, targets, apart), the evidence, and a model for each target that can be learned."""
+    own = inputs(docs)
+    known = labels_of(labels)
+    evidence = Evidence.learned(own, known)
+    rows = store(featured(own, known, evidence), "views")
+    models = {}
     for target in TARGETS:
         labelled = rows.filter(f"{target} IS NOT NULL")
         seen = labelled.groupBy(F.col(target).alias("is"), "apart").count().toPandas()
         if seen.empty or seen["is"].nunique() < 2 or seen[~seen.apart]["is"].nunique() < 2:
-            scores[target] = F.lit(1.0)
             continue
         apart = labelled
         if seen[seen.apart]["is"].nunique() == 2:
             apart = labelled.filter("apart")
-        scores[target] = probability(co_train(rows, apart, rounds, target))
-    return rows, scores
-
-
-def is_kept(scores: dict[str, Column]) -> Column:
-    return F.least(*scores.values()) >= REJECT_BELOW
+        inside = seen[~seen.apart]
+        share = inside.loc[inside["is"] == 1, "count"].sum() / inside["count"].sum()
+        models[target] = co_train(rows, apart, rounds, target, float(share))
+        if target == "clean":
+            models[target].limit = limit_of(apart, models[target], target)
+    return rows, evidence, models
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, score (chance of good quality), kept and clean_score (chance not to be toxic) for
     every row; kept asks for both."""
-    rows, scores = fitted(docs, labels, rounds)
+    rows, _, models = fitted(docs, labels, rounds)
+    scores = {t: models[t].column() if t in models else F.lit(1.0) for t in TARGETS}
+    kept = F.lit(True)
+    for target, model in models.items():
+        kept = kept & (scores[target] > model.limit)
     return rows.select(
-        "doc_id", scores["good"].alias("score"), is_kept(scores).alias("kept"),
-        scores["clean"].alias("clean_score"),
-    )
+        "doc_id", scores["good"].alias("score"), kept.alias("kept"), scores["clean"].alias("clean_score")
+    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The documents that are kept, with all their columns; texts are read again, not shuffled."""
-    _, scores = fitted(docs, labels, rounds)
-    whole = docs.select(F.struct("*").alias("doc"), *inputs())
-    return featured(whole, ["doc"]).filter(is_kept(scores)).select("doc.*")
+    """The documents that are kept, with all their columns. Texts are read again, not shuffled; each row goes
+    through a task once, and only kept rows come back."""
+    _, evidence, models = fitted(docs, labels, rounds)
+    shared = docs.sparkSession.sparkContext.broadcast((labels_of(labels), evidence, models))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, evidence, models = shared.value
+        for part in slices(batches):
+            chosen = [part.column(c) if c in part.schema.names else pa.nulls(part.num_rows, pa.string())
+                      for c in ("text", "source", "lang")]
+            views = views_of(
+                pa.RecordBatch.from_arrays(chosen, ["text", "source", "lang"]), evidence,
+                labels.of(part.column("doc_id").cast(pa.int64()))[1],
+            )
+            kept = np.ones(part.num_rows, dtype=bool)
+            for model in models.values():
+                kept &= model.values(views) > model.limit
+            yield part.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
