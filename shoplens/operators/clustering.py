@@ -2,19 +2,17 @@
 
 import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.expressions import half_even, share_percent
+from shoplens.operators import kmeans
 from shoplens.sources.stages import store
 
 RFM_COLUMNS = ("Recency", "Frequency", "Monetary")
@@ -22,7 +20,6 @@ CLUSTERS = 4
 K_RANGE = range(2, 11)
 RESTARTS = 10
 SEED = 42
-PARALLEL_FITS = 8  # concurrent fits on the driver; each is an ordinary distributed job
 BLOCK_ROWS = 4096
 
 
@@ -68,34 +65,15 @@ def _vectors(features: DataFrame) -> DataFrame:
 
 def _best_fits(
     features: DataFrame, ks: Sequence[int], restarts: int, seed: int
-) -> dict[int, KMeansModel]:
-    """Per k, the lowest-cost model over seeded restarts; fits run side by side."""
-    points = _vectors(features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-
-        def fit(job):
-            k, restart = job
-            model = KMeans(k=k, seed=seed + restart, maxIter=300, tol=1e-4).fit(points)
-            return k, restart, model.summary.trainingCost, model
-
-        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-            fits = list(pool.map(fit, [(k, r) for k in ks for r in range(restarts)]))
-    finally:
-        points.unpersist()
-    return {
-        k: min((f for f in fits if f[0] == k), key=lambda f: (f[2], f[1]))[3] for k in ks
-    }
+) -> dict[int, kmeans.Fit]:
+    return kmeans.best_fits(features, "CustomerID", RFM_COLUMNS, ks, restarts, seed)
 
 
 def fit_centers(
     features: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS, seed: int = SEED
 ) -> list[list[float]]:
     """Centers of the best of several K-means runs, in ascending order so labels are stable."""
-    return _centers(_best_fits(features, [k], restarts, seed)[k])
-
-
-def _centers(model: KMeansModel) -> list[list[float]]:
-    return sorted([float(x) for x in center] for center in model.clusterCenters())
+    return _best_fits(features, [k], restarts, seed)[k].centers
 
 
 def _squared_distances(centers: Sequence[Sequence[float]]) -> Column:
@@ -141,7 +119,7 @@ def k_sweep(
     models = _best_fits(features, list(ks), restarts, seed)
     labelled = features
     for k, model in models.items():
-        labelled = assign(labelled, _centers(model)).withColumnRenamed("Cluster", f"k{k}")
+        labelled = assign(labelled, model.centers).withColumnRenamed("Cluster", f"k{k}")
     labels = [f"k{k}" for k in models]
     if metric == "euclidean":
         scores = silhouettes(labelled, labels)
@@ -149,7 +127,7 @@ def k_sweep(
         scores = {c: squared_silhouette(labelled, c) for c in labels}
     else:
         raise ValueError(f"unknown metric {metric!r}")
-    rows = [(k, float(m.summary.trainingCost), scores[f"k{k}"]) for k, m in models.items()]
+    rows = [(k, m.cost, scores[f"k{k}"]) for k, m in models.items()]
     return features.sparkSession.createDataFrame(rows, "K int, Inertia double, Silhouette double")
 
 

@@ -7,6 +7,13 @@ from shoplens.operators.churn_features import FEATURES
 from shoplens.operators.churn_models import (
     BOOST_DEPTH, BOOST_ROUNDS, BOOST_STEP, FOREST_DEPTH, FOREST_TREES, SEED,
 )
+from shoplens.operators.clustering import CLUSTERS, K_RANGE, RESTARTS
+from shoplens.operators.clustering import SEED as KMEANS_SEED
+from shoplens.operators.kmeans import GOLDEN as KMEANS_GOLDEN
+from shoplens.operators.kmeans import STEPS as KMEANS_STEPS
+from shoplens.operators.kmeans import STRIDE
+from shoplens.operators.kmeans import TOLERANCE as KMEANS_TOLERANCE
+from shoplens.operators.kmeans import UNIT as KMEANS_UNIT
 from shoplens.operators.trees import BINS, LIMITS, MASK, UNIT
 
 WIDTH = len(FEATURES)
@@ -168,6 +175,72 @@ LOGISTIC_SCORE = f"""1 / (1 + exp(-list_dot_product(
   list_append(list_transform({VALUES}, lambda v, i : (v - mean[i]) / spread[i]), 1::DOUBLE), beta)))"""
 
 
+# ---- k-means ---------------------------------------------------------------------------------------
+
+
+def kmeans_cte(ks: range, restarts: int = RESTARTS, seed: int = KMEANS_SEED) -> str:
+    """best_centers: (k, Cluster, c, cost), the centers of the best restart of each k, c a list. Two recursions:
+    the races for the starts, then the Lloyd steps of all fits that move."""
+    def square(x: str, c: str) -> str:
+        parts = [f"({x}[{d}] - {c}[{d}]) * ({x}[{d}] - {c}[{d}])" for d in (1, 2, 3)]
+        return f"({parts[0]} + {parts[1]} + {parts[2]})"
+
+    race = mixed(f"own + ((r * {KMEANS_GOLDEN} + step * {STRIDE}) & {MASK})")
+    return f"""unit_points AS MATERIALIZED (
+  SELECT *, list_transform(q, lambda v : v::DOUBLE / {KMEANS_UNIT}) AS x, {mixed(f"xor(CustomerID, CustomerID >> 32) + {seed}")} AS own
+  FROM (SELECT CustomerID, list_transform([Recency, Frequency, Monetary], lambda v : floor(v * {KMEANS_UNIT} + 0.5)::BIGINT) AS q FROM scaled)),
+races(r, step, centers) AS (
+  SELECT range, 0, []::DOUBLE[][] FROM range({restarts})
+  UNION ALL (
+    WITH weighed AS (
+      SELECT r, step, centers, CustomerID, own, x, CASE WHEN step = 0 THEN 1::DOUBLE
+        ELSE list_min(list_transform(centers, lambda c : {square("x", "c")})) END AS weight
+      FROM races, unit_points WHERE step < {max(ks)}),
+    run AS (
+      SELECT r, step, centers, x, weight, CustomerID, -ln(({race}::DOUBLE + 0.5) / 4294967296) / weight AS race
+      FROM weighed WHERE weight > 0)
+    SELECT r, any_value(step) + 1, list_append(any_value(centers), arg_min(x, (race, CustomerID))) FROM run GROUP BY r)),
+lloyd(k, r, j, c, step, moved) AS (
+  SELECT k, r, j, centers[j], 0, 1::DOUBLE FROM races, range({min(ks)}, {max(ks) + 1}) AS a(k), range(1, {max(ks) + 1}) AS b(j)
+  WHERE races.step = {max(ks)} AND j <= k
+  UNION ALL (
+    WITH moving AS (SELECT * FROM lloyd WHERE moved > {KMEANS_TOLERANCE} AND step < {KMEANS_STEPS}),
+    near AS (
+      SELECT k, r, q, min(({square("x", "c")}, j))[2] AS j FROM moving, unit_points GROUP BY k, r, CustomerID, q),
+    sums AS (
+      SELECT k, r, j, count(*) AS n, [sum(q[1]), sum(q[2]), sum(q[3])] AS s FROM near GROUP BY k, r, j),
+    moves AS (
+      SELECT m.k, m.r, m.j, m.step, m.c AS old,
+        CASE WHEN n IS NULL THEN m.c ELSE list_transform(s, lambda v : v::DOUBLE / n / {KMEANS_UNIT}) END AS new
+      FROM moving m LEFT JOIN sums ON m.k = sums.k AND m.r = sums.r AND m.j = sums.j)
+    SELECT k, r, j, new, step + 1, sum({square("new", "old")}) OVER (PARTITION BY k, r) FROM moves)),
+ended AS MATERIALIZED (SELECT * FROM lloyd QUALIFY step = max(step) OVER (PARTITION BY k, r)),
+costs AS (
+  SELECT k, r, sum(floor(d2 * {KMEANS_UNIT} + 0.5)::BIGINT) AS cost
+  FROM (SELECT k, r, CustomerID, min({square("x", "c")}) AS d2 FROM ended, unit_points GROUP BY ALL) GROUP BY k, r),
+best_centers AS MATERIALIZED (
+  SELECT k, row_number() OVER (PARTITION BY k ORDER BY c) - 1 AS Cluster, c, cost
+  FROM ended JOIN (SELECT k, min((cost, r)) AS best FROM costs GROUP BY k) USING (k), LATERAL (SELECT best[1] AS cost) WHERE r = best[2]),
+labelled_points AS MATERIALIZED (
+  SELECT k, CustomerID, v, min(({square("v", "c")}, Cluster))[2] AS Cluster
+  FROM (SELECT CustomerID, [Recency, Frequency, Monetary] AS v FROM scaled), best_centers GROUP BY k, CustomerID, v)"""
+
+
+SWEEP = """moments AS (
+  SELECT k, Cluster, count(*) AS n, [avg(v[1]), avg(v[2]), avg(v[3])] AS mean, avg(list_dot_product(v, v)) AS spread
+  FROM labelled_points GROUP BY k, Cluster),
+distances AS (
+  SELECT p.k, CustomerID, p.Cluster AS own, m.Cluster, n, list_dot_product(v, v) - 2 * list_dot_product(v, mean) + spread AS d
+  FROM labelled_points p JOIN moments m ON p.k = m.k),
+widths AS (
+  SELECT k, CustomerID, max(CASE WHEN own = Cluster THEN n END) AS n,
+    max(CASE WHEN own = Cluster AND n > 1 THEN n * d / (n - 1) END) AS a, min(CASE WHEN own <> Cluster THEN d END) AS b
+  FROM distances GROUP BY k, CustomerID)
+SELECT k::INT AS K, any_value(Inertia) AS Inertia,
+  round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS Silhouette
+FROM widths JOIN (SELECT k, round(any_value(cost)::DOUBLE / {unit}, 4) AS Inertia FROM best_centers GROUP BY k) USING (k) GROUP BY k"""
+
+
 # ---- queries ---------------------------------------------------------------------------------------
 
 PARTS = """parted AS MATERIALIZED ({split}),
@@ -176,8 +249,10 @@ test_part AS MATERIALIZED (SELECT l.* FROM labelled l JOIN parted USING (Custome
 PLACES = 6  # digits of probabilities
 
 
-def selects(split: str, feature_columns: str) -> dict[str, str]:
-    """The queries of the fits; ``split``: who is in the test part."""
+def selects(split: str, feature_columns: str, pca_points: str) -> dict[str, str]:
+    """The queries of the fits; ``split``: who is in the test part, ``pca_points``: the plane of all customers."""
+    sweep = f"WITH RECURSIVE {kmeans_cte(K_RANGE)}, {SWEEP.format(unit=KMEANS_UNIT)}"
+    one = kmeans_cte(range(CLUSTERS, CLUSTERS + 1))
     parts = PARTS.format(split=split)
     tested = rows_cte("train_part", "test_part")
     comparison = f"""fitted AS MATERIALIZED (
@@ -198,6 +273,11 @@ FROM (SELECT Model, count(*)::DOUBLE AS total, count(*) FILTER (Churned = 0 AND
     whole = rows_cte("labelled", "live")
     names = ", ".join(f"'{c}'" for c in FEATURES)
     return {
+        "kmeans_k_sweep": sweep,
+        "chart_k_selection": sweep,
+        "kmeans_assign": f"WITH RECURSIVE {one} SELECT CustomerID, Cluster FROM labelled_points",
+        "chart_pca_points": f"""WITH RECURSIVE {one}
+SELECT CustomerID, PCA1, PCA2, Cluster FROM ({pca_points}) JOIN labelled_points USING (CustomerID)""",
         "logreg_churn": f"""WITH RECURSIVE {parts}, {logistic_cte("train_part")}
 SELECT CustomerID, Churned, round({LOGISTIC_SCORE}, {PLACES}) AS ChurnProbability FROM test_part, logistic_fit""",
         "random_forest_churn": f"""WITH RECURSIVE {parts}, {tested}, {forest_cte()}

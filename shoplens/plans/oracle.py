@@ -749,7 +749,7 @@ SELECTS = {
 
 def oracle_queries() -> dict[str, str]:
     out = {}
-    for name, select in {**SELECTS, **model_sql.selects(SPLIT, FEATURE_COLUMNS)}.items():
+    for name, select in {**SELECTS, **model_sql.selects(SPLIT, FEATURE_COLUMNS, PCA_POINTS)}.items():
         # A select with its own CTEs continues the shared list.
         if select.startswith("WITH RECURSIVE "):
             out[name] = f"WITH RECURSIVE {SHARED.strip()}, {select[len('WITH RECURSIVE '):]}"

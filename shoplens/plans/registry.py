@@ -728,7 +728,7 @@ def standardize(spark, folder):
 
 @query
 def kmeans_k_sweep(spark, folder):
-    return clustering.k_sweep(scaled_of(spark, folder))
+    return plain(clustering.k_sweep(scaled_of(spark, folder)), Inertia=4, Silhouette=6)
 
 
 @query
@@ -1151,14 +1151,14 @@ def chart_rfm_scatter(spark, folder):
 
 @query
 def chart_k_selection(spark, folder):
-    return clustering.k_sweep(scaled_of(spark, folder), metric="squaredEuclidean")
+    sweep = clustering.k_sweep(scaled_of(spark, folder), metric="squaredEuclidean")
+    return plain(sweep, Inertia=4, Silhouette=6)
 
 
 @query
 def chart_pca_points(spark, folder):
-    return clustering.cluster_customers(segments_of(spark, folder)).select(
-        "CustomerID", "PCA1", "PCA2", "Cluster"
-    )
+    placed = clustering.cluster_customers(segments_of(spark, folder))
+    return plain(placed.select("CustomerID", "PCA1", "PCA2", "Cluster"), PCA1=6, PCA2=6)
 
 
 @query
