@@ -8,7 +8,8 @@ unlabelled documents become training labels of the other view. At the end the tw
 combined by a third logistic regression on the documents kept apart, and all documents are scored.
 
 Evidence is for words that stand once in a long text, which no share shows: labelled documents that hold a
-word, or a word with the same first ``PREFIX`` letters, are counted per class in ``PLACES`` hashed places.
+word, or a word with the same first ``PREFIX`` letters, are counted per class in ``PLACES`` hashed places (a
+fixed number; places that stand out come to the driver).
 Where the log odds of the classes are more than ``CERTAIN`` standard errors from even, they are the place's evidence;
 a document has the sum of the evidence for and against. The evidence of a source is its smoothed
 log odds. A training document is judged by the counts of the other folds only, so it never votes for itself.
@@ -50,6 +51,7 @@ from shoplens.sources.stages import store
 WORD_BUCKETS, LANG_BUCKETS = 64, 8
 PLACES, PREFIX, CERTAIN, LABELLED = 1 << 18, 4, 4.0, 1 << 18
 FOLDS = 4  # of the labelled documents not kept apart
+CELLS = 2 * 2 * (FOLDS + 1)  # of a place: target, class and fold
 SMOOTH = 10.0  # documents of average kind that each source is given
 LOSS = 0.02
 ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 2, 0.98, 0.5
@@ -119,89 +121,122 @@ def source_places(part: pa.RecordBatch) -> np.ndarray:
     return np.array([place[v] for v in values], dtype=np.int64)
 
 
-def held_places(words: Words, places: np.ndarray, some: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place): which places each text holds, each once; ``some`` says which places count."""
-    rows, found = words.rows, places[words.codes]
-    pairs = []
-    for column in found.T:
-        wanted = slice(None) if some is None else some[column]
-        pairs.append(rows[wanted] * PLACES + column[wanted])
-    return np.divmod(np.unique(np.concatenate(pairs)), PLACES)
+def each_once(rows: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs (row, place); a place below 0 is none."""
+    some = places >= 0
+    return np.divmod(np.unique(rows[some] * size + places[some]), size)
 
 
 @dataclass
-class Evidence:
-    """``words[target][table]`` and ``sources[target][table]``: evidence for the class 0 of a target by
-    place. Table 0 is from all training documents, table f from those outside fold f."""
+class Table:
+    """Evidence for the class 0 of each target, at the places that have any: ``values[place, target, table]``.
+    Table 0 is from all training documents, table f from those outside fold f."""
+
+    places: np.ndarray
+    values: np.ndarray
+
+    def find(self, places: np.ndarray) -> np.ndarray:
+        """Where the places stand in the table, -1 if they have no evidence."""
+        if not len(self.places):
+            return np.full(places.shape, -1)
+        at = np.minimum(np.searchsorted(self.places, places), len(self.places) - 1)
+        return np.where(self.places[at] == places, at, -1)
 
-    words: np.ndarray
-    sources: np.ndarray
+
+@dataclass
+class Evidence:
+    words: Table
+    sources: Table
 
     @staticmethod
     def learned(docs: DataFrame, labels: Labels) -> Evidence:
         shared = docs.sparkSession.sparkContext.broadcast(labels)
-        cells = len(TARGETS) * 2 * FOLDS
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             labels = shared.value
             for part in slices(batches):
                 targets, fold = labels.of(part.column("doc_id"))
-                mine = pa.array(fold > 0)
-                part = part.filter(mine)
+                mine = fold > 0
+                part = part.filter(pa.array(mine))
                 if not part.num_rows:
                     continue
-                targets, fold = targets[fold > 0], fold[fold > 0] - 1
+                targets, fold = targets[mine], fold[mine]
                 words = split_words(part.column("text"))
-                row, place = held_places(words, word_places(words))
+                places = word_places(words)
+                pairs = [each_once(words.rows, column[words.codes], PLACES) for column in places.T]
+                row, place = each_once(*(np.concatenate(x) for x in zip(*pairs)), PLACES)
                 row = np.concatenate([row, np.arange(part.num_rows)])
                 place = np.concatenate([place, source_places(part) + PLACES])
                 keys = []
                 for t in range(len(TARGETS)):
                     known = targets[row, t] >= 0
-                    keys.append(place[known] * cells + (t * 2 + targets[row, t][known]) * FOLDS + fold[row][known])
+                    cell = (t * 2 + targets[row, t][known]) * (FOLDS + 1) + fold[row][known]
+                    keys.append(place[known] * CELLS + cell)
                 key, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
 
         rows = docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-        # At most 2 * PLACES * cells rows, whatever the data.
-        found = rows.toPandas()
-        counts = np.zeros(2 * PLACES * cells)
-        counts[found["key"].to_numpy(np.int64)] = found["n"].to_numpy(float)
-        counts = counts.reshape(2, PLACES, len(TARGETS), 2, FOLDS)
-        sizes = np.array([[[((labels.targets[:, t] == c) & (labels.part == f + 1)).sum() for f in range(FOLDS)]
-                           for c in (0, 1)] for t in range(len(TARGETS))], dtype=float)
-        words, sources = [], []
-        for t in range(len(TARGETS)):
-            for table in range(FOLDS + 1):
-                kept = [f for f in range(FOLDS) if f + 1 != table]
-                bad, good = (counts[0, :, t, c][:, kept].sum(axis=1) for c in (0, 1))
-                n_bad, n_good = (sizes[t, c, kept].sum() for c in (0, 1))
-                odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
-                error = np.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
-                words.append(np.where(np.abs(odds) > CERTAIN * error, odds, 0))
-                bad, good = (counts[1, :, t, c][:, kept].sum(axis=1) for c in (0, 1))
-                base = (n_bad + 1) / (n_bad + n_good + 2)
-                rate = (bad + SMOOTH * base) / (bad + good + SMOOTH)
-                sources.append(np.log(rate / (1 - rate)) - np.log(base / (1 - base)))
-        shape = len(TARGETS), FOLDS + 1, PLACES
-        return Evidence(*(np.array(x, dtype=np.float32).reshape(shape) for x in (words, sources)))
+        cell = F.pmod("key", F.lit(CELLS))
+        fold, kind = F.pmod(cell, F.lit(FOLDS + 1)), F.floor(cell / (FOLDS + 1))
+        counts = rows.groupBy(F.floor(F.col("key") / CELLS).alias("place"), F.floor(kind / 2).alias("target")).agg(*(
+            F.sum(F.when((kind % 2 == c) & (fold == f), F.col("n")).otherwise(0)).alias(f"n{c}_{f}")
+            for c in (0, 1) for f in range(1, FOLDS + 1)
+        ))
+        sizes = {
+            (t, c, f): int(((labels.targets[:, t] == c) & (labels.part == f)).sum())
+            for t in range(len(TARGETS)) for c in (0, 1) for f in range(1, FOLDS + 1)
+        }
+        tables = []
+        for table in range(FOLDS + 1):
+            kept = [f for f in range(1, FOLDS + 1) if f != table]
+            bad, good = (sum((F.col(f"n{c}_{f}") for f in kept), F.lit(0.0)) for c in (0, 1))
+            n_bad, n_good = (
+                F.element_at(F.array(*(F.lit(float(sum(sizes[t, c, f] for f in kept))) for t in range(len(TARGETS)))),
+                             F.col("target").cast("int") + 1) for c in (0, 1)
+            )
+            odds = F.log((bad + 0.5) / (n_bad + 1)) - F.log((good + 0.5) / (n_good + 1))
+            error = F.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5))
+            base = (n_bad + 1) / (n_bad + n_good + 2)
+            rate = (bad + SMOOTH * base) / (bad + good + SMOOTH)
+            of_source = F.log(rate / (1 - rate)) - F.log(base / (1 - base))
+            of_word = F.when(F.abs(odds) > CERTAIN * error, odds).otherwise(0.0)
+            tables.append(F.when(F.col("place") < PLACES, of_word).otherwise(of_source).alias(f"table{table}"))
+        # Only places with evidence come to the driver: few of the words', and at most as many as sources.
+        names = [f"table{i}" for i in range(FOLDS + 1)]
+        some = counts.select("place", "target", *tables).filter(" OR ".join(f"{n} <> 0" for n in names))
+        found = some.toPandas()
+        place, target = (found[c].to_numpy(np.int64) for c in ("place", "target"))
+        parts = []
+        for own in (place < PLACES, place >= PLACES):
+            places, at = np.unique(place[own] % PLACES, return_inverse=True)
+            values = np.zeros((len(places), len(TARGETS), FOLDS + 1), dtype=np.float32)
+            values[at, target[own]] = found.loc[own, names].to_numpy(np.float32)
+            parts.append(Table(places, values))
+        return Evidence(*parts)
 
     def of_words(self, words: Words, table: np.ndarray) -> np.ndarray:
         """For each text and target the evidence for and against, added up, in logarithms."""
-        places, size = word_places(words), len(table)
-        if not len(words.codes):
+        size = len(table)
+        if not len(words.codes) or not len(self.words.places):
             return np.zeros((size, 2 * len(TARGETS)))
-        row, place = held_places(words, places, (self.words != 0).any(axis=(0, 1)))
+        at = self.words.find(word_places(words))
+        rows = words.rows
+        pairs = [each_once(rows, column[words.codes], len(self.words.places)) for column in at.T]
+        row, place = each_once(*(np.concatenate(x) for x in zip(*pairs)), len(self.words.places))
         out = []
-        for own in self.words:
-            found = own[table[row], place]
+        for t in range(len(TARGETS)):
+            found = self.words.values[place, t, table[row]]
             out += [
                 np.log1p(np.bincount(row, np.maximum(sign * found, 0), minlength=size)) for sign in (1, -1)
             ]
         return np.column_stack(out)
 
     def of_sources(self, part: pa.RecordBatch, table: np.ndarray) -> np.ndarray:
-        return np.column_stack([own[table, source_places(part)] for own in self.sources])
+        at = self.sources.find(source_places(part))
+        if not len(self.sources.places):
+            return np.zeros((len(at), len(TARGETS)))
+        found = self.sources.values[np.maximum(at, 0), :, table]
+        return np.where(at[:, None] >= 0, found, 0)
 
 
 def text_view(texts: pa.Array, evidence: Evidence, table: np.ndarray) -> np.ndarray:
@@ -433,8 +468,11 @@ def limit_of(apart: DataFrame, model: Model, target: str) -> float:
     return float(best[np.abs(best - 500).argmin()]) / 1000
 
 
-def fitted(docs: DataFrame, labels: DataFrame, rounds: int) -> tuple[DataFrame, Evidence, dict[str, Model]]:
-    """Stored rows (doc_id, views, targets, apart), the evidence, and a model for each target that can be learned."""
+def fitted(
+    docs: DataFrame, labels: DataFrame, rounds: int
+) -> tuple[DataFrame, Labels, Evidence, dict[str, Model]]:
+    """Stored rows (doc_id, views, targets, apart), the labels, the evidence, and a model for each target
+    that can be learned."""
     own = inputs(docs)
     known = labels_of(labels)
     evidence = Evidence.learned(own, known)
@@ -453,13 +491,13 @@ def fitted(docs: DataFrame, labels: DataFrame, rounds: int) -> tuple[DataFrame,
         models[target] = co_train(rows, apart, rounds, target, float(share))
         if target == "clean":
             models[target].limit = limit_of(apart, models[target], target)
-    return rows, evidence, models
+    return rows, known, evidence, models
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, score (chance of good quality), kept and clean_score (chance not to be toxic) for
     every row; kept asks for both."""
-    rows, _, models = fitted(docs, labels, rounds)
+    rows, _, _, models = fitted(docs, labels, rounds)
     scores = {t: models[t].column() if t in models else F.lit(1.0) for t in TARGETS}
     kept = F.lit(True)
     for target, model in models.items():
@@ -472,8 +510,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) ->
 def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The documents that are kept, with all their columns. Texts are read again, not shuffled; each row goes
     through a task once, and only kept rows come back."""
-    _, evidence, models = fitted(docs, labels, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast((labels_of(labels), evidence, models))
+    _, *learned = fitted(docs, labels, rounds)
+    shared = docs.sparkSession.sparkContext.broadcast(learned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, evidence, models = shared.value
