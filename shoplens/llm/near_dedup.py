@@ -1,9 +1,11 @@
 """Near-duplicate detection by a chosen-path set similarity join.
 
 Every distinct set of word shingles gets ``TOKENS`` minwise tokens. In each of ``trees`` independent
-trees a node chooses token positions by its own random draw, 1 / threshold of them on average, so a
-pair at the threshold expects to share one child at every level however deep the tree; its sets go
-to the child named by their token there. Nodes with one set are dropped, nodes of at most ``NODE``
+trees a node chooses token positions by its own random draw, ``GROWTH`` / threshold of them on average (one or
+two), and its sets go to the child named by their token there. A pair at the threshold expects to share more
+than one child, so its chance to be parted by all children of a node does not tend to one with depth: it
+solves q = (1 - p) f + p f f, f = 1 - s + s q for threshold s and chance p of two positions, and is 0.25 at
+80 % and 0.22 at 85 %, that is 1e-6 and 2e-7 for ten trees, at every depth. Nodes with one set are dropped, nodes of at most ``NODE``
 sets are compared exhaustively by their tokens, larger ones branch again. All nodes of a level are
 one shuffle; a node never meets more sets in one task than ``NODE``.
 
@@ -14,9 +16,12 @@ of all pairs of a group is made, and no candidate between components goes untest
 
 A set that no token separates from more than ``NODE`` others in ``DEPTH`` levels agrees with them in
 nearly all tokens. Such a node is first cut into parts that share some sets as bridges, among them the
-one nearest to the node's commonest tokens, which joins a family of copies of one text. Then every set
-outside the node's largest component is compared with all sets of the node, block against block, each
-pair of blocks a node of its own: rows grow with sets left outside x size of the node / ``NODE``.
+one nearest to the node's commonest tokens, which joins a family of copies of one text. What that leaves is
+met through rare shingles: of the sets of such nodes each lists its rarest shingles, just so many that two
+sets alike enough must share a listed one, and only sets that share one are compared. Texts of one template
+share its shingles, which are common, and list their own. A listed shingle that more than ``NODE`` sets share
+is compared block against block, each pair of blocks a node of its own, every set outside its largest
+component with all its sets.
 
 Only A-Z are put in lower case. A text with fewer words than a shingle is one shingle. A text without
 words, or null, is empty: it links with nothing. Rows with one doc_id are one document. A row with a
@@ -38,7 +43,8 @@ from pyspark.sql import functions as F
 from shoplens.llm.words import mix, slices, split_words, window_hashes, word_hashes
 from shoplens.sources.stages import store
 
-TOKENS, TREES, NODE, DEPTH, BRIDGES = 64, 10, 1024, 10, 16
+TOKENS, TREES, NODE, DEPTH, BRIDGES = 64, 10, 1024, 6, 16
+GROWTH = 1.3  # children that a pair at the threshold is expected to share
 BLOCK = 1 << 15  # shingles hashed at a time
 FILTER = 1 << 22  # bits of the filter over wanted documents
 SPARSE = 4  # candidates per set up to which a node sends pairs
@@ -111,7 +117,7 @@ def children(active: DataFrame, threshold: float) -> DataFrame:
     def draw(salt: int, limit: int) -> Column:
         return F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(limit)).cast("int")
 
-    more = draw(2, 1_000_000) < int((1 / threshold - 1) * 1_000_000)
+    more = draw(2, 1_000_000) < int((GROWTH / threshold - 1) * 1_000_000)
     one, two = draw(1, TOKENS), draw(3, TOKENS)
     places = F.when(more & (one != two), F.array(one, two)).otherwise(F.array(one))
     return active.select("node", "id", "tokens", F.explode(places).alias("place")).select(
@@ -214,6 +220,39 @@ def across(large: DataFrame, labels: DataFrame) -> DataFrame:
     return store(pairs, "block-pairs")
 
 
+def rare_groups(full: DataFrame, percent: int) -> DataFrame:
+    """(node, id): sets that share one of their rarest shingles, a node for each such shingle.
+
+    Two sets with a union of which ``percent`` is common share that much of the larger one, so among the
+    size - needed + 1 rarest shingles of each, in one order for all, there is a common one.
+    """
+    held = full.select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    often = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ranked = held.join(often, "shingle", "left").groupBy("id").agg(
+        F.first("size").alias("size"),
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("ranked"),
+    )
+    listed = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).cast("int")
+    return ranked.select("id", F.explode(F.slice("ranked", F.lit(1), listed)).alias("at")).filter("at.n > 1").select(
+        F.xxhash64("at.shingle").alias("node"), "id"
+    )
+
+
+def left_over(large: DataFrame, full: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(node, id): what of the large nodes still has to be compared: groups by rare shingles with more than
+    one component, those with more than ``NODE`` sets as pairs of blocks."""
+    own = full.join(large.select("id").distinct(), "id", "left_semi")
+    groups = store(rare_groups(own, percent), "rare-groups")
+    marked = groups.join(labels, "id", "left").select("node", "id", F.coalesce("label", "id").alias("label"))
+    sizes = marked.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).filter("low <> high").select("node", "n")
+    open_groups = store(groups.join(sizes, "node"), "open-groups")
+    small = open_groups.filter(F.col("n") <= NODE).select("node", "id")
+    crowded = open_groups.filter(F.col("n") > NODE)
+    return small if crowded.isEmpty() else small.unionByName(across(crowded, labels))
+
+
 def by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows regrouped so that a batch holds whole nodes; they come sorted by node."""
     kept: list[pa.RecordBatch] = []
@@ -497,7 +536,7 @@ def near_duplicates(
     )
     labels = components(edges)
     if large is not None:
-        far = across(large, labels)
+        far = store(left_over(large, full, labels, percent), "left-over")
         if not far.isEmpty():
             more, members = open_candidates(far, sets, labels, least)
             edges = (
