@@ -13,7 +13,8 @@ of distinct terms per document, whatever the number of documents; that is what i
 
 Null text: empty, and an empty text has only empty subsets. Equal texts have equal fingerprints. For
 ``edited`` the documents stand in descending doc_id order, null doc_ids last, rows with equal doc_ids
-by descending text; a lone document is its own next. Extra columns stay out of the result.
+by descending hash of the text; a lone document is its own next. Repeated rows stand next to each other. Very long
+texts are a slice of their own. Extra columns stay out of the result; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -133,39 +134,50 @@ FIRST = -(1 << 63)
 def with_neighbours(docs: DataFrame) -> DataFrame:
     """(bucket, donor, doc_id, text): ranges of doc_id, sorted for reading in descending order.
 
-    A range also gets, as its last row with donor = 1, the document that follows its lowest one. The
-    driver holds one number for each range.
+    A range also gets, as its last row with donor = 1, the document that follows its lowest one. A doc_id (or
+    the missing one) with so many rows that it takes several ranges is parted by the hash of the text. The
+    driver holds two numbers for each range.
     """
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(FIRST))
-    keyed = docs.select(order.alias("k"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    keyed = docs.select(
+        order.alias("k"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text",
+    )
     shares = [(i + 1) / ranges for i in range(ranges - 1)]
     found = keyed.select(F.percentile_approx("k", F.array(*map(F.lit, shares)), 10_000).alias("c"))
-    cuts = sorted(set(found.first().c or [])) if shares else []
+    cuts = (found.first().c or []) if shares else []
     bucket = F.lit(0)
     if cuts:
         edges = F.array(*map(F.lit, cuts))
-        bucket = F.size(F.filter(edges, lambda c: c < F.col("k")))
+        below = F.size(F.filter(edges, lambda c: c < F.col("k")))
+        here = F.size(F.filter(edges, lambda c: c == F.col("k")))
+        share = F.shiftrightunsigned("h", 34).cast("double") / (1 << 30)
+        bucket = below + F.floor(share * F.greatest(here, F.lit(1))).cast("int")
     keyed = keyed.withColumn("bucket", bucket)
-    highest = sorted(keyed.groupBy("bucket").agg(F.max("k").alias("k")).collect())
-    places = F.array(F.struct("bucket", F.lit(0).alias("donor")))
-    if highest:
-        follows = [b for b, _ in highest[1:]] + [highest[0][0]]
-        target = F.element_at(
-            F.map_from_arrays(
-                F.array(*(F.lit(k) for _, k in highest)), F.array(*map(F.lit, follows))
-            ),
-            F.col("k"),
+    tops = keyed.groupBy("bucket").agg(F.max(F.struct("k", "h")).alias("top"))
+    tops = sorted((r.bucket, r.top.k, r.top.h) for r in tops.collect())
+    rows = keyed.withColumn("donor", F.lit(0))
+    if tops:
+        follows = [*(t[0] for t in tops[1:]), tops[0][0]]
+        listed = [(*top, to) for top, to in zip(tops, follows)]
+        # At most ``ranges`` rows, a setting of the session.
+        highest = F.broadcast(
+            docs.sparkSession.createDataFrame(listed, "bucket int, k bigint, h bigint, to int")
+        )
+        donors = keyed.join(highest, ["bucket", "k", "h"]).groupBy("to").agg(
+            F.max(F.struct("k", "h", "doc_id", "text")).alias("top")
+        )
+        rows = rows.select("bucket", "donor", "k", "h", "doc_id", "text").unionByName(
+            donors.select(F.col("to").alias("bucket"), F.lit(1).alias("donor"), "top.*")
         )
-        copied = F.concat(places, F.array(F.struct(target.alias("bucket"), F.lit(1).alias("donor"))))
-        places = F.when(F.col("k").isin([k for _, k in highest]), copied).otherwise(places)
     return (
-        keyed.select(F.explode(places).alias("at"), "k", "doc_id", "text")
-        .select("at.bucket", "at.donor", "k", "doc_id", "text")
-        .repartition(ranges, "bucket")
-        .sortWithinPartitions("bucket", "donor", F.col("k").desc(), F.col("text").desc_nulls_last())
-        .drop("k")
-    )
+        rows.repartitionById(max(len(cuts) + 1, 1), "bucket")
+        .sortWithinPartitions(
+            "bucket", "donor", F.col("k").desc(), F.col("h").desc(), F.col("text").desc_nulls_last()
+        )
+        .select("bucket", "donor", "doc_id", "text")
+    )
 
 
 def edited(text: str, following: str) -> str:
