@@ -147,11 +147,9 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int) -> DataFr
             [{"shard": context.partitionId(), "file": file, "documents": len(numbers), "ids": total}]
         )
 
-    ordered = (
-        docs.select("doc_id", "text")
-        .repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    )
+    # The hash parts rows that share a doc_id, or have none, over several shards.
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.length("text")
+    ordered = docs.select("doc_id", "text").repartitionByRange(shards, *order[:2]).sortWithinPartitions(*order)
     schema = "shard bigint, file string, documents bigint, ids bigint"
     return store(ordered.mapInArrow(write, schema), "token-shards")
 
