@@ -29,6 +29,7 @@ from shoplens.llm.words import SPACES, slices
 from shoplens.sources.stages import stage_path, store
 
 LAST = (1 << 63) - 1
+SALTS = 16
 
 
 def line_key(line: str, least: int) -> bytes | None:
@@ -116,7 +117,7 @@ class LineRuns:
 
 
 def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fan_in: int = 2) -> DataFrame:
-    """doc_id and the keys whose lines that document loses."""
+    """(doc_id, key): whose lines that document loses; rows without a doc_id are the document LAST."""
     spark = docs.sparkSession
     pairs = store(line_keys(docs, least).dropDuplicates(["doc_id", "key"]), "line-keys")
     shares = [(i + 1) / batches for i in range(batches - 1)]
@@ -133,15 +134,52 @@ def repeated_lines(docs: DataFrame, least: int = 10, batches: int = 4, fan_in: i
         found = runs.add(batch)
         repeats = found if repeats is None else repeats.unionByName(found)
     runs.close()
-    return repeats.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    return repeats
+
+
+def unnamed_keys(docs: DataFrame, repeats: DataFrame, least: int) -> DataFrame:
+    """(row, keys): the keys that each row without a doc_id loses, met line by line.
+
+    These rows are one document with one list of keys, which may be long: no list of it is made. A key is
+    copied ``SALTS`` times and a row's lines are dealt over the copies, so a line that all rows have is not
+    one task.
+    """
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            rows, found = [], []
+            for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist()):
+                own = {line_key(line, least) for line in (text or "").split("\n")} - {None}
+                found += own
+                rows += [row] * len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows, pa.binary()), pa.array(found, pa.binary())], ["row", "key"]
+            )
+
+    held = docs.select("row", "text").mapInArrow(lines, "row binary, key binary").distinct()
+    salt = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int").alias("salt")
+    lost = repeats.filter(F.col("doc_id") == LAST).select(
+        "key", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    return held.select("row", "key", salt).join(lost, ["key", "salt"]).groupBy("row").agg(
+        F.collect_list("key").alias("keys")
+    )
 
 
 def cut_lines(docs: DataFrame, repeats: DataFrame, least: int) -> DataFrame:
     """(doc, n_lines, n_dropped, kept_text): every row of ``docs`` as a struct, and what is left."""
-    whole = docs.select(F.struct("*").alias("doc"), "text", F.coalesce(
-        F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("place"))
-    lost = repeats.withColumnRenamed("doc_id", "place")
-    joined = whole.join(lost.hint("shuffle_hash"), "place", "left").select("doc", "text", "keys")
+    place = F.col("doc_id").cast("bigint")
+    whole = docs.select(F.struct("*").alias("doc"), "text", place.alias("place"))
+    lost = repeats.filter(F.col("doc_id") != LAST).groupBy(F.col("doc_id").alias("place")).agg(
+        F.collect_list("key").alias("keys")
+    )
+    joined = whole.filter("place IS NOT NULL").join(lost.hint("shuffle_hash"), "place", "left").select("doc", "text", "keys")
+    unnamed = whole.filter("place IS NULL")
+    if not unnamed.isEmpty():
+        # Equal texts lose the same lines, so a text stands for all its rows.
+        row = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).cast("binary").alias("row")
+        unnamed = unnamed.select("doc", "text", row)
+        keys = unnamed_keys(unnamed.select("row", "text"), repeats, least)
+        joined = joined.unionByName(unnamed.join(keys, "row", "left").select("doc", "text", "keys"))
     schema = T.StructType([joined.schema["doc"]])
     schema.add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
 
