@@ -187,14 +187,27 @@ def null_profile(frame: DataFrame) -> DataFrame:
 
 
 def clean_profile(clean: DataFrame) -> DataFrame:
-    """Size, date range, distinct keys and revenue of the cleaned table in one row."""
-    return clean.agg(
-        F.count(F.lit(1)).alias("Rows"),
-        F.min("InvoiceDate").alias("FirstDate"),
-        F.max("InvoiceDate").alias("LastDate"),
+    """Size, date range, distinct keys and revenue of the cleaned table in one row.
+
+    Lines fold to one row per invoice, customer and country before keys are counted, and products to one
+    row each, so no line is copied per column.
+    """
+    revenue = F.coalesce(F.sum("TotalPrice"), F.lit(0)).alias("TotalRevenue")
+    kind = clean.agg(revenue).schema["TotalRevenue"].dataType
+    invoices = clean.groupBy("InvoiceNo", "CustomerID", "Country").agg(
+        F.count(F.lit(1)).alias("Rows"), F.min("InvoiceDate").alias("First"), F.max("InvoiceDate").alias("Last"),
+        F.sum("TotalPrice").alias("TotalPrice"),
+    )
+    products = clean.select("StockCode").distinct().agg(F.count("StockCode")).scalar()
+    return invoices.agg(
+        F.coalesce(F.sum("Rows"), F.lit(0)).cast("bigint").alias("Rows"),
+        F.min("First").alias("FirstDate"),
+        F.max("Last").alias("LastDate"),
         F.countDistinct("CustomerID").alias("Customers"),
         F.countDistinct("InvoiceNo").alias("Invoices"),
-        F.countDistinct("StockCode").alias("Products"),
         F.countDistinct("Country").alias("Countries"),
-        F.coalesce(F.sum("TotalPrice"), F.lit(0)).alias("TotalRevenue"),
-    )
+        revenue,
+    ).select(
+        "Rows", "FirstDate", "LastDate", "Customers", "Invoices", products.alias("Products"), "Countries",
+        F.col("TotalRevenue").cast(kind).alias("TotalRevenue"),
+    )

@@ -1,7 +1,10 @@
 """Tables behind the charts and the dashboard."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.operators import decisions, exploration, lifetime_value, rfm
 from shoplens.sources.stages import store
@@ -82,3 +85,38 @@ def dashboard_tables(business: DataFrame, segments: DataFrame) -> dict[str, Data
         "priority_map": decisions.priority_map(business),
         "top_urgent": decisions.top_urgent(business),
     }
+
+
+#: What names a row of each dashboard table; the kpis are one row.
+ROW_KEYS = {
+    "segment_bar": "Segment", "clv_pie": "CLV_Tier", "risk_bar": "ChurnRiskTier",
+    "priority_map": "CustomerID", "top_urgent": "CustomerID",
+}
+#: The tables that are shown in an order; they have a handful of rows.
+ORDERED = ("segment_bar", "risk_bar", "top_urgent")
+
+
+def long_form(name: str, table: DataFrame) -> DataFrame:
+    """Table, Row, Position, Column, Number, Text: one row per cell, the position where rows have an order."""
+    key = F.col(ROW_KEYS[name]).cast("string") if name in ROW_KEYS else F.lit("all")
+    position = F.lit(None).cast("int")
+    if name in ORDERED:
+        # In the order in which the rows come, so that a table that lost its order shows it.
+        position = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    cells = []
+    for field in table.schema.fields:
+        text = isinstance(field.dataType, T.StringType)
+        column = F.col(f"`{field.name}`")
+        cells.append(F.struct(
+            F.lit(field.name).alias("Column"),
+            (F.lit(None) if text else column).cast("double").alias("Number"),
+            (column if text else F.lit(None)).cast("string").alias("Text"),
+        ))
+    return table.select(
+        F.lit(name).alias("Table"), key.alias("Row"), position.alias("Position"), F.array(*cells).alias("cells")
+    ).select("Table", "Row", "Position", F.inline("cells"))
+
+
+def contents(tables: dict[str, DataFrame]) -> DataFrame:
+    """All cells of the given dashboard tables."""
+    return reduce(DataFrame.unionByName, (long_form(name, table) for name, table in tables.items()))

@@ -635,6 +635,8 @@ SELECTS = {
         true AS Falling, true AS SweepAgrees, true AS SilhouettesInRange FROM scaled""",
     "kmeans_assign_fixed": "SELECT CustomerID, Cluster FROM assigned",
     "silhouette": _silhouette(f"sqrt({SQUARED})"),
+    "silhouette_tree": f"""SELECT round(Silhouette, 4) AS Silhouette, true AS SmallBound
+        FROM ({_silhouette(f"sqrt({SQUARED})")})""",
     "silhouette_squared": _silhouette(SQUARED),
     "pca_2d": PCA_POINTS,
     "chart_pca_check": PCA_POINTS,
@@ -736,6 +738,40 @@ SELECTS = {
         FROM business WHERE CLV_Tier IS NOT NULL GROUP BY CLV_Tier""",
     "chart_risk_bar": """SELECT ChurnRiskTier, count(*) AS Customers FROM business
         GROUP BY ChurnRiskTier""",
+    "dashboard_contents": f"""WITH urgent AS (
+          SELECT * FROM business WHERE Recommendation = 'URGENT: VIP Win-back' OR NOT EXISTS
+            (SELECT 1 FROM business WHERE Recommendation = 'URGENT: VIP Win-back')
+          ORDER BY CLV_12m DESC NULLS LAST, CustomerID LIMIT 20),
+        urgent_rows AS (SELECT *, row_number() OVER (ORDER BY CLV_12m DESC NULLS LAST, CustomerID)::INT AS pos FROM urgent),
+        bars AS (SELECT *, row_number() OVER (ORDER BY Revenue, Segment)::INT AS pos FROM (
+          SELECT Segment, count(*)::DOUBLE AS Customers, sum(Monetary)::DOUBLE AS Revenue FROM clustered GROUP BY Segment)),
+        risks AS (SELECT *, row_number() OVER (ORDER BY list_position(
+            ['Low Risk', 'Medium Risk', 'High Risk', 'Unknown'], ChurnRiskTier))::INT AS pos
+          FROM (SELECT ChurnRiskTier, count(*)::DOUBLE AS Customers FROM business GROUP BY ChurnRiskTier)),
+        pies AS (SELECT CLV_Tier, count(*)::DOUBLE AS Customers, sum(CLV_12m) AS TotalCLV FROM business
+          WHERE CLV_Tier IS NOT NULL GROUP BY CLV_Tier),
+        totals AS (SELECT count(*)::DOUBLE AS a, coalesce(sum(CLV_12m), 0) AS b, avg(ChurnProbability) AS c,
+          coalesce(sum(CLV_12m) FILTER (Recommendation = 'URGENT: VIP Win-back'), 0) AS d,
+          avg((Recommendation IN ('Low-cost Automation Only', 'Minimal Spend'))::INT) AS e FROM business),
+        shown AS (SELECT business.*, CASE WHEN CLV_12m > cap THEN cap ELSE CLV_12m END AS capped
+          FROM business, (SELECT quantile_cont(CLV_12m, 0.97) AS cap FROM business)),
+        shown_cells(t, r, p, c, n, x) AS (
+          SELECT 'kpis', 'all', NULL::INT, c, n, NULL::VARCHAR FROM (SELECT unnest(['TotalCustomers', 'TotalCLV', 'AvgChurn',
+            'RevenueAtRisk', 'LowPriorityShare']) AS c, unnest([a, b, c, d, e]) AS n FROM totals)
+          UNION ALL SELECT 'segment_bar', Segment, pos, unnest(['Segment', 'Customers', 'Revenue']),
+            unnest([NULL, Customers, Revenue]), unnest([Segment, NULL, NULL]) FROM bars
+          UNION ALL SELECT 'clv_pie', CLV_Tier, NULL, unnest(['CLV_Tier', 'Customers', 'TotalCLV']),
+            unnest([NULL, Customers, TotalCLV]), unnest([CLV_Tier, NULL, NULL]) FROM pies
+          UNION ALL SELECT 'risk_bar', ChurnRiskTier, pos, unnest(['ChurnRiskTier', 'Customers']),
+            unnest([NULL, Customers]), unnest([ChurnRiskTier, NULL]) FROM risks
+          UNION ALL SELECT 'priority_map', CustomerID::VARCHAR, NULL, unnest(['CustomerID', 'ChurnProbability', 'CLV_capped', 'Segment',
+            'CLV_12m', 'Recommendation', 'Recency', 'Frequency', 'Monetary']),
+            unnest([CustomerID::DOUBLE, ChurnProbability, capped, NULL, CLV_12m, NULL, Recency::DOUBLE, Frequency::DOUBLE, Monetary::DOUBLE]),
+            unnest([NULL, NULL, NULL, Segment, NULL, Recommendation, NULL, NULL, NULL]) FROM shown
+          UNION ALL SELECT 'top_urgent', CustomerID::VARCHAR, pos, unnest(['CustomerID', 'Segment', 'ChurnProb', 'CLV_12m', 'Recency']),
+            unnest([CustomerID::DOUBLE, NULL, round_even(ChurnProbability, 2), round_even(CLV_12m, 0), Recency::DOUBLE]),
+            unnest([NULL, Segment, NULL, NULL, NULL]) FROM urgent_rows)
+        SELECT t AS "Table", r AS "Row", p AS "Position", c AS "Column", round(n, 2) AS "Number", x AS "Text" FROM shown_cells""",
     "dashboard_tables": """SELECT 'kpis' AS "Table", 1 AS "Rows"
         UNION ALL SELECT 'segment_bar', count(DISTINCT Segment) FROM clustered
         UNION ALL SELECT 'clv_pie', count(DISTINCT CLV_Tier) FROM business

@@ -772,6 +772,15 @@ def silhouette(spark, folder):
     return plain(clustering.silhouette(labelled), Silhouette=6)
 
 
+@query
+def silhouette_tree(spark, folder):
+    """The plain-distance silhouette by expansion of far cells; its error bound is far above its error."""
+    labelled = clustering.assign(scaled_of(spark, folder), CENTERS)
+    found = clustering.tree_silhouettes(labelled, ["Cluster"])["Cluster"]
+    row = [(found.mean, 0 <= found.error < 0.05)]
+    return plain(spark.createDataFrame(row, "Silhouette double, SmallBound boolean"), Silhouette=4)
+
+
 @query
 def silhouette_squared(spark, folder):
     labelled = clustering.assign(scaled_of(spark, folder), CENTERS)
@@ -1197,8 +1206,8 @@ def chart_risk_bar(spark, folder):
     return reports.risk_bar(business_frame(spark, folder))
 
 
-@query
-def dashboard_tables(spark, folder):
+def dashboard_of(spark, folder):
+    """The dashboard tables, written and read back."""
     clustered = clustered_of(live_of(spark, folder))
     business = business_of(spark, folder)
     shown = {}
@@ -1206,6 +1215,18 @@ def dashboard_tables(spark, folder):
         path = stage_path(spark, f"dashboard-{name}")
         tables.write_stage(table, path)
         shown[name] = tables.read_stage(spark, path)
+    return shown
+
+
+@query
+def dashboard_contents(spark, folder):
+    """Every cell of the dashboard tables, with the place of the rows that have an order."""
+    return plain(reports.contents(dashboard_of(spark, folder)), Number=2)
+
+
+@query
+def dashboard_tables(spark, folder):
+    shown = dashboard_of(spark, folder)
     counts = [
         frame.agg(F.lit(name).alias("Table"), F.count(F.lit(1)).alias("Rows"))
         for name, frame in shown.items()
