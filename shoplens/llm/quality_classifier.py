@@ -58,6 +58,8 @@ ROUNDS, CONFIDENT, PSEUDO_WEIGHT = 2, 0.98, 0.5
 #: Share of the labelled documents kept apart for calibration: one in APART, by checksum of doc_id.
 APART = 5
 VIEWS, TARGETS = ("text", "meta"), ("good", "clean")
+#: The targets for which single words count. Quality is a matter of form, which the shares show.
+WORDY = (TARGETS.index("clean"),)
 LARGEST = 12.0  # log odds beyond this count as this
 TRIMMED = ".,;:!?\"'()"
 CLASSES = (r"\p{Lu}", r"\p{L}", r"\p{N}", r"[#*$%&|<>]", r"[!?]", r"[.,;:]")
@@ -122,9 +124,9 @@ def source_places(part: pa.RecordBatch) -> np.ndarray:
 
 
 def each_once(rows: np.ndarray, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs (row, place); a place below 0 is none."""
-    some = places >= 0
-    return np.divmod(np.unique(rows[some] * size + places[some]), size)
+    """The distinct pairs (row, place), of several places in each row of ``places``; below 0 is none."""
+    pairs = [rows[own >= 0] * size + own[own >= 0] for own in places.T]
+    return np.divmod(np.unique(np.concatenate(pairs)), size)
 
 
 @dataclass
@@ -162,16 +164,14 @@ class Evidence:
                     continue
                 targets, fold = targets[mine], fold[mine]
                 words = split_words(part.column("text"))
-                places = word_places(words)
-                pairs = [each_once(words.rows, column[words.codes], PLACES) for column in places.T]
-                row, place = each_once(*(np.concatenate(x) for x in zip(*pairs)), PLACES)
-                row = np.concatenate([row, np.arange(part.num_rows)])
-                place = np.concatenate([place, source_places(part) + PLACES])
+                held = each_once(words.rows, word_places(words)[words.codes], PLACES)
+                own = np.arange(part.num_rows), source_places(part) + PLACES
                 keys = []
                 for t in range(len(TARGETS)):
-                    known = targets[row, t] >= 0
-                    cell = (t * 2 + targets[row, t][known]) * (FOLDS + 1) + fold[row][known]
-                    keys.append(place[known] * CELLS + cell)
+                    for row, place in (held, own) if t in WORDY else (own,):
+                        known = targets[row, t] >= 0
+                        cell = (t * 2 + targets[row, t][known]) * (FOLDS + 1) + fold[row][known]
+                        keys.append(place[known] * CELLS + cell)
                 key, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
 
@@ -215,16 +215,15 @@ class Evidence:
         return Evidence(*parts)
 
     def of_words(self, words: Words, table: np.ndarray) -> np.ndarray:
-        """For each text and target the evidence for and against, added up, in logarithms."""
+        """For each text and wordy target the evidence for and against, added up, in logarithms."""
         size = len(table)
         if not len(words.codes) or not len(self.words.places):
-            return np.zeros((size, 2 * len(TARGETS)))
+            return np.zeros((size, 2 * len(WORDY)))
         at = self.words.find(word_places(words))
-        rows = words.rows
-        pairs = [each_once(rows, column[words.codes], len(self.words.places)) for column in at.T]
-        row, place = each_once(*(np.concatenate(x) for x in zip(*pairs)), len(self.words.places))
+        some = (at >= 0).any(axis=1)[words.codes]  # few words are evidence
+        row, place = each_once(words.rows[some], at[words.codes[some]], len(self.words.places))
         out = []
-        for t in range(len(TARGETS)):
+        for t in WORDY:
             found = self.words.values[place, t, table[row]]
             out += [
                 np.log1p(np.bincount(row, np.maximum(sign * found, 0), minlength=size)) for sign in (1, -1)
