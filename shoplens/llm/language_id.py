@@ -8,8 +8,9 @@ of the words they win outright; a set of k languages is scored by its log-likeli
 k - 1 times ``PENALTY`` * ln(words), and the set grows while that rises. A document whose words all
 together gain less from a second language than its penalty needs no rounds.
 
-Null text or no letter: ``und``, score 0. Without any labelled text all documents are ``und``. Ties go
-to the first language by name. Rows are judged each by itself, so repeated rows and null doc_ids keep
+Null text or no letter (marks alone are none): ``und``, score 0. Without any labelled text all documents are
+``und``. Ties go to the first language by name. Very long texts are a slice of their own; an empty table
+gives no rows. Rows are judged each by itself, so repeated rows and null doc_ids keep
 their rows; labels that are null do not train. Extra columns stay out of the result.
 """
 
@@ -86,9 +87,10 @@ class LanguageModel:
     @classmethod
     def fit(cls, labelled: DataFrame) -> LanguageModel:
         """From rows (text, lang) with a lang. The driver gets languages x BUCKETS counts at most."""
-        languages = [r.lang for r in labelled.select("lang").distinct().orderBy("lang").collect()]
+        distinct = labelled.select("lang").distinct()
+        languages = sorted(r.lang for r in distinct.limit(MOST_LANGUAGES + 1).collect())
         if len(languages) > MOST_LANGUAGES:
-            raise ValueError(f"{len(languages)} languages; the model is made for {MOST_LANGUAGES}")
+            raise ValueError(f"{distinct.count()} languages; the model is made for {MOST_LANGUAGES}")
         counts = count_trigrams(labelled).toPandas()
         table = np.zeros((len(languages), BUCKETS))
         row = {lang: i for i, lang in enumerate(languages)}
@@ -110,7 +112,11 @@ class LanguageModel:
         likes[place[first]] = np.add.reduceat(self.table[:, grams], first, axis=1).T
         lettered = np.zeros(len(words.distinct), dtype=bool)
         lettered[place[first]] = True
+        # Marks join letters; a word of marks alone has no letter.
+        lettered &= pc.match_substring_regex(words.distinct, r"\p{L}").to_numpy(zero_copy_only=False)
         use = lettered[words.codes]
+        if not use.any():
+            return none
         codes, rows = words.codes[use], words.rows[use]
         docs, at = np.unique(rows, return_index=True)
         shares = mixtures(likes[codes], at)
