@@ -1,6 +1,7 @@
-"""The whole batch, stage by stage: each stage writes Parquet the next one reads."""
+"""The whole batch, step by step: each step writes Parquet the next one reads."""
 
-from functools import reduce
+from collections.abc import Callable
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from shoplens.operators import (
     reports,
     rfm,
 )
-from shoplens.sources.stages import store
-from shoplens.sources.tables import read_stage, write_csv, write_stage
+from shoplens.sources.stages import Run, input_key, scratch, store
+from shoplens.sources.tables import write_csv
 
 HOME_COUNTRY = "United Kingdom"
 
@@ -143,6 +144,24 @@ def decision_reports(business: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def churn_tables(labelled: DataFrame, trees: int, rounds: int) -> dict[str, DataFrame]:
+    """The comparison, its reports, and everyone's scores by the boosted model."""
+    comparison, tested, boosted = compare_churn_models(labelled, trees, rounds)
+    comparison = store(comparison, "churn-comparison")
+    return {
+        "churn_model_comparison": comparison,
+        **churn_reports(comparison, tested, boosted, labelled),
+        "churn_predictions": churn_models.score(boosted, labelled, "ChurnProbability_Boosted"),
+    }
+
+
+def value_tables(clean: DataFrame, on_ties: str) -> dict[str, DataFrame]:
+    """Everyone's lifetime value and the reports on it."""
+    scored, fits = lifetime_value.clv_scores(clean)
+    valued = store(lifetime_value.clv_predictions(clean, on_ties, scored), "clv-predictions")
+    return {"clv_predictions": valued, **value_reports(valued, fits)}
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -158,60 +177,54 @@ def run(
 ) -> dict[str, str]:
     """Run every stage over ``raw`` and return the written paths by table name.
 
-    Each stage writes its table and the reports on it. ``csv`` also writes each table as CSV under
-    ``folder``/csv.
+    Each step writes its tables and the reports on them, in one move each. ``csv`` also writes each table as
+    CSV under ``folder``/csv. A run that was killed goes on after its last whole step when it is started again
+    with the same files and settings; a finished one leaves nothing but its tables.
     """
-    paths: dict[str, str] = {}
+    settings = (trees, rounds, restarts, on_ties, csv, clusters, holdout_days, home_country)
+    key = input_key(raw, *settings)
+    run = Run(spark, folder, key)
 
-    def stage(name: str, frame: DataFrame) -> DataFrame:
-        paths[name] = f"{folder.rstrip('/')}/{name}"
-        write_stage(frame, paths[name])
-        written = read_stage(spark, paths[name])
+    def as_csv(name: str, written: DataFrame) -> None:
         if csv:
             write_csv(written, f"{folder.rstrip('/')}/csv/{name}")
-        return written
 
-    def stages(tables: dict[str, DataFrame]) -> None:
-        for name, table in tables.items():
-            stage(name, table)
-
-    clean = stage("cleaned", cleaning.clean_transactions(raw))
-    stages(cleaning_reports(raw, clean))
-    stages(exploration_reports(clean, home_country))
-
-    segments = stage("rfm_table", rfm.rfm_segments(rfm.rfm_table(clean), on_ties))
-    stages(segment_reports(segments))
-
-    features = clustering.scaled_features(segments)
-    clustered = stage(
-        "rfm_clustered",
-        clustering.cluster_customers(segments, clusters, restarts, features=features),
-    )
-    stages(cluster_reports(features, clustered, restarts))
-
-    cutoff = churn_features.churn_cutoff(clean, holdout_days)
-    labelled = stage("churn_features", churn_features.churn_dataset(clean, cutoff))
-    comparison, tested, boosted = compare_churn_models(labelled, trees, rounds)
-    comparison = stage("churn_model_comparison", comparison)
-    stages(churn_reports(comparison, tested, boosted, labelled))
-    stage(
-        "churn_predictions", churn_models.score(boosted, labelled, "ChurnProbability_Boosted")
-    )
-
-    scored, fits = lifetime_value.clv_scores(clean)
-    valued = stage(
-        "clv_predictions", lifetime_value.clv_predictions(clean, on_ties, scored)
-    )
-    stages(value_reports(valued, fits))
-
-    live = store(live_scores(clean, trees, labelled), "live-scores")
-    business = stage(
-        "business_recommendations",
-        decisions.sort_recommendations(
-            decisions.business_table(live, clustered, valued, on_ties)
-        ),
-    )
-    stages(decision_reports(business))
-    for name, table in reports.dashboard_tables(business, segments).items():
-        stage(f"dashboard_{name}", table)
-    return paths
+    def step(name: str, make: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        return run.step(name, make, as_csv)
+
+    def one(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return step(name, lambda: {name: make()})[name]
+
+    with scratch(spark, key):
+        clean = one("cleaned", lambda: cleaning.clean_transactions(raw))
+        step("cleaning-reports", lambda: cleaning_reports(raw, clean))
+        step("exploration", lambda: exploration_reports(clean, home_country))
+        segments = one("rfm_table", lambda: rfm.rfm_segments(rfm.rfm_table(clean), on_ties))
+        step("segment-reports", lambda: segment_reports(segments))
+
+        features = cache(lambda: clustering.scaled_features(segments))
+        clustered = one(
+            "rfm_clustered",
+            lambda: clustering.cluster_customers(segments, clusters, restarts, features=features()),
+        )
+        step("cluster-reports", lambda: cluster_reports(features(), clustered, restarts))
+
+        labelled = one(
+            "churn_features",
+            lambda: churn_features.churn_dataset(clean, churn_features.churn_cutoff(clean, holdout_days)),
+        )
+        step("churn-models", lambda: churn_tables(labelled, trees, rounds))
+        valued = step("lifetime-values", lambda: value_tables(clean, on_ties))["clv_predictions"]
+
+        def recommended() -> DataFrame:
+            live = store(live_scores(clean, trees, labelled), "live-scores")
+            business = decisions.business_table(live, clustered, valued, on_ties)
+            return decisions.sort_recommendations(business)
+
+        business = one("business_recommendations", recommended)
+        step("decision-reports", lambda: decision_reports(business))
+        step("dashboard", lambda: {
+            f"dashboard_{name}": table for name, table in reports.dashboard_tables(business, segments).items()
+        })
+    run.finish()
+    return run.paths

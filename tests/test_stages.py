@@ -157,3 +157,56 @@ def test_whole_batch(spark, folder, tmp_path):
     )
     assert copied.count() == customers
     assert business.filter("Priority = 99").count() == 0
+
+
+def test_a_killed_run_goes_on_and_a_finished_one_leaves_its_tables(spark, folder, tmp_path, monkeypatch):
+    """The second start makes only what the first did not finish."""
+    raw = tmp_path / "raw"
+    tables.write_stage(retail_raw(spark, folder), str(raw))
+    out, shared = tmp_path / "out", tmp_path / "shared"
+    monkeypatch.setattr(stages, "shared_folder", lambda _: str(shared))
+    settings = {"trees": 3, "rounds": 2, "restarts": 2, "on_ties": "merge", "home_country": "NATION_0"}
+    made = []
+    plain = batch.value_tables
+    monkeypatch.setattr(batch, "churn_tables", lambda *a, keep=batch.churn_tables: made.append("churn") or keep(*a))
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(batch, "value_tables", killed)
+    with pytest.raises(KeyboardInterrupt):
+        batch.run(spark, tables.read_raw(spark, str(raw)), str(out), **settings)
+    assert (out / "churn_predictions").exists() and not (out / "clv_predictions").exists()
+    assert not list(shared.iterdir())  # no stage table is left
+    before = os.path.getmtime(out / "churn_predictions" / "_SUCCESS")
+
+    monkeypatch.setattr(batch, "value_tables", plain)
+    paths = batch.run(spark, tables.read_raw(spark, str(raw)), str(out), **settings)
+    assert made == ["churn"] and set(paths) == TABLES
+    assert os.path.getmtime(out / "churn_predictions" / "_SUCCESS") == before
+    assert {p.name for p in out.iterdir()} == TABLES and not list(shared.iterdir())
+
+
+def test_other_input_or_settings_are_another_run(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_stage(spark.range(5), path)
+    one = stages.input_key(spark.read.parquet(path), 1)
+    assert one == stages.input_key(spark.read.parquet(path), 1) != stages.input_key(spark.read.parquet(path), 2)
+    tables.write_stage(spark.range(6), path)
+    assert one != stages.input_key(spark.read.parquet(path), 1)
+    assert stages.input_key(spark.createDataFrame([(1,)], "x int")) != stages.input_key(spark.createDataFrame([(1,)], "x int"))
+
+
+def test_a_step_is_listed_only_when_it_is_whole(spark, tmp_path):
+    run = stages.Run(spark, str(tmp_path), "k")
+    bad = spark.range(4).selectExpr("raise_error('stop') AS x")
+    with pytest.raises(Exception, match="stop"):
+        run.step("two", lambda: {"a": spark.range(3), "b": bad})
+    assert not (tmp_path / "a").exists() and not (tmp_path / "_manifest" / "k" / "two.json").exists()
+    seen = []
+    found = run.step("two", lambda: {"a": spark.range(3), "b": spark.range(4)}, lambda name, _: seen.append(name))
+    assert found["b"].count() == 4 and seen == ["a", "b"] and set(run.paths) == {"a", "b"}
+    again = stages.Run(spark, str(tmp_path), "k").step("two", lambda: pytest.fail("made again"))
+    assert again["a"].count() == 3
+    run.finish()
+    assert {p.name for p in tmp_path.iterdir()} == {"a", "b"}
