@@ -2,6 +2,12 @@
 
 Each stage works on all rows that the one before kept, as Parquet written and read again. All but the
 last return the columns of ``documents``; a stage that changes ``text`` brings ``n_chars`` up to date.
+
+Null and empty texts are kept by all stages but the classifier, which judges them like any other, and are packed
+as a lone end id. So are later copies of a text, whose lines line dedup has taken: an empty text links with
+nothing. Repeated rows: a stage keeps or drops all rows of a doc_id alike, but line dedup and the classifier
+look at each row. Rows without a doc_id are never near duplicates. Extra columns pass through all stages
+but packing. Empty tables go through and give no pieces.
 """
 
 from __future__ import annotations
