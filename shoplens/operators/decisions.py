@@ -34,6 +34,7 @@ MATRIX = (
     ("Low Value", "Low Risk", "Minimal Spend", 9,
      "Standard mass marketing only"),
 )
+# The outcome without a tier, and the recommendations that reports single out.
 UNKNOWN = ("Unknown", 99, "Review customer manually")
 URGENT = "URGENT: VIP Win-back"
 LOW_PRIORITY = ("Low-cost Automation Only", "Minimal Spend")
