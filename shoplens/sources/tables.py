@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
 from shoplens.functions.expressions import exact_number
+from shoplens.sources import csv_blocks
 from shoplens.sources.schemas import CLEAN, RAW
 
 #: Seconds with or without a fraction; a fraction is always written.
@@ -19,14 +20,13 @@ def _csv(
     spark: SparkSession, path: str, schema: StructType, date_format: str, multi_line: bool
 ) -> DataFrame:
     # Quotes inside a description are doubled, as pandas and spreadsheets write them.
+    options = {"escape": '"', "mode": "FAILFAST", "timestampNTZFormat": date_format}
+    if multi_line:
+        files = csv_blocks.files_of(spark, path)
+        if csv_blocks.can_be_cut(files):
+            return csv_blocks.read_csv(spark, files, schema, options)
     return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("timestampNTZFormat", date_format)
-        .csv(path)
+        spark.read.schema(schema).option("header", True).option("multiLine", multi_line).options(**options).csv(path)
     )
 
 
@@ -63,7 +63,8 @@ def read_raw(
     """Raw invoice lines with the declared schema.
 
     CSV: a customer may be written ``17850.0``; ``date_format`` is that of the file. A description
-    may hold line ends; where none does, ``multi_line=False`` lets Spark split large files.
+    may hold line ends: large files are cut at true record starts (``csv_blocks``). ``multi_line=False`` is for
+    files without any, which Spark's own reader can cut.
     """
     return _lines(spark, path, RAW, fmt, date_format, multi_line)
 
