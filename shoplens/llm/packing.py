@@ -31,6 +31,9 @@ from shoplens.llm.tokens import encoder, with_end
 from shoplens.llm.words import slices
 
 FILL = 0.985
+#: Bytes of text tokenized at a time (one text at least) and of the cache of words: a worker may have been
+#: used by other stages before and keep some of their memory.
+SLICE, WORDS = 2 << 20, 48 << 20
 RESTS = 1 << 16  # rests of a block at most, so very short texts do not pile up
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -89,7 +92,7 @@ def pack_documents(
     checksum of its ids. Ids of sequences are unique, not without gaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = encoder(path)
+        model = encoder(path, WORDS)
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << 40
         rests: list[tuple] = []  # a piece and, if it may be cut, its ids
@@ -119,7 +122,7 @@ def pack_documents(
             rests, waiting = [], 0
             return rows
 
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             ids, starts = with_end(*model.texts(part.column("text")), end_id)
             rows: list[tuple] = []
             bounds = starts.tolist()
@@ -138,6 +141,7 @@ def pack_documents(
                 if waiting >= full or len(rests) >= RESTS:
                     rows += close()
             yield table(rows)
+            pa.default_memory_pool().release_unused()
         if rests:
             yield table(close())
 

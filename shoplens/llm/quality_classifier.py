@@ -50,6 +50,7 @@ from shoplens.sources.stages import store
 
 WORD_BUCKETS, LANG_BUCKETS = 64, 8
 PLACES, PREFIX, CERTAIN, LABELLED = 1 << 18, 4, 4.0, 1 << 18
+SLICE = 2 << 20  # bytes of text at a time, one text at least
 FOLDS = 4  # of the labelled documents not kept apart
 CELLS = 2 * 2 * (FOLDS + 1)  # of a place: target, class and fold
 SMOOTH = 10.0  # documents of average kind that each source is given
@@ -156,7 +157,7 @@ class Evidence:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             labels = shared.value
-            for part in slices(batches):
+            for part in slices(batches, limit=SLICE):
                 targets, fold = labels.of(part.column("doc_id"))
                 mine = fold > 0
                 part = part.filter(pa.array(mine))
@@ -174,6 +175,7 @@ class Evidence:
                         keys.append(place[known] * CELLS + cell)
                 key, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+                pa.default_memory_pool().release_unused()
 
         rows = docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
         cell = F.pmod("key", F.lit(CELLS))
@@ -313,7 +315,7 @@ def featured(docs: DataFrame, labels: Labels, evidence: Evidence) -> DataFrame:
             starts = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
             return pa.ListArray.from_arrays(pa.array(starts), pa.array(matrix.reshape(-1)))
 
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             targets, fold = labels.of(part.column("doc_id"))
             views = views_of(part, evidence, fold)
             yield pa.RecordBatch.from_arrays(
@@ -322,6 +324,7 @@ def featured(docs: DataFrame, labels: Labels, evidence: Evidence) -> DataFrame:
                  pa.array((targets >= 0).any(axis=1) & (fold == 0))],
                 ["doc_id", *(f"view_{v}" for v in VIEWS), *TARGETS, "apart"],
             )
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(
         run,
@@ -514,7 +517,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, evidence, models = shared.value
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             chosen = [part.column(c) if c in part.schema.names else pa.nulls(part.num_rows, pa.string())
                       for c in ("text", "source", "lang")]
             views = views_of(
@@ -525,5 +528,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataF
             for model in models.values():
                 kept &= model.values(views) > model.limit
             yield part.filter(pa.array(kept))
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)

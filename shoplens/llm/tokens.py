@@ -37,9 +37,9 @@ class TextEncoder:
 
     by_word = True
 
-    def __init__(self):
+    def __init__(self, cache: int | None = None):
         self.known: dict[str, bytes] = {}
-        self.held = 0
+        self.held, self.cache = 0, CACHE if cache is None else cache
 
     def fresh(self, words: list[str], plain: bool) -> list[bytes]:
         raise NotImplementedError
@@ -58,7 +58,7 @@ class TextEncoder:
         return joined(each, words.codes, words.starts)
 
     def ids_of(self, words: list[str], plain: bool) -> list[bytes]:
-        if self.held > CACHE:
+        if self.held > self.cache:
             self.known.clear()
             self.held = 0
         known, held = self.known, self.held
@@ -69,7 +69,7 @@ class TextEncoder:
             new = [words[i] for i in missing]
             for i, word, ids in zip(missing, new, self.fresh(new, plain)):
                 each[i] = ids
-                if held <= CACHE:  # a slice with very many words must not outgrow it either
+                if held <= self.cache:  # a slice with very many words must not outgrow it either
                     known[word] = ids
                     held += len(word) + len(ids) + ENTRY
         finally:
@@ -131,8 +131,8 @@ class LibraryEncoder(TextEncoder):
     """``encode(text, add_special_tokens=False)`` of the tokenizers library, unused truncation and
     padding. A vocabulary file of another kind gets whole texts."""
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, cache: int | None = None):
+        super().__init__(cache)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -200,9 +200,9 @@ def with_end(ids: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray,
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> LibraryEncoder:
+def encoder(path: str, cache: int | None = None) -> LibraryEncoder:
     """One encoder for each Python worker."""
-    return LibraryEncoder(path)
+    return LibraryEncoder(path, cache)
 
 
 def word_bpe_path() -> str:
