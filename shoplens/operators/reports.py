@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,8 +101,9 @@ def long_form(name: str, table: DataFrame) -> DataFrame:
     key = F.col(ROW_KEYS[name]).cast("string") if name in ROW_KEYS else F.lit("all")
     position = F.lit(None).cast("int")
     if name in ORDERED:
-        # In the order in which the rows come, so that a table that lost its order shows it.
-        position = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+        # Counted as the rows come, so that a table that lost its order shows it.
+        table = table.coalesce(1)
+        position = (F.monotonically_increasing_id() + 1).cast("int")
     cells = []
     for field in table.schema.fields:
         text = isinstance(field.dataType, T.StringType)

@@ -1206,27 +1206,23 @@ def chart_risk_bar(spark, folder):
     return reports.risk_bar(business_frame(spark, folder))
 
 
-def dashboard_of(spark, folder):
-    """The dashboard tables, written and read back."""
-    clustered = clustered_of(live_of(spark, folder))
-    business = business_of(spark, folder)
-    shown = {}
-    for name, table in reports.dashboard_tables(business, clustered).items():
-        path = stage_path(spark, f"dashboard-{name}")
-        tables.write_stage(table, path)
-        shown[name] = tables.read_stage(spark, path)
-    return shown
-
-
 @query
 def dashboard_contents(spark, folder):
     """Every cell of the dashboard tables, with the place of the rows that have an order."""
-    return plain(reports.contents(dashboard_of(spark, folder)), Number=2)
+    clustered = clustered_of(live_of(spark, folder))
+    shown = reports.dashboard_tables(business_of(spark, folder), clustered)
+    return plain(reports.contents(shown), Number=2)
 
 
 @query
 def dashboard_tables(spark, folder):
-    shown = dashboard_of(spark, folder)
+    clustered = clustered_of(live_of(spark, folder))
+    business = business_of(spark, folder)
+    shown = {}
+    for name, table in reports.dashboard_tables(business, clustered).items():
+        path = stage_path(spark, f"dashboard-{name}")
+        tables.write_stage(table, path)
+        shown[name] = tables.read_stage(spark, path)
     counts = [
         frame.agg(F.lit(name).alias("Table"), F.count(F.lit(1)).alias("Rows"))
         for name, frame in shown.items()
