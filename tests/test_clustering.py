@@ -107,3 +107,23 @@ def test_profile_shares_come_from_rounded_revenue(spark):
     assert [r.Cluster for r in profile] == [1, 0]
     assert sum(r.PctOfCustomers for r in profile) == pytest.approx(100, abs=0.02)
     assert profile[0].PctOfRevenue == pytest.approx(100 * 7 / 10.0, abs=0.05)
+
+
+def test_exact_silhouette_counts_rows_that_share_a_customer(spark):
+    """Sums belong to rows, not to customers, and pairs of blocks meet without a shuffle of copies."""
+    frame, _ = points(spark, 130, seed=3)
+    frame["CustomerID"] //= 2
+    frame["A"] = np.arange(len(frame)) % 3
+    labelled = spark.createDataFrame(frame)
+    data = frame[list(clustering.RFM_COLUMNS)].to_numpy()
+    for block_rows in (7, 1000):
+        got = clustering.silhouettes(labelled, ["A"], block_rows)["A"]
+        assert got == pytest.approx(brute_silhouette(data, frame["A"].to_numpy()), abs=1e-9)
+
+
+def test_exact_silhouette_is_null_beside_a_row_without_features(spark):
+    frame, _ = points(spark, 50)
+    labelled = spark.createDataFrame(frame.assign(A=frame["CustomerID"] % 2))
+    missing = labelled.withColumn("Recency", F.when(F.col("CustomerID") > 0, F.col("Recency")))
+    missing = missing.withColumn("A", F.when(F.col("CustomerID") > 0, F.col("A")))
+    assert clustering.silhouettes(missing, ["A"], 10) == {"A": None}
