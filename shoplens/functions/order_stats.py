@@ -162,6 +162,7 @@ def _narrowed(frame, column, total, positions, task_rows, accuracy) -> dict:
         ]
     ).first()
     found = {}
+    inner = {}
     for i, (p, (lo, hi)) in enumerate(zip(positions, brackets)):
         offset = p - counts[f"below{i}"]
         inside = counts[f"inside{i}"]
@@ -178,9 +179,29 @@ def _narrowed(frame, column, total, positions, task_rows, accuracy) -> dict:
             found[p] = hi
         else:
             spot = offset - counts[f"low{i}"]
+            if inside <= task_rows:
+                inner[p] = (lo, hi, spot)
+                continue
             rest = frame.filter((value > F.lit(lo)) & (value < F.lit(hi)))
             found[p] = _narrowed(rest, column, inside, [spot], task_rows, accuracy)[spot]
-    return found
+    return found | _inside(frame, column, inner)
+
+
+def _inside(frame: DataFrame, column: str, wanted: dict[int, tuple]) -> dict:
+    """The values at (low, high, place between them), all in one pass; a task holds one bracket's rows."""
+    if not wanted:
+        return {}
+    value = F.col(column)
+    within = [F.when((value > F.lit(lo)) & (value < F.lit(hi)), F.lit(p)) for p, (lo, hi, _) in wanted.items()]
+    places = F.create_map(*[F.lit(x) for p, (_, _, spot) in wanted.items() for x in (p, spot)])
+    rows = (
+        frame.select(value, F.explode(F.array_compact(F.array(*within))).alias("_at"))
+        .groupBy("_at")
+        .agg(F.array_sort(F.collect_list(column)).alias("_ordered"))
+        .select("_at", F.get("_ordered", F.element_at(places, F.col("_at")).cast("int")).alias("_value"))
+        .collect()
+    )
+    return {r["_at"]: r["_value"] for r in rows}
 
 
 def cut_at(value: Column, edges: Sequence[float]) -> Column:

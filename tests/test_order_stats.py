@@ -121,3 +121,19 @@ def test_running_totals(spark, partitions):
 def test_ranking_of_nothing(spark):
     frame = spark.createDataFrame([], "k long")
     assert global_row_number(frame, [F.col("k")], "r").count() == 0
+
+
+def test_all_brackets_are_opened_in_one_pass(spark):
+    from shoplens.functions.order_stats import ordered_keys
+
+    rng = np.random.default_rng(4)
+    data = np.round(rng.normal(size=6000), 3)
+    frame = spark.createDataFrame([(float(v),) for v in data], "v double").repartition(3).persist()
+    places = list(range(90, 6000, 95))
+    spark.sparkContext.setJobGroup("brackets", "brackets")
+    found = ordered_keys(frame, ["v"], places, task_rows=600, accuracy=300)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("brackets")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    ordered = np.sort(data)
+    assert {p: v for p, (v,) in found.items()} == {p: ordered[p] for p in places}
+    assert len(jobs) < 20  # a job or two for each of the 63 places before
