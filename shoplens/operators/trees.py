@@ -1,8 +1,8 @@
 """Histogram trees that come out the same from any layout of the rows.
 
 Features are cut into at most ``BINS`` bins at exact quantiles of the training rows. A tree grows a level at
-a time: executors add up whole numbers per (node, feature, bin), the driver sees only these histograms and
-chooses the splits. Whole numbers add exactly in any order, and what a row draws comes from a hash of its key,
+a time: executors add up whole numbers per (node, feature, bin). For a boosted tree the driver sees the sums and
+chooses the splits; a forest's splits are chosen where a tree's sums meet, and only they come to the driver. Whole numbers add exactly in any order, and what a row draws comes from a hash of its key,
 so partitions, files and lost tasks leave no trace in a model.
 
 ``boost`` is second-order boosting of the logistic loss: gradients and curvatures in units of 1 / ``UNIT``, gain
@@ -11,7 +11,9 @@ at a random few of the features in each node.
 
 Rows travel once: they are stored as blocks of numpy columns and cached, and each level is one small pass
 over the blocks (hundreds of passes for a boosted model, which is why they are an RDD: planning a query
-for each would take longer than the pass). A block holds at most ``BLOCK`` rows.
+for each would take longer than the pass). A task has about ``BLOCK`` rows. Margins, gradients and curvatures
+of boosting are worked out once a round and cached; below the root only the left children are added up, and the
+right ones are what is left of their parents, exact in whole numbers.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from shoplens.sources.stages import store
 
 BINS, BLOCK = 64, 1 << 16
 UNIT = 1 << 24
-RESULT = 64 << 20  # bytes of histograms that one pass may return
-RENEW = 10  # rounds after which the blocks' margins are brought up to date
+RESULT = 16 << 20  # bytes of histograms that a task of one pass may hold
+RENEW = 20  # rounds after which margins are worked out from the stored blocks again
 MASK = 0xFFFFFFFF
 #: Poisson(1) by inversion: how many of these limits a 32-bit draw reaches.
 LIMITS = np.rint(
@@ -65,10 +67,13 @@ def binned(values: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
 
 @dataclass
 class Block:
+    """Rows by column. ``steps``: gradients and curvatures of the boosting round."""
+
     keys: np.ndarray
     labels: np.ndarray
     bins: np.ndarray
-    margins: np.ndarray
+    margins: np.ndarray | None = None
+    steps: list[np.ndarray] = field(default_factory=list)
 
 
 def blocks_of(
@@ -91,16 +96,18 @@ def blocks_of(
         F.col(key).cast("bigint").alias("key"), F.col(label).cast("int").alias("label"),
         *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)),
     )
-    chosen = chosen.coalesce(max(train.count() // BLOCK, 1))
+    chosen = chosen.repartition(max(math.ceil(train.count() / BLOCK), 1))
     rows = store(chosen.mapInArrow(run, "keys binary, labels binary, bins binary"), "tree-blocks")
     width = len(features)
 
-    def unpack(row) -> Block:
-        keys = np.frombuffer(row.keys, dtype="<i8")
-        bins = np.frombuffer(row.bins, dtype=np.uint8).reshape(-1, width)
-        return Block(keys, np.frombuffer(row.labels, dtype="i1"), bins, np.zeros(len(keys)))
+    def unpack(some: Iterable) -> Iterator[Block]:
+        found = [(row.keys, row.labels, row.bins) for row in some]
+        if found:
+            keys, labels, bins = (b"".join(parts) for parts in zip(*found))
+            matrix = np.frombuffer(bins, dtype=np.uint8).reshape(-1, width)
+            yield Block(np.frombuffer(keys, dtype="<i8"), np.frombuffer(labels, dtype="i1"), np.asfortranarray(matrix))
 
-    return rows.rdd.map(unpack)
+    return rows.rdd.mapPartitions(unpack)
 
 
 # ---- trees -----------------------------------------------------------------------------------------
@@ -123,15 +130,17 @@ class Tree:
 
     def nodes(self, bins: np.ndarray) -> np.ndarray:
         """The last node that each row reaches so far."""
+        # A leaf sends its rows to itself; a cut above all bins sends none to the right.
+        inner = self.feature >= 0
+        left = np.where(inner, 2 * np.arange(len(inner)), np.arange(len(inner)))
+        cut = np.where(inner, self.cut, 255).astype(np.uint8)
+        offset = np.maximum(self.feature, 0) * len(bins)
+        flat, rows = bins.ravel(order="F"), np.arange(len(bins))
         node = np.ones(len(bins), dtype=np.int64)
-        rows = np.arange(len(bins))
-        for _ in range(self.depth):
-            feature = self.feature[node]
-            inner = feature >= 0
-            if not inner.any():
+        for level in range(self.depth):
+            if not inner[1 << level : 2 << level].any():
                 break
-            right = bins[rows, np.maximum(feature, 0)] > self.cut[node]
-            node = np.where(inner, 2 * node + right, node)
+            node = left[node] + (flat[offset[node] + rows] > cut[node])
         return node
 
 
@@ -235,39 +244,43 @@ def boost(
 ) -> Ensemble:
     """A boosted ensemble; ``positive`` weighs the rows of class 1. ``train`` should be a stored table."""
     cuts = quantile_cuts(train, features)
-    base = blocks_of(train, key, label, features, cuts)
-    current = base.persist(StorageLevel.MEMORY_AND_DISK)
+    base = blocks_of(train, key, label, features, cuts).map(lambda b: Block(b.keys[:0], b.labels, b.bins))
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
     model = Ensemble(list(features), cuts, [], True, np.zeros(len(features)), np.zeros(len(features)))
 
-    def advanced(block: Block, trees: list[Tree]) -> np.ndarray:
-        margins = block.margins
+    def advanced(block: Block, trees: list[Tree]) -> Block:
+        margins = np.zeros(len(block.labels)) if block.margins is None else block.margins
         for tree in trees:
             margins = margins + tree.value[tree.nodes(block.bins)]
-        return margins
-
-    recent: list[Tree] = []
-    for _ in range(rounds):
-        if len(recent) == RENEW:
-            # From the stored blocks with all trees, so that a lost block costs one pass, not a chain of them.
-            trees, older = list(model.trees), current
-            current = base.map(lambda b: Block(b.keys, b.labels, b.bins, advanced(b, trees)))
-            current = current.persist(StorageLevel.MEMORY_AND_DISK)
-            if older is not base:
-                older.unpersist()
-            recent = []
+        return Block(block.keys, block.labels, block.bins, margins, steps_of(block, margins, positive))
+
+    current = base
+    for number in range(rounds):
+        # From the stored blocks with all trees now and then, so that a lost block does not cost a long chain.
+        older = current
+        source, trees = (base, list(model.trees)) if number % RENEW == 0 else (older, model.trees[-1:])
+        current = source.map(lambda b, trees=trees: advanced(b, trees)).persist(StorageLevel.MEMORY_AND_DISK)
         tree = Tree(depth)
+        above = np.empty(0)
         for level in range(depth):
             first = 1 << level
 
-            def count(block: Block, tree=tree, recent=recent, first=first) -> np.ndarray:
+            def count(block: Block, tree=tree, first=first) -> np.ndarray:
                 node = tree.nodes(block.bins)
-                open_rows = node >= first
-                weights = steps_of(block, advanced(block, recent), positive)
+                # The root, then left children: even numbers.
+                chosen = np.flatnonzero((node >= first) & ((node & 1 == 0) | (first == 1)))
                 return histogram(
-                    node[open_rows] - first, block.bins[open_rows], [w[open_rows] for w in weights], first
-                )
+                    (node[chosen] - first) >> 1, block.bins[chosen], [w[chosen] for w in block.steps],
+                    max(first >> 1, 1),
+                )
 
             sums = summed(current, count)
+            if level:
+                # Children of a leaf have no rows.
+                split = tree.feature[first >> 1 : first] >= 0
+                right = np.where(split[:, None, None, None], above - sums, 0)
+                sums = np.stack([sums, right], axis=1).reshape(first, *sums.shape[1:])
+            above = sums
             for node, split in enumerate(boost_level(sums, penalty, least), first):
                 whole = sums[node - first, 0].sum(axis=0).astype(float) / UNIT
                 tree.value[node] = -step * whole[0] / (whole[1] + penalty)
@@ -280,10 +293,11 @@ def boost(
                 left = sums[node - first, f, : cut + 1].sum(axis=0).astype(float) / UNIT
                 for child, (g, h) in ((2 * node, left), (2 * node + 1, whole - left)):
                     tree.value[child] = -step * g / (h + penalty)
+            if level == 0 and older is not base:
+                older.unpersist()
             if not (tree.feature[first : 2 * first] >= 0).any():
                 break
         model.trees.append(tree)
-        recent = [*recent, tree]
     current.unpersist()
     base.unpersist()
     return model
@@ -381,31 +395,42 @@ def grow_forest(
             together = max(int(np.searchsorted(sizes, RESULT, "right")), 1)
             some, todo = todo[:together], todo[together:]
 
-            def count(block: Block, some=some, first=first) -> np.ndarray:
-                out = []
+            def count(held: Iterable[Block], some=some, first=first) -> Iterator[tuple[int, np.ndarray]]:
+                held = list(held)
                 for number, tree, nodes in some:
-                    node, times = tree.nodes(block.bins), copies(block.keys, number, seed)
-                    mine = (node >= first) & (times > 0)
-                    place = np.searchsorted(nodes, node[mine])
-                    classes = [np.where(block.labels[mine] == c, times[mine], 0) for c in (0, 1)]
-                    out.append(histogram(place, block.bins[mine], classes, len(nodes)))
-                return np.concatenate(out)
-
-            sums, at = summed(blocks, count), 0
-            for number, tree, nodes in some:
-                own = sums[at : at + len(nodes)]
-                at += len(nodes)
+                    for block in held:
+                        node, times = tree.nodes(block.bins), copies(block.keys, number, seed)
+                        mine = np.flatnonzero((node >= first) & (times > 0))
+                        place, bins, weight = np.searchsorted(nodes, node[mine]), block.bins[mine], times[mine]
+                        one = np.where(block.labels[mine] == 1, weight, 0)
+                        zero = np.where(block.labels[mine] == 0, weight, 0)
+                        sums = histogram(place, bins, [zero, one], len(nodes))
+                        yield number, sums.astype(np.min_scalar_type(-1 - int(sums.max(initial=0))))
+
+            def decide(found: tuple[int, np.ndarray], some=some) -> tuple[int, list]:
+                """For each node its rows by class, and its split with the rows by class left of it."""
+                number, sums = found
+                nodes = next(nodes for n, _, nodes in some if n == number)
                 order = feature_order(number, nodes, width, seed)
-                for node, counts, split in zip(nodes.tolist(), own, forest_level(own, order, weights, looked_at)):
-                    whole = counts[0].sum(axis=0)
+                splits = forest_level(sums, order, weights, looked_at)
+                return number, [
+                    (counts[0].sum(axis=0), s and (*s, counts[s[1], : s[2] + 1].sum(axis=0)))
+                    for counts, s in zip(sums, splits)
+                ]
+
+            met = blocks.mapPartitions(count).combineByKey(
+                lambda sums: sums.astype(np.int64), np.add, np.add, numPartitions=min(len(some), blocks.getNumPartitions())
+            )
+            chosen = dict(met.map(decide).collect())  # a split per node, whatever the rows
+            for number, tree, nodes in some:
+                for node, (whole, split) in zip(nodes.tolist(), chosen[number]):
                     tree.value[node] = leaf_share(whole, share)
                     if split is None:
                         continue
-                    gain, f, cut = split
+                    gain, f, cut, left = split
                     tree.feature[node], tree.cut[node] = f, cut
                     model.gains[f] += gain
                     model.splits[f] += 1
-                    left = counts[f, : cut + 1].sum(axis=0)
                     tree.value[2 * node] = leaf_share(left, share)
                     tree.value[2 * node + 1] = leaf_share(whole - left, share)
     blocks.unpersist()

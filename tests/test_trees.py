@@ -125,3 +125,19 @@ def test_empty_and_null_values_score(table, spark):
     model = boosted(table)
     assert model.score(table.limit(0), "p").count() == 0
     assert model.score(table.withColumn("z", F.lit(None).cast("string")), "p").filter("p between 0 and 1").count() == 900
+
+
+def test_histograms_of_a_forest_stay_on_the_executors(table, monkeypatch):
+    def summed(*args):
+        raise AssertionError("histograms came to the driver")
+
+    monkeypatch.setattr(trees, "summed", summed)
+    monkeypatch.setattr(trees, "BLOCK", 200)
+    assert all(t.feature[1] >= 0 for t in grown(table).trees)
+
+
+def test_a_boosting_task_has_a_block_of_rows_even_if_they_come_in_one_partition(table, monkeypatch):
+    monkeypatch.setattr(trees, "BLOCK", 400)
+    cuts = trees.quantile_cuts(table, FEATURES)
+    blocks = trees.blocks_of(table.coalesce(1), "id", "y", FEATURES, cuts)
+    assert blocks.map(lambda b: len(b.keys)).collect() == [300] * 3
