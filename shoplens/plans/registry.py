@@ -118,15 +118,20 @@ def known(frame: DataFrame) -> DataFrame:
     return frame.filter(F.col("CustomerID") % 29 != 0)
 
 
-def business_frame(spark: SparkSession, folder: str) -> DataFrame:
-    live = live_of(spark, folder)
+def business_frame(
+    spark: SparkSession, folder: str, live: DataFrame | None = None
+) -> DataFrame:
+    """``live``: the scored live features, where a query has them already."""
+    live = live_of(spark, folder) if live is None else live
     return decisions.business_table(
         live, known(clustered_of(live)), known(tiers_of(live)), "merge"
     )
 
 
-def business_of(spark: SparkSession, folder: str) -> DataFrame:
-    return store(business_frame(spark, folder), "business")
+def business_of(
+    spark: SparkSession, folder: str, live: DataFrame | None = None
+) -> DataFrame:
+    return store(business_frame(spark, folder, live), "business")
 
 
 def valued_of(spark: SparkSession, folder: str) -> DataFrame:
@@ -1209,15 +1214,17 @@ def chart_risk_bar(spark, folder):
 @query
 def dashboard_contents(spark, folder):
     """Every cell of the dashboard tables, with the place of the rows that have an order."""
-    clustered = clustered_of(live_of(spark, folder))
-    shown = reports.dashboard_tables(business_of(spark, folder), clustered)
+    live = live_of(spark, folder)
+    clustered = clustered_of(live)
+    shown = reports.dashboard_tables(business_of(spark, folder, live), clustered)
     return plain(reports.contents(shown), Number=2)
 
 
 @query
 def dashboard_tables(spark, folder):
-    clustered = clustered_of(live_of(spark, folder))
-    business = business_of(spark, folder)
+    live = live_of(spark, folder)
+    clustered = clustered_of(live)
+    business = business_of(spark, folder, live)
     shown = {}
     for name, table in reports.dashboard_tables(business, clustered).items():
         path = stage_path(spark, f"dashboard-{name}")

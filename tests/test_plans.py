@@ -65,3 +65,12 @@ def test_scoring_is_a_projection(clean):
 def test_recommendation_needs_no_join(spark):
     frame = spark.createDataFrame([("High Value", "High Risk")], ["CLV_Tier", "ChurnRiskTier"])
     assert "Join" not in plan_of(decisions.recommend(frame))
+
+
+def test_dashboards_derive_the_live_features_once(spark, folder, monkeypatch):
+    from shoplens.plans import registry
+
+    calls, live_of = [], registry.live_of
+    monkeypatch.setattr(registry, "live_of", lambda *args: calls.append(args) or live_of(*args))
+    assert registry.dashboard_tables(spark, folder).count() == 6
+    assert len(calls) == 1
