@@ -10,6 +10,7 @@ from shoplens.functions.order_stats import ordered_keys
 from shoplens.sources.stages import store
 
 HOLDOUT_DAYS = 90
+TASK_LINES = 200_000  # lines folded by one task
 
 # The feature columns, in model order.
 FEATURES = (
@@ -64,22 +65,59 @@ def days_between_purchases(tenure: Column, frequency: Column) -> Column:
 
 
 def customer_features(window: DataFrame, cutoff: Column) -> DataFrame:
-    """The eight features of every customer in ``window``, as of ``cutoff``.
-
-    Two distinct counts beside plain aggregates: each is pre-aggregated per (customer, value)
-    before the shuffle, so a hot customer is spread over its invoices and products.
-    """
+    """The eight features of every customer in ``window``, as of ``cutoff``."""
     return _with_ratios(_purchase_history(window), cutoff)
 
 
-def _purchase_history(window: DataFrame) -> DataFrame:
-    return window.groupBy("CustomerID").agg(
-        F.max("InvoiceDate").alias("LastPurchase"),
-        F.min("InvoiceDate").alias("FirstPurchase"),
-        F.countDistinct("InvoiceNo").alias("Frequency"),
-        F.sum("TotalPrice").alias("Monetary"),
-        F.countDistinct("StockCode").alias("UniqueProducts"),
-        F.avg("Quantity").alias("AvgQuantity"),
+def _purchase_history(
+    lines: DataFrame, seen: Column | None = None, parts: int | None = None
+) -> DataFrame:
+    """One row per customer, over the lines that are ``seen``; ``Latest`` looks at all of them.
+
+    Lines are shuffled by invoice and by product, to ``parts`` partitions each or as many as the session
+    shuffles to, before they fold. So a task holds the groups of one partition, whatever the size of its
+    input files, and a hot customer is spread over its invoices and products. Only invoices and products
+    meet as customers.
+    """
+    parts = parts or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def when_seen(column: str) -> Column:
+        return F.col(column) if seen is None else F.when(seen, F.col(column))
+
+    spent = lines.select(F.sum("TotalPrice").alias("Monetary")).schema["Monetary"].dataType
+    known = F.count(when_seen("InvoiceNo")) > 0
+    bought = lines.select("CustomerID", "InvoiceNo", "InvoiceDate", "TotalPrice", "Quantity")
+    invoices = (
+        bought.repartition(parts, "CustomerID", "InvoiceNo")
+        .groupBy("CustomerID", "InvoiceNo")
+        .agg(
+            F.max(when_seen("InvoiceDate")).alias("LastPurchase"),
+            F.min(when_seen("InvoiceDate")).alias("FirstPurchase"),
+            known.cast("int").alias("Frequency"),
+            F.sum(when_seen("TotalPrice")).alias("Monetary"),
+            F.sum(when_seen("Quantity")).alias("Items"),
+            F.count(when_seen("Quantity")).alias("Lines"),
+            F.max("InvoiceDate").alias("Latest"),
+            F.lit(0).alias("UniqueProducts"),
+        )
+    )
+    codes = lines.select("CustomerID", when_seen("StockCode").alias("StockCode")).filter("StockCode IS NOT NULL")
+    products = (
+        codes.repartition(parts, "CustomerID", "StockCode").distinct()
+        .select("CustomerID", F.lit(1).alias("UniqueProducts"))
+    )
+    return (
+        invoices.unionByName(products, allowMissingColumns=True)
+        .groupBy("CustomerID")
+        .agg(
+            F.max("LastPurchase").alias("LastPurchase"),
+            F.min("FirstPurchase").alias("FirstPurchase"),
+            F.sum("Frequency").alias("Frequency"),
+            F.sum("Monetary").cast(spent).alias("Monetary"),
+            F.sum("UniqueProducts").alias("UniqueProducts"),
+            (F.sum("Items").cast("double") / F.nullif(F.sum("Lines"), F.lit(0))).alias("AvgQuantity"),
+            F.max("Latest").alias("Latest"),
+        )
     )
 
 
@@ -94,28 +132,15 @@ def live_features(clean: DataFrame) -> DataFrame:
 
 
 def churn_dataset(clean: DataFrame, cutoff: Column | None = None) -> DataFrame:
-    """Features from the observation window, label from the holdout, in one aggregation.
+    """Features from the observation window, label from the holdout, by the same foldings.
 
     A customer churned when the latest purchase overall is not after the cutoff, so the label
-    needs no join with the holdout customers. ``clean`` is read twice (cutoff, then features).
+    needs no join with the holdout customers. ``clean`` is read several times; pass a stored table.
     """
     cutoff = churn_cutoff(clean) if cutoff is None else cutoff
-    seen = F.col("InvoiceDate") <= cutoff
-
-    def when_seen(column: str) -> Column:
-        return F.when(seen, F.col(column))
-
+    parts = math.ceil(max(clean.count(), 1) / TASK_LINES)
     grouped = (
-        clean.groupBy("CustomerID")
-        .agg(
-            F.max(when_seen("InvoiceDate")).alias("LastPurchase"),
-            F.min(when_seen("InvoiceDate")).alias("FirstPurchase"),
-            F.countDistinct(when_seen("InvoiceNo")).alias("Frequency"),
-            F.sum(when_seen("TotalPrice")).alias("Monetary"),
-            F.countDistinct(when_seen("StockCode")).alias("UniqueProducts"),
-            F.avg(when_seen("Quantity")).alias("AvgQuantity"),
-            F.max("InvoiceDate").alias("Latest"),
-        )
+        _purchase_history(clean, F.col("InvoiceDate") <= cutoff, parts)
         .filter(F.col("LastPurchase").isNotNull())
         .withColumn("Churned", (F.col("Latest") <= cutoff).cast("int"))
     )

@@ -177,3 +177,24 @@ def test_comparison_lists_models_in_order(labelled):
     }
     table = cm.model_comparison(scored, "Churned", "ChurnProbability").orderBy("Position")
     assert [r.Model for r in table.collect()] == ["first", "second"]
+
+
+def test_histories_fold_lines_without_copies_of_them(spark):
+    """No line is expanded per distinct count; missing invoices and products count for nothing."""
+    day, late = datetime(2020, 1, 1), datetime(2021, 1, 1)
+    rows = [
+        (1, "a", "x", 2, day, Decimal("1.5")), (1, "a", "x", 4, day, Decimal("2.5")),
+        (1, None, "y", None, day, None), (1, "b", None, 3, late, Decimal("9")),
+        (None, "c", "x", 5, day, Decimal("4")),
+    ]
+    lines = spark.createDataFrame(
+        rows, "CustomerID long, InvoiceNo string, StockCode string, Quantity int, InvoiceDate timestamp_ntz,"
+        " TotalPrice decimal(20,4)"
+    )
+    found = cf.churn_dataset(lines)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.CustomerID: r for r in found.collect()}
+    one = got[1]
+    assert (one.Frequency, one.UniqueProducts, one.AvgQuantity, one.Churned) == (1, 2, 3.0, 0)
+    assert one.Monetary == 4 and found.schema["Monetary"].dataType.precision == 30
+    assert (got[None].Frequency, got[None].Monetary, got[None].Churned) == (1, 4, 1)
