@@ -74,12 +74,13 @@ def _purchase_history(
 ) -> DataFrame:
     """One row per customer, over the lines that are ``seen``; ``Latest`` looks at all of them.
 
-    Lines are shuffled by invoice and by product, to ``parts`` partitions each or as many as the session
-    shuffles to, before they fold. So a task holds the groups of one partition, whatever the size of its
-    input files, and a hot customer is spread over its invoices and products. Only invoices and products
-    meet as customers.
+    Lines fold to one row per invoice and one per product; only these meet as customers, so a hot customer
+    is spread over its invoices and products. With ``parts`` lines are first shuffled to that many
+    partitions, so that a task holds the groups of one of them, whatever the size of its input files.
     """
-    parts = parts or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def spread(frame: DataFrame, *keys: str) -> DataFrame:
+        return frame.repartition(parts, *keys) if parts else frame
 
     def when_seen(column: str) -> Column:
         return F.col(column) if seen is None else F.when(seen, F.col(column))
@@ -88,7 +89,7 @@ def _purchase_history(
     known = F.count(when_seen("InvoiceNo")) > 0
     bought = lines.select("CustomerID", "InvoiceNo", "InvoiceDate", "TotalPrice", "Quantity")
     invoices = (
-        bought.repartition(parts, "CustomerID", "InvoiceNo")
+        spread(bought, "CustomerID", "InvoiceNo")
         .groupBy("CustomerID", "InvoiceNo")
         .agg(
             F.max(when_seen("InvoiceDate")).alias("LastPurchase"),
@@ -103,7 +104,7 @@ def _purchase_history(
     )
     codes = lines.select("CustomerID", when_seen("StockCode").alias("StockCode")).filter("StockCode IS NOT NULL")
     products = (
-        codes.repartition(parts, "CustomerID", "StockCode").distinct()
+        spread(codes, "CustomerID", "StockCode").distinct()
         .select("CustomerID", F.lit(1).alias("UniqueProducts"))
     )
     return (
