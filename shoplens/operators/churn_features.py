@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.expressions import days, whole_days
 from shoplens.functions.order_stats import ordered_keys
-from shoplens.sources.stages import store
+from shoplens.sources.stages import TASK_LINES, store
 
 HOLDOUT_DAYS = 90
-TASK_LINES = 200_000  # lines folded by one task
 
 # The feature columns, in model order.
 FEATURES = (

@@ -71,9 +71,11 @@ def drop_nonpositive(frame: DataFrame) -> DataFrame:
     return frame.filter(_rules()[3])
 
 
-def dedup_rows(frame: DataFrame) -> DataFrame:
-    """Full-row dedup; nulls compare equal. Copies collapse before the shuffle."""
-    return frame.dropDuplicates()
+def dedup_rows(frame: DataFrame, parts: int | None = None) -> DataFrame:
+    """Full-row dedup; nulls compare equal. Copies collapse before the shuffle; with ``parts`` rows are first
+    shuffled to that many partitions, so that a task holds the rows of one of them, whatever it reads."""
+    dealt = frame.repartition(parts, *frame.columns) if parts else frame
+    return dealt.dropDuplicates()
 
 
 def _typed(field: StructField, date_format: str | None) -> Column:
@@ -114,12 +116,12 @@ def add_total_price(frame: DataFrame) -> DataFrame:
     return frame.withColumn("TotalPrice", total_price(F.col("Quantity"), F.col("UnitPrice")))
 
 
-def clean_transactions(raw: DataFrame) -> DataFrame:
-    """All cleaning rules: four filters in one scan, one dedup shuffle, then the line total."""
+def clean_transactions(raw: DataFrame, parts: int | None = None) -> DataFrame:
+    """All cleaning rules: four filters in one scan, one dedup shuffle (to ``parts``), then the line total."""
     kept = raw
     for step in (drop_missing_customer, drop_cancellations, drop_non_product, drop_nonpositive):
         kept = kept.transform(step)
-    return kept.transform(dedup_rows).transform(add_total_price)
+    return kept.transform(dedup_rows, parts).transform(add_total_price)
 
 
 def cleaning_funnel(raw: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from shoplens.operators import (
     reports,
     rfm,
 )
-from shoplens.sources.stages import Run, input_key, scratch, store
+from shoplens.sources.stages import Run, input_key, parts_for, scratch, store
 from shoplens.sources.tables import write_csv
 
 HOME_COUNTRY = "United Kingdom"
@@ -196,7 +196,7 @@ def run(
         return step(name, lambda: {name: make()})[name]
 
     with scratch(spark, key):
-        clean = one("cleaned", lambda: cleaning.clean_transactions(raw))
+        clean = one("cleaned", lambda: cleaning.clean_transactions(raw, parts_for(raw)))
         step("cleaning-reports", lambda: cleaning_reports(raw, clean))
         step("exploration", lambda: exploration_reports(clean, home_country))
         segments = one("rfm_table", lambda: rfm.rfm_segments(rfm.rfm_table(clean), on_ties))

@@ -21,7 +21,7 @@ from shoplens.operators import rfm
 from shoplens.plans import batch
 from shoplens.sources import schemas, tables
 from shoplens.sources.retail_view import retail_raw
-from shoplens.sources.stages import stage_path, store
+from shoplens.sources.stages import parts_for, stage_path, store
 
 HOME_COUNTRY = "NATION_0"
 
@@ -65,8 +65,13 @@ def as_text(frame: DataFrame, *columns: str) -> DataFrame:
 # ---- shared inputs ---------------------------------------------------------------------------
 
 
+def line_parts(spark: SparkSession, folder: str) -> int | None:
+    """Partitions for the lines, whose number the files tell."""
+    return parts_for(spark.read.parquet(f"{folder}/lineitem.parquet"))
+
+
 def clean_of(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_transactions(retail_raw(spark, folder))
+    return cleaning.clean_transactions(retail_raw(spark, folder), line_parts(spark, folder))
 
 
 def stored_clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,7 +213,7 @@ def drop_nonpositive(spark, folder):
 
 @query
 def dedup_rows(spark, folder):
-    return as_text(plain(cleaning.dedup_rows(retail_raw(spark, folder))), "CustomerID")
+    return as_text(plain(cleaning.dedup_rows(retail_raw(spark, folder), line_parts(spark, folder))), "CustomerID")
 
 
 @query

@@ -7,6 +7,8 @@ cleaning rule then has rows to remove.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.sources.stages import parts_for
+
 #: Buyers from here on are single orders; customer keys are smaller.
 ONE_TIME_BUYERS = 1_000_000_000_000
 
@@ -30,16 +32,23 @@ def retail_raw(spark: SparkSession, folder: str) -> DataFrame:
         .select("c_custkey", "n_name")
     )
     kept = kept.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    # Lines meet their orders in as many partitions as there are lines for; their number comes from the files.
+    lineitem = table("lineitem")
+    parts = parts_for(lineitem)
+
+    def dealt(frame: DataFrame, key: str) -> DataFrame:
+        return frame.repartition(parts, key) if parts else frame
+
     lines = (
-        table("lineitem")
-        .select(
+        lineitem.select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
         )
         .join(
             table("part").select("p_partkey", "p_name", "p_retailprice"),
             F.col("l_partkey") == F.col("p_partkey"),
         )
-        .join(kept, F.col("l_orderkey") == F.col("o_orderkey"))
+        .transform(dealt, "l_orderkey")
+        .join(dealt(kept, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     )
 
     order, part, line = F.col("o_orderkey"), F.col("l_partkey"), F.col("l_linenumber")

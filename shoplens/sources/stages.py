@@ -12,6 +12,7 @@ after its last whole step.
 
 import hashlib
 import json
+import math
 import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -20,6 +21,17 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+TASK_LINES = 200_000  # lines held by one task
+
+
+def parts_for(lines: DataFrame) -> int | None:
+    """Into how many partitions lines go so that a task holds about ``TASK_LINES`` of them, at least as many as
+    the session shuffles to; None if one task holds them all. Counts the lines."""
+    rows = lines.count()
+    if rows <= TASK_LINES:
+        return None
+    return max(math.ceil(rows / TASK_LINES), int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only for a local session that has none."""

@@ -74,3 +74,21 @@ def test_dashboards_derive_the_live_features_once(spark, folder, monkeypatch):
     monkeypatch.setattr(registry, "live_of", lambda *args: calls.append(args) or live_of(*args))
     assert registry.dashboard_tables(spark, folder).count() == 6
     assert len(calls) == 1
+
+
+def test_no_task_holds_more_lines_when_there_are_more(spark, folder, monkeypatch):
+    from shoplens.plans import registry
+    from shoplens.sources import stages
+
+    whole = registry.clean_of(spark, folder)
+    expected, rows = sorted(map(str, whole.collect())), 100
+    monkeypatch.setattr(stages, "TASK_LINES", rows)
+    frame = registry.clean_of(spark, folder)
+    assert sorted(map(str, frame.collect())) == expected
+    sizes = [r["count"] for r in frame.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert max(sizes) < 2 * rows
+    # The join with the orders and the dedup: all lines meet in as many partitions as there are lines for.
+    parts = stages.parts_for(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    assert parts > len(expected) // rows
+    plan = plan_of(frame).split("== Initial Plan ==")[0]
+    assert plan.count(f", {parts}), REPARTITION_BY_NUM") == 3
