@@ -472,34 +472,43 @@ def linked_in_nodes(members: DataFrame, full: DataFrame, percent: int) -> DataFr
 # ---- components --------------------------------------------------------------------------------
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """(id, label): where each id's chain of parents ends; ``parents``: (id, label) with every label as an id. Chains
+    shorten by half in a round."""
+    while True:
+        further = parents.select(F.col("id").alias("label"), F.col("label").alias("further"))
+        stepped = parents.join(further, "label").select("id", F.col("label").alias("old"), F.col("further").alias("label"))
+        stepped = store(stepped, "parents")
+        parents = stepped.select("id", "label")
+        if stepped.filter("label <> old").isEmpty():
+            return parents
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): the smallest id that each id of an edge reaches.
 
-    Every round takes the least label among neighbours and then the label of that label, so chains
-    shorten by half; labels are written to the shared folder between rounds.
+    Every round an id takes its least neighbour, if that is smaller, as its parent, and its chain of parents ends in
+    an id that stands for it. The next round has only the edges between such ids, which are half as many at most; so
+    the rows of all rounds grow with the edges. Tables are written to the shared folder between rounds.
     """
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = store(both, "edges")
-    labels = both.groupBy("a").agg(F.min("b").alias("b")).select(
-        F.col("a").alias("id"), F.least("a", "b").alias("label")
-    )
-    labels = store(labels, "labels")
+    edges, labels = store(edges, "edges"), None
     while True:
-        near = (
-            both.join(labels.select(F.col("id").alias("b"), F.col("label").alias("near")), "b")
-            .groupBy("a").agg(F.min("near").alias("near"))
-        )
-        lower = labels.join(near, F.col("id") == F.col("a")).select(
-            "id", F.col("label").alias("old"), F.least("label", "near").alias("label")
-        )
-        further = labels.select(F.col("id").alias("label"), F.col("label").alias("further"))
-        stepped = lower.join(further, "label", "left").select(
-            "id", "old", F.least("label", F.coalesce("further", "label")).alias("label")
-        )
-        stepped = store(stepped, "labels")
-        if stepped.filter("label <> old").isEmpty():
-            return stepped.select("id", "label")
-        labels = stepped.select("id", "label")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("label"))
+        parents = roots(store(least.withColumnRenamed("a", "id"), "parents"))
+        if labels is None:
+            labels = parents
+        else:
+            further = parents.select(F.col("id").alias("label"), F.col("label").alias("further"))
+            labels = labels.join(further, "label", "left").select("id", F.coalesce("further", "label").alias("label"))
+            labels = store(labels, "labels")
+        one = parents.select(F.col("id").alias("a"), F.col("label").alias("one"))
+        two = parents.select(F.col("id").alias("b"), F.col("label").alias("two"))
+        between = edges.join(one, "a").join(two, "b").filter("one <> two")
+        ends = F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")
+        edges = store(between.select(*ends).distinct(), "edges")
+        if edges.isEmpty():
+            return labels
 
 
 def near_duplicates(

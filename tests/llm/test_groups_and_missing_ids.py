@@ -188,3 +188,36 @@ def test_token_files_of_rows_without_an_id(missing):
     for r in found:
         assert r.start == start
         start += r.n_tokens
+
+
+def test_components_look_at_few_edges_twice(spark, monkeypatch):
+    draw = random.Random(9)
+    names = draw.sample(range(10**6), 1500)
+    chain, star = names[:500], names[500:1000]
+    edges = list(zip(chain, chain[1:])) + [(star[0], x) for x in star[1:]] + [(7 * 10**6, 7 * 10**6)]
+    edges += [(draw.choice(names[1000:]), draw.choice(names[1000:])) for _ in range(200)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    plain, met = type(frame).join, []
+
+    def join(self, other, on=None, how=None):
+        if isinstance(on, str) and on == "b":
+            met.append(self)
+        return plain(self, other, on, how)
+
+    monkeypatch.setattr(type(frame), "join", join)
+    found = {r.id: r.label for r in near_dedup.components(frame).collect()}
+    monkeypatch.undo()
+    root = {x: x for edge in edges for x in edge}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert found == {x: find(x) for x in root}
+    assert sum(frame.count() for frame in met) <= 2 * len(edges)
+    none = near_dedup.components(frame.filter("a < 0"))
+    assert none.columns == ["id", "label"] and none.isEmpty()
