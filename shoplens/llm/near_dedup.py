@@ -15,7 +15,8 @@ where they are few, and node by node, skipping what is joined meanwhile, where t
 of all pairs of a group is made, and no candidate between components goes untested.
 
 A set that no token separates from more than ``NODE`` others in ``DEPTH`` levels agrees with them in
-nearly all tokens. Such a node is first cut into parts that share some sets as bridges, among them the
+nearly all tokens. So do most sets of a larger node that has kept a share of ``DENSE`` of the node above: it branches no
+further, since every level would hold the same family in half as many nodes again. Such a node is first cut into parts that share some sets as bridges, among them the
 one nearest to the node's commonest tokens, which joins a family of copies of one text. What that leaves is
 met through rare shingles: of the sets of such nodes each lists its rarest shingles, just so many that two
 sets alike enough must share a listed one, and only sets that share one are compared. Texts of one template
@@ -44,6 +45,7 @@ from shoplens.llm.words import mix, slices, split_words, window_hashes, word_has
 from shoplens.sources.stages import store
 
 TOKENS, TREES, NODE, DEPTH, BRIDGES = 64, 10, 1024, 6, 16
+DENSE = 0.75  # of such a node a quarter would be left after the other levels
 GROWTH = 1.3  # children that a pair at the threshold is expected to share
 BLOCK = 1 << 15  # shingles hashed at a time
 FILTER = 1 << 22  # bits of the filter over wanted documents
@@ -112,7 +114,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def children(active: DataFrame, threshold: float) -> DataFrame:
-    """(node, id) one level down from rows (node, id, tokens)."""
+    """(node, id, above) one level down from rows (node, id, tokens, n); ``above``: the n of the node above."""
 
     def draw(salt: int, limit: int) -> Column:
         return F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(limit)).cast("int")
@@ -120,8 +122,8 @@ def children(active: DataFrame, threshold: float) -> DataFrame:
     more = draw(2, 1_000_000) < int((GROWTH / threshold - 1) * 1_000_000)
     one, two = draw(1, TOKENS), draw(3, TOKENS)
     places = F.when(more & (one != two), F.array(one, two)).otherwise(F.array(one))
-    return active.select("node", "id", "tokens", F.explode(places).alias("place")).select(
-        F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"), "id"
+    return active.select("node", "id", "tokens", "n", F.explode(places).alias("place")).select(
+        F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"), "id", F.col("n").alias("above")
     )
 
 
@@ -131,19 +133,25 @@ def small_nodes(
     """(node, id) of all nodes with 2 to NODE sets and of the parts of nodes that stay larger, and
     (node, id, n) of the larger ones, if any; ``sets``: (id, tokens)."""
     roots = F.explode(F.sequence(F.lit(1), F.lit(trees))).alias("tree")
-    active = sets.select("id", "tokens", roots).withColumn("node", F.xxhash64("tree"))
-    leaves = None
+    active = sets.select("id", "tokens", F.lit(sets.count()).alias("n"), roots).withColumn("node", F.xxhash64("tree"))
+    leaves = large = None
     for depth in range(1, DEPTH + 1):
         rows = store(children(active, threshold), f"children-{depth}")
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        found = store(rows.join(sizes, "node"), f"nodes-{depth}")
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("above").alias("above"))
+        found = store(rows.drop("above").join(sizes.filter("n > 1"), "node"), f"nodes-{depth}")
         small = found.filter(F.col("n") <= NODE).select("node", "id")
         leaves = small if leaves is None else leaves.unionByName(small)
-        large = found.filter(F.col("n") > NODE)
-        if large.isEmpty():
-            return leaves, None
-        active = large.join(sets.select("id", "tokens"), "id")
-    large = store(large.select("node", "id", "n"), "large-nodes")
+        larger = found.filter(F.col("n") > NODE)
+        dense = F.lit(depth == DEPTH) | (F.col("n") >= DENSE * F.col("above"))
+        ended = larger.filter(dense).select("node", "id", "n")
+        large = ended if large is None else large.unionByName(ended)
+        larger = larger.filter(~dense)
+        if larger.isEmpty():
+            break
+        active = larger.join(sets.select("id", "tokens"), "id")
+    if large.isEmpty():
+        return leaves, None
+    large = store(large, "large-nodes")
     return leaves.unionByName(cut_with_bridges(large, sets)), large
 
 
@@ -511,6 +519,23 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of ``labels`` with what ``links`` (a, b) join; only links between components go on."""
+    one = labels.select(F.col("id").alias("a"), F.col("label").alias("one"))
+    two = labels.select(F.col("id").alias("b"), F.col("label").alias("two"))
+    ends = F.coalesce("one", "a").alias("one"), F.coalesce("two", "b").alias("two")
+    between = links.join(one, "a", "left").join(two, "b", "left").select(*ends).filter("one <> two")
+    between = between.select(F.least("one", "two").alias("a"), F.greatest("one", "two").alias("b")).distinct()
+    between = store(between, "links-between")
+    if between.isEmpty():
+        return labels
+    joined = components(between)
+    further = joined.select(F.col("id").alias("label"), F.col("label").alias("further"))
+    moved = labels.join(further, "label", "left").select("id", F.coalesce("further", "label").alias("label"))
+    # An id that no link had before stood for itself.
+    return store(moved.unionByName(joined.join(labels, "id", "left_anti").select("id", "label")), "labels")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, trees: int = TREES
 ) -> DataFrame:
@@ -537,23 +562,14 @@ def near_duplicates(
     edges = store(linked(pairs, full, percent), "links")
     # A candidate's two sets are in some forest of its node or in a large node, so ``full`` has all
     # sets asked for here.
-    more, members = open_candidates(nodes, sets, components(edges), least)
-    edges = (
-        edges.unionByName(linked(more, full, percent))
-        .unionByName(linked_in_nodes(members, full, percent))
-        .distinct()
-    )
     labels = components(edges)
+    more, members = open_candidates(nodes, sets, labels, least)
+    labels = merged(labels, linked(more, full, percent).unionByName(linked_in_nodes(members, full, percent)))
     if large is not None:
         far = store(left_over(large, full, labels, percent), "left-over")
         if not far.isEmpty():
             more, members = open_candidates(far, sets, labels, least)
-            edges = (
-                edges.unionByName(linked(more, full, percent))
-                .unionByName(linked_in_nodes(members, full, percent))
-                .distinct()
-            )
-            labels = components(edges)
+            labels = merged(labels, linked(more, full, percent).unionByName(linked_in_nodes(members, full, percent)))
     found = sets.join(labels, "id", "left").select(
         "set_key", F.coalesce("label", "id").alias("component_id")
     )

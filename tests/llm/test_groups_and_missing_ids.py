@@ -221,3 +221,46 @@ def test_components_look_at_few_edges_twice(spark, monkeypatch):
     assert sum(frame.count() for frame in met) <= 2 * len(edges)
     none = near_dedup.components(frame.filter("a < 0"))
     assert none.columns == ["id", "label"] and none.isEmpty()
+
+
+def test_a_family_far_above_a_node_is_not_dealt_again_at_every_level(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE", 64)
+    draw, base = random.Random(12), [f"b{i}" for i in range(100)]
+    texts = {900: " ".join(base)}
+    for i in range(600):
+        words = list(base)
+        for place in (draw.randrange(5, 45), draw.randrange(55, 95)):
+            words[place] = f"n{i}p{place}"
+        texts[i] = " ".join(words)
+    # Two words further from the base than the copies that they are made of.
+    for i in range(10):
+        words = texts[i].split()
+        words[1], words[98] = f"t{i}", f"u{i}"
+        texts[1000 + i] = " ".join(words)
+    plain, dealt = near_dedup.store, []
+
+    def store(frame, name):
+        stored = plain(frame, name)
+        if name.startswith("nodes-"):
+            dealt.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(near_dedup, "store", store)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, 3, 85).collect()}
+    assert found == brute_components(texts, 3, 85)
+    assert sum(dealt) <= 4 * near_dedup.TREES * len(texts)
+
+
+def test_links_are_merged_into_components(spark):
+    draw = random.Random(4)
+    first = [(draw.randrange(300), draw.randrange(300)) for _ in range(120)]
+    second = [(draw.randrange(400), draw.randrange(400)) for _ in range(80)]
+    one, two = (spark.createDataFrame(x, "a long, b long") for x in (first, second))
+    labels = near_dedup.components(one)
+    expected = {r.id: r.label for r in near_dedup.components(one.unionByName(two)).collect()}
+    found = {r.id: r.label for r in near_dedup.merged(labels, two).collect()}
+    assert all(expected[x] == label for x, label in found.items())
+    assert all(found.get(x, x) == label for x, label in expected.items())
+    again = near_dedup.merged(labels, one)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, labels.collect()))
