@@ -16,10 +16,10 @@ of all pairs of a group is made, and no candidate between components goes untest
 
 A set that no token separates from more than ``NODE`` others in ``DEPTH`` levels agrees with them in
 nearly all tokens. So do most sets of a larger node that has kept a share of ``DENSE`` of the node above: it branches no
-further, since every level would hold the same family in half as many nodes again. Such a node is first cut into parts that share some sets as bridges, among them the
-one nearest to the node's commonest tokens, which joins a family of copies of one text. What that leaves is
-met through rare shingles: of the sets of such nodes each lists its rarest shingles, just so many that two
-sets alike enough must share a listed one, and only sets that share one are compared. Texts of one template
+further, since every level would hold the same family in half as many nodes again. Such a node is first cut into
+parts that share some sets as bridges, among them the one nearest to the node's commonest tokens, which joins a family
+of copies of one text. What that leaves is met through rare shingles: of the sets of such nodes each lists its rarest
+shingles, just so many that two sets alike enough must share a listed one, and only sets that share one are compared. Texts of one template
 share its shingles, which are common, and list their own. A listed shingle that more than ``NODE`` sets share
 is compared block against block, each pair of blocks a node of its own, every set outside its largest
 component with all its sets.
