@@ -30,6 +30,7 @@ from shoplens.sources.stages import stage_path, store
 
 LAST = (1 << 63) - 1
 SALTS = 16
+SLICE = 1 << 20  # bytes of text cut into lines at a time, one text at least
 
 
 def line_key(line: str, least: int) -> bytes | None:
@@ -42,7 +43,7 @@ def line_keys(docs: DataFrame, least: int) -> DataFrame:
     """(doc_id, key) for the distinct keys of each row."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             found: list[bytes] = []
             counts = []
             for text in pc.fill_null(part.column("text"), "").to_pylist():
@@ -145,7 +146,7 @@ def unnamed_keys(docs: DataFrame, repeats: DataFrame, least: int) -> DataFrame:
     one task.
     """
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             rows, found = [], []
             for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist()):
                 own = {line_key(line, least) for line in (text or "").split("\n")} - {None}
@@ -184,7 +185,7 @@ def cut_lines(docs: DataFrame, repeats: DataFrame, least: int) -> DataFrame:
     schema.add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(found):
+        for part in slices(found, limit=SLICE):
             lines, dropped, texts = [], [], []
             for text, keys in zip(
                 pc.fill_null(part.column("text"), "").to_pylist(), part.column("keys").to_pylist()

@@ -48,6 +48,7 @@ TOKENS, TREES, NODE, DEPTH, BRIDGES = 64, 10, 1024, 6, 16
 DENSE = 0.75  # of such a node a quarter would be left after the other levels
 GROWTH = 1.3  # children that a pair at the threshold is expected to share
 BLOCK = 1 << 15  # shingles hashed at a time
+SLICE = 1 << 20  # bytes of text at a time, one text at least; their words and windows take some 15 times that
 FILTER = 1 << 22  # bits of the filter over wanted documents
 SPARSE = 4  # candidates per set up to which a node sends pairs
 
@@ -93,7 +94,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, set_key, tokens); key and tokens are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             sets = shingle_sets(part.column("text"), words)
             full = [s for s in sets if len(s)]
             tokens = iter(minwise_tokens(full).view(np.int32)) if full else iter(())
@@ -399,7 +400,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             at = batch.column("place").to_numpy()
             passed = (shared.value[at >> 3] >> (at & 7)) & 1 == 1
-            for part in slices([batch.filter(pa.array(passed))]):
+            for part in slices([batch.filter(pa.array(passed))], limit=SLICE):
                 sets = [s.view(np.int64) for s in shingle_sets(part.column("text"), words)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"]

@@ -141,7 +141,7 @@ def pack_documents(
                 if waiting >= full or len(rests) >= RESTS:
                     rows += close()
             yield table(rows)
-            pa.default_memory_pool().release_unused()
+        model.forget()
         if rests:
             yield table(close())
 

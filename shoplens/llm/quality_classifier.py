@@ -175,7 +175,6 @@ class Evidence:
                         keys.append(place[known] * CELLS + cell)
                 key, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
-                pa.default_memory_pool().release_unused()
 
         rows = docs.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
         cell = F.pmod("key", F.lit(CELLS))
@@ -324,7 +323,6 @@ def featured(docs: DataFrame, labels: Labels, evidence: Evidence) -> DataFrame:
                  pa.array((targets >= 0).any(axis=1) & (fold == 0))],
                 ["doc_id", *(f"view_{v}" for v in VIEWS), *TARGETS, "apart"],
             )
-            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(
         run,
@@ -528,6 +526,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> DataF
             for model in models.values():
                 kept &= model.values(views) > model.limit
             yield part.filter(pa.array(kept))
-            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)

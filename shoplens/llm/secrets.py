@@ -57,6 +57,7 @@ ALLOWED = (
                r"(?![0-9A-Za-z])"),
 )
 REACH = WINDOW // 2
+SLICE = 1 << 20  # bytes of text scanned at a time, one text at least
 PLACEHOLDER = re.compile(
     r"[A-Za-z0-9]{0,%d}?"
     r"(example|sample|dummy|placeholder|changeme|your[_-]?|xxxx|0123456789|abcdefgh)"
@@ -193,7 +194,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, the number of matches of each pattern, their digest, and all spans as text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             counts: list[list[int]] = [[], [], []]
             digests, spans = [], []
             for text in part.column("text").to_pylist():
@@ -229,7 +230,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The same rows and columns, with every secret in ``text`` replaced; a null text stays null."""
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             texts = part.column("text").to_pylist()
             for i, text in enumerate(texts):
                 if text and (spans := find_secrets(text)[1]):

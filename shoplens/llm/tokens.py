@@ -57,10 +57,14 @@ class TextEncoder:
         each = self.ids_of(words.strings(), all_plain)
         return joined(each, words.codes, words.starts)
 
+    def forget(self) -> None:
+        """Empties the cache: a worker may serve other stages next."""
+        self.known.clear()
+        self.held = 0
+
     def ids_of(self, words: list[str], plain: bool) -> list[bytes]:
         if self.held > self.cache:
-            self.known.clear()
-            self.held = 0
+            self.forget()
         known, held = self.known, self.held
         each = list(map(known.get, words))
         missing = [i for i, ids in enumerate(each) if ids is None]

@@ -22,7 +22,10 @@ SPACES = " \t\n\x0b\x0c\r"
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that a slice holds about ``limit`` bytes of text, one text at least."""
+    """The batches cut so that a slice holds about ``limit`` bytes of text, one text at least.
+
+    What Arrow no longer needs goes back to the system after each slice: a worker serves one stage after the other.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -32,6 +35,7 @@ def slices(
         for start, end in zip(cuts, cuts[1:]):
             if end > start:
                 yield batch.slice(start, end - start)
+                pa.default_memory_pool().release_unused()
 
 
 @dataclass

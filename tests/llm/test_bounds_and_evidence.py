@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shoplens.llm import packing, quality_classifier as qc, secrets, tokens
+from shoplens.llm import line_dedup, near_dedup, packing, quality_classifier as qc, secrets, tokens
 
 BIG = "/root/testdata/sf0.1"
 
@@ -200,3 +200,43 @@ def test_long_logs_take_time_in_proportion():
     start = time.perf_counter()
     assert len(secrets.find_secrets(text)[0]) == 40_000 and secrets.find_secrets(run)[1]
     assert time.perf_counter() - start < 30
+
+
+# ---- workers -------------------------------------------------------------------------------------
+
+
+class Rows:
+    """In the place of a frame: ``mapInArrow`` returns the function that a task would run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+@pytest.fixture(scope="module")
+def long_batch():
+    """Six megabytes of text, as one batch."""
+    draw = random.Random(6)
+    texts = [" ".join(f"w{draw.randint(0, 20_000)}" for _ in range(1_000)) for _ in range(1_000)]
+    return pa.RecordBatch.from_arrays([pa.array(range(1_000), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+
+
+@pytest.mark.parametrize("step", [
+    lambda rows: near_dedup.signatures(rows, 5), lambda rows: line_dedup.line_keys(rows, 10), secrets.scan,
+])
+def test_a_task_holds_little_beside_its_batch(spark, long_batch, step):
+    run = step(Rows())
+    tracemalloc.start()
+    seen = [batch.num_rows for batch in run(iter([long_batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(seen) >= long_batch.num_rows and max(seen) < long_batch.num_rows / 3 and peak < 16 << 20
+
+
+def test_packing_leaves_no_words_to_the_next_stage(long_batch):
+    run = packing.pack_documents(Rows(), tokens.word_bpe_path())
+    pieces = sum(batch.num_rows for batch in run(iter([long_batch])))
+    model = tokens.encoder(tokens.word_bpe_path(), packing.WORDS)
+    assert pieces >= long_batch.num_rows and not model.known and not model.held
