@@ -48,7 +48,7 @@ TOKENS, TREES, NODE, DEPTH, BRIDGES = 64, 10, 1024, 6, 16
 DENSE = 0.75  # of such a node a quarter would be left after the other levels
 GROWTH = 1.3  # children that a pair at the threshold is expected to share
 BLOCK = 1 << 15  # shingles hashed at a time
-SLICE = 1 << 20  # bytes of text at a time, one text at least; their words and windows take some 15 times that
+SLICE = 1 << 20  # bytes of text at a time, one text at least; their words and windows take some 20 times that
 FILTER = 1 << 22  # bits of the filter over wanted documents
 SPARSE = 4  # candidates per set up to which a node sends pairs
 
