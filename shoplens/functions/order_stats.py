@@ -8,8 +8,10 @@ unbounded reaches one task and the answer is still exact.
 """
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +100,108 @@ def ordered_keys(
     return out
 
 
+def ordered_values(
+    frame: DataFrame,
+    columns: Sequence[str],
+    positions: Sequence[int],
+    task_rows: int = TASK_ROWS,
+    accuracy: int = SKETCH_ACCURACY,
+) -> dict[str, dict[int, float]]:
+    """The values at the given 0-based positions of each of several double columns (no nulls), each ordered by itself.
+
+    All columns share each pass: one for the sketches, one that counts the values between and at the brackets' ends,
+    and one that gathers those between the two ends around a position. ``frame`` is read several times, so pass a
+    stored table.
+    """
+    positions = sorted(set(positions))
+    if not positions:
+        return {c: {} for c in columns}
+    total = frame.count()
+    if total <= task_rows:
+        found = {c: _gathered(frame, [c], positions) for c in columns}
+        return {c: {p: v for p, (v,) in at.items()} for c, at in found.items()}
+    slack = 2.0 / accuracy
+    shares = [p / (total - 1) for p in positions]
+    asked = [min(1.0, max(0.0, s + d)) for s in shares for d in (-slack, slack)]
+    ends = frame.agg(
+        *[F.percentile_approx(c, asked, accuracy).alias(f"at{i}") for i, c in enumerate(columns)],
+        *[F.min(c).alias(f"least{i}") for i, c in enumerate(columns)],
+        *[F.max(c).alias(f"most{i}") for i, c in enumerate(columns)],
+    ).first()
+    edges = [
+        np.unique(np.array([*ends[f"at{i}"], ends[f"least{i}"], ends[f"most{i}"]], dtype=float))
+        for i in range(len(columns))
+    ]
+
+    def places(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """The values of a column, and 2 * k + 1 for one at the k-th end, 2 * k for one below it and above the last."""
+        values = batch.column(i).to_numpy(zero_copy_only=False).astype(float)
+        sides = (np.searchsorted(edges[i], values, side) for side in ("left", "right"))
+        return values, sum(sides)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = [np.zeros(2 * len(e) + 1, dtype=np.int64) for e in edges]
+        for batch in batches:
+            for i, found in enumerate(sums):
+                found += np.bincount(places(batch, i)[1], minlength=len(found))
+        for i, found in enumerate(sums):
+            arrays = [np.full(len(found), i), np.arange(len(found)), found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()) for a in arrays], ["number", "place", "rows"]
+            )
+
+    values = frame.select(*columns)
+    sizes = [np.zeros(2 * len(e) + 1, dtype=np.int64) for e in edges]
+    sums = values.mapInArrow(counted, "number long, place long, rows long")
+    for row in sums.groupBy("number", "place").agg(F.sum("rows").alias("rows")).collect():
+        sizes[row.number][row.place] = row.rows
+    out: dict[str, dict[int, float]] = {c: {} for c in columns}
+    inner: dict[tuple[int, int], dict[int, int]] = {}
+    for i, c in enumerate(columns):
+        upto = np.cumsum(sizes[i])
+        for p in positions:
+            place = int(np.searchsorted(upto, p, side="right"))
+            if place % 2:
+                out[c][p] = float(edges[i][place // 2])
+            else:
+                inner.setdefault((i, place), {})[p] = p - int(upto[place] - sizes[i][place])
+    for i, place in [at for at in inner if sizes[at[0]][at[1]] > task_rows]:
+        # Too many for one task: brackets of their own.
+        spots, low, high = inner.pop((i, place)), edges[i][place // 2 - 1], edges[i][place // 2]
+        c, value = columns[i], F.col(columns[i])
+        rest = values.select(c).filter((value > F.lit(float(low))) & (value < F.lit(float(high))))
+        found = _narrowed(rest, c, int(sizes[i][place]), sorted(spots.values()), task_rows, accuracy)
+        out[c] |= {p: found[spot] for p, spot in spots.items()}
+    if not inner:
+        return out
+    wanted = [np.array([p for j, p in inner if j == i], dtype=np.int64) for i in range(len(columns))]
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, mine in enumerate(wanted):
+                if len(mine):
+                    found, place = places(batch, i)
+                    kept = np.flatnonzero(np.isin(place, mine))
+                    arrays = [np.full(len(kept), i), place[kept], found[kept]]
+                    kinds = [pa.int64(), pa.int64(), pa.float64()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(a, k) for a, k in zip(arrays, kinds)], ["number", "place", "value"]
+                    )
+
+    def picked(group: pa.Table) -> pa.Table:
+        at = group["number"][0].as_py(), group["place"][0].as_py()
+        ordered = np.sort(group["value"].to_numpy())
+        spots = inner[at]
+        arrays = [np.full(len(spots), at[0]), list(spots), ordered[list(spots.values())]]
+        kinds = [pa.int64(), pa.int64(), pa.float64()]
+        return pa.table([pa.array(a, k) for a, k in zip(arrays, kinds)], names=["number", "position", "value"])
+
+    between = values.mapInArrow(inside, "number long, place long, value double").groupBy("number", "place")
+    for row in between.applyInArrow(picked, "number long, position long, value double").collect():
+        out[columns[row.number]][row.position] = row.value
+    return out
+
+
 def _gathered(frame: DataFrame, columns: Sequence[str], positions: Sequence[int]) -> dict:
     """Rows at the positions of a frame small enough for one task."""
     row = (

@@ -11,9 +11,10 @@ at a random few of the features in each node.
 
 Rows travel once: they are stored as blocks of numpy columns and cached, and each level is one small pass
 over the blocks (hundreds of passes for a boosted model, which is why they are an RDD: planning a query
-for each would take longer than the pass). A task has about ``BLOCK`` rows. Margins, gradients and curvatures
-of boosting are worked out once a round and cached; below the root only the left children are added up, and the
-right ones are what is left of their parents, exact in whole numbers.
+for each would take longer than the pass). A task works through blocks of at most ``BLOCK`` rows, whose columns
+stay in a core's cache. Margins, gradients and curvatures of boosting are worked out once a round and cached; below
+the root only the child of less curvature is added up, and the other one is what is left of its parent, exact in
+whole numbers.
 """
 
 from __future__ import annotations
@@ -29,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.functions.order_stats import ordered_keys
+from shoplens.functions.order_stats import ordered_values
 from shoplens.sources.stages import store
 
 BINS, BLOCK = 64, 1 << 16
 UNIT = 1 << 24
 RESULT = 16 << 20  # bytes of histograms that a task of one pass may hold
 RENEW = 20  # rounds after which margins are worked out from the stored blocks again
+MASKED = 5  # levels of a tree that comparing all rows with each node takes less time than looking up each row's node
+FEW = 32  # tasks whose sums the driver adds up itself
 MASK = 0xFFFFFFFF
 #: Poisson(1) by inversion: how many of these limits a 32-bit draw reaches.
 LIMITS = np.rint(
@@ -51,18 +54,17 @@ def quantile_cuts(frame: DataFrame, features: Sequence[str], bins: int = BINS) -
     ``frame`` is read several times; pass a stored table."""
     rows = frame.count()
     places = sorted({-(-k * rows // bins) - 1 for k in range(1, bins)}) if rows else []
-    cuts = []
-    for name in features:
-        found = ordered_keys(frame.select(F.col(name).cast("double").alias(name)), [name], places)
-        cuts.append(np.unique([found[p][0] for p in places]).astype(float))
-    return cuts
+    values = frame.select(*[F.col(name).cast("double").alias(name) for name in features])
+    found = ordered_values(values, features, places)
+    return [np.unique([found[name][p] for p in places]).astype(float) for name in features]
 
 
 def binned(values: np.ndarray, cuts: Sequence[np.ndarray]) -> np.ndarray:
-    """How many cuts lie below each value; a column per feature."""
-    return np.column_stack(
-        [np.searchsorted(c, values[:, f], side="left") for f, c in enumerate(cuts)]
-    ).astype(np.uint8)
+    """How many cuts lie below each value; a column per feature, each in one piece."""
+    out = np.empty(values.shape, dtype=np.uint8, order="F")
+    for f, c in enumerate(cuts):
+        out[:, f] = np.searchsorted(c, values[:, f], side="left")
+    return out
 
 
 @dataclass
@@ -100,14 +102,26 @@ def blocks_of(
     rows = store(chosen.mapInArrow(run, "keys binary, labels binary, bins binary"), "tree-blocks")
     width = len(features)
 
-    def unpack(some: Iterable) -> Iterator[Block]:
-        found = [(row.keys, row.labels, row.bins) for row in some]
-        if found:
-            keys, labels, bins = (b"".join(parts) for parts in zip(*found))
-            matrix = np.frombuffer(bins, dtype=np.uint8).reshape(-1, width)
-            yield Block(np.frombuffer(keys, dtype="<i8"), np.frombuffer(labels, dtype="i1"), np.asfortranarray(matrix))
+    def joined(pieces: Iterable) -> Block:
+        keys, labels, bins = (b"".join(parts) for parts in zip(*pieces))
+        matrix = np.frombuffer(bins, dtype=np.uint8).reshape(-1, width)
+        return Block(np.frombuffer(keys, dtype="<i8"), np.frombuffer(labels, dtype="i1"), np.asfortranarray(matrix))
 
-    return rows.rdd.mapPartitions(unpack)
+    def unpack(some: Iterable) -> Iterator[Block]:
+        held, size = [], 0
+        for row in some:
+            if held and size + len(row.labels) > BLOCK:
+                yield joined(held)
+                held, size = [], 0
+            held.append((row.keys, row.labels, row.bins))
+            size += len(row.labels)
+        if held:
+            yield joined(held)
+
+    # In whole rounds of tasks: hundreds of passes would each wait for a last round of a few.
+    packed, cores = rows.rdd, train.sparkSession.sparkContext.defaultParallelism
+    parts = packed.getNumPartitions()
+    return (packed.coalesce(parts // cores * cores) if parts > cores else packed).mapPartitions(unpack)
 
 
 # ---- trees -----------------------------------------------------------------------------------------
@@ -132,15 +146,32 @@ class Tree:
         """The last node that each row reaches so far."""
         # A leaf sends its rows to itself; a cut above all bins sends none to the right.
         inner = self.feature >= 0
-        left = np.where(inner, 2 * np.arange(len(inner)), np.arange(len(inner)))
+        kind = np.uint8 if len(inner) <= 256 else np.uint16 if len(inner) <= 1 << 16 else np.int64
+        left = np.where(inner, 2 * np.arange(len(inner)), np.arange(len(inner))).astype(kind)
         cut = np.where(inner, self.cut, 255).astype(np.uint8)
         offset = np.maximum(self.feature, 0) * len(bins)
-        flat, rows = bins.ravel(order="F"), np.arange(len(bins))
-        node = np.ones(len(bins), dtype=np.int64)
+        node = np.ones(len(bins), dtype=kind)
+        flat = rows = None
         for level in range(self.depth):
-            if not inner[1 << level : 2 << level].any():
+            splits = np.flatnonzero(inner[1 << level : 2 << level]) + (1 << level)
+            if not len(splits):
                 break
-            node = left[node] + (flat[offset[node] + rows] > cut[node])
+            if level < MASKED:
+                right = np.zeros(len(bins), dtype=bool)
+                for n in splits.tolist():
+                    here = node == n
+                    here &= bins[:, self.feature[n]] > cut[n]
+                    right |= here
+                node = left.take(node)
+            else:
+                if flat is None:
+                    flat, rows = bins.ravel(order="F"), np.arange(len(bins))
+                at = node.astype(np.intp)
+                place = offset.take(at)
+                place += rows
+                right = flat.take(place) > cut.take(at)
+                node = left.take(at)
+            node += right
         return node
 
 
@@ -197,17 +228,40 @@ def summed(blocks: RDD, count: Callable[[Block], np.ndarray]) -> np.ndarray:
         if total is not None:
             yield total
 
-    return blocks.mapPartitions(partition).treeReduce(np.add)
+    sums = blocks.mapPartitions(partition)
+    return sums.treeReduce(np.add, depth=2 if sums.getNumPartitions() > FEW else 1)
 
 
-def histogram(cells: np.ndarray, bins: np.ndarray, weights: Sequence[np.ndarray], size: int) -> np.ndarray:
-    """(cell, feature, bin, weight): sums of whole numbers below 2**53 per block, exact in doubles."""
+def histogram(
+    cells: np.ndarray, bins: np.ndarray, weights: Sequence[np.ndarray], size: int, rows: np.ndarray | None = None
+) -> np.ndarray:
+    """(cell, feature, bin, weight): sums of whole numbers below 2**53 per block, exact in doubles. ``rows``: those
+    rows of ``bins`` that cells and weights are of, if not all. Two features are counted at once, as
+    pairs of bins, where the table of pairs is not much larger than the rows."""
     width = bins.shape[1]
     out = np.empty((size, width, BINS, len(weights)), dtype=np.int64)
-    for f in range(width):
-        place = cells * BINS + bins[:, f]
+    weights = [w.astype(float) for w in weights]
+    together = 2 if size * BINS * BINS <= 2 * len(cells) else 1
+    start = cells.astype(np.int64) * BINS**together
+    for f in range(0, width, together):
+        columns = [bins[:, g] if rows is None else bins[:, g].take(rows) for g in range(f, min(f + together, width))]
+        if len(columns) == 2:
+            code = columns[0].astype(np.uint16)
+            code *= BINS
+            code += columns[1]
+            columns = [code]
+        elif together == 2:  # the last of an odd number of features
+            columns = [columns[0].astype(np.uint16) * np.uint16(BINS)]
+        place = start + columns[0]
         for w, weight in enumerate(weights):
-            out[:, f, :, w] = np.bincount(place, weight, minlength=size * BINS).reshape(size, BINS)
+            found = np.bincount(place, weight, minlength=size * BINS**together)
+            if together == 1:
+                out[:, f, :, w] = found.reshape(size, BINS)
+                continue
+            pairs = found.reshape(size, BINS, BINS)
+            out[:, f, :, w] = pairs.sum(axis=2)
+            if f + 1 < width:
+                out[:, f + 1, :, w] = pairs.sum(axis=1)
     return out
 
 
@@ -215,11 +269,12 @@ def histogram(cells: np.ndarray, bins: np.ndarray, weights: Sequence[np.ndarray]
 
 
 def steps_of(block: Block, margins: np.ndarray, positive: float) -> list[np.ndarray]:
-    """Gradient and curvature of each row's loss in whole units."""
+    """Gradient and curvature of each row's loss in whole units, in four bytes where they fit."""
     p = 1 / (1 + np.exp(-margins))
     weight = np.where(block.labels == 1, positive, 1.0)
     first, second = weight * (p - block.labels), weight * (p * (1 - p))
-    return [np.floor(x * UNIT + 0.5) for x in (first, second)]
+    kind = np.int32 if (max(positive, 1.0) + 1) * UNIT < 1 << 31 else float
+    return [np.floor(x * UNIT + 0.5).astype(kind) for x in (first, second)]
 
 
 def boost_level(sums: np.ndarray, penalty: float, least: float) -> list[tuple[float, int, int] | None]:
@@ -261,25 +316,31 @@ def boost(
         source, trees = (base, list(model.trees)) if number % RENEW == 0 else (older, model.trees[-1:])
         current = source.map(lambda b, trees=trees: advanced(b, trees)).persist(StorageLevel.MEMORY_AND_DISK)
         tree = Tree(depth)
-        above = np.empty(0)
+        above, counted = np.empty(0), np.zeros(2 << depth, dtype=np.int64)
         for level in range(depth):
             first = 1 << level
 
-            def count(block: Block, tree=tree, first=first) -> np.ndarray:
-                node = tree.nodes(block.bins)
-                # The root, then left children: even numbers.
-                chosen = np.flatnonzero((node >= first) & ((node & 1 == 0) | (first == 1)))
-                return histogram(
-                    (node[chosen] - first) >> 1, block.bins[chosen], [w[chosen] for w in block.steps],
-                    max(first >> 1, 1),
-                )
+            # Of the children of each node that was split the one to add up, by the place of the node on its level.
+            parents = np.flatnonzero(tree.feature[first >> 1 : first] >= 0) if level else np.empty(0, np.int64)
+            spot = np.full(2 << depth, -1)
+            spot[counted[parents + (first >> 1)]] = parents
+
+            def count(block: Block, tree=tree, first=first, spot=spot) -> np.ndarray:
+                if first == 1:
+                    return histogram(np.zeros(len(block.labels), np.int64), block.bins, block.steps, 1)
+                cell = spot.take(tree.nodes(block.bins))
+                chosen = np.flatnonzero(cell >= 0)
+                weights = [w.take(chosen) for w in block.steps]
+                return histogram(cell.take(chosen), block.bins, weights, first >> 1, chosen)
 
             sums = summed(current, count)
             if level:
                 # Children of a leaf have no rows.
                 split = tree.feature[first >> 1 : first] >= 0
-                right = np.where(split[:, None, None, None], above - sums, 0)
-                sums = np.stack([sums, right], axis=1).reshape(first, *sums.shape[1:])
+                other = np.where(split[:, None, None, None], above - sums, 0)
+                right = (counted[first >> 1 : first] & 1 == 1)[:, None, None, None]
+                pair = [np.where(right, other, sums), np.where(right, sums, other)]
+                sums = np.stack(pair, axis=1).reshape(first, *sums.shape[1:])
             above = sums
             for node, split in enumerate(boost_level(sums, penalty, least), first):
                 whole = sums[node - first, 0].sum(axis=0).astype(float) / UNIT
@@ -291,6 +352,7 @@ def boost(
                 model.gains[f] += gain
                 model.splits[f] += 1
                 left = sums[node - first, f, : cut + 1].sum(axis=0).astype(float) / UNIT
+                counted[node] = 2 * node + int(left[1] > whole[1] - left[1])
                 for child, (g, h) in ((2 * node, left), (2 * node + 1, whole - left)):
                     tree.value[child] = -step * g / (h + penalty)
             if level == 0 and older is not base:
@@ -308,18 +370,29 @@ def boost(
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """32 well-spread bits of 32-bit numbers."""
-    x = x & np.uint64(MASK)
+    x = (x & np.uint64(MASK)).astype(np.uint32)  # products wrap
     for _ in range(2):
-        x = ((x ^ (x >> np.uint64(16))) * np.uint64(0x45D9F3B)) & np.uint64(MASK)
-    return x ^ (x >> np.uint64(16))
+        x = (x ^ (x >> np.uint32(16))) * np.uint32(0x45D9F3B)
+    return x ^ (x >> np.uint32(16))
 
 
-def copies(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
-    """How often a tree's bootstrap has each row: Poisson(1) from a hash of key, seed and tree."""
+def seeds(keys: np.ndarray, seed: int) -> np.ndarray:
+    """What the draws of all trees for a row start from."""
     keys = keys.astype(np.int64).view(np.uint64)
-    own = mixed((keys ^ (keys >> np.uint64(32))) + np.uint64(seed))
+    return mixed((keys ^ (keys >> np.uint64(32))) + np.uint64(seed))
+
+
+def drawn(own: np.ndarray, tree: int) -> np.ndarray:
     draw = mixed(own + np.uint64(tree * 0x9E3779B1 & MASK))
-    return np.searchsorted(LIMITS, draw, side="right").astype(np.int64)
+    times = np.zeros(len(draw), dtype=np.uint8)
+    for limit in LIMITS[LIMITS <= MASK]:
+        times += draw >= np.uint32(limit)
+    return times
+
+
+def copies(keys: np.ndarray, tree: int, seed: int) -> np.ndarray:
+    """How often a tree's bootstrap has each row: Poisson(1) from a hash of key, seed and tree."""
+    return drawn(seeds(keys, seed), tree).astype(np.int64)
 
 
 def feature_order(tree: int, nodes: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -396,16 +469,20 @@ def grow_forest(
             some, todo = todo[:together], todo[together:]
 
             def count(held: Iterable[Block], some=some, first=first) -> Iterator[tuple[int, np.ndarray]]:
-                held = list(held)
-                for number, tree, nodes in some:
-                    for block in held:
-                        node, times = tree.nodes(block.bins), copies(block.keys, number, seed)
-                        mine = np.flatnonzero((node >= first) & (times > 0))
-                        place, bins, weight = np.searchsorted(nodes, node[mine]), block.bins[mine], times[mine]
-                        one = np.where(block.labels[mine] == 1, weight, 0)
-                        zero = np.where(block.labels[mine] == 0, weight, 0)
-                        sums = histogram(place, bins, [zero, one], len(nodes))
-                        yield number, sums.astype(np.min_scalar_type(-1 - int(sums.max(initial=0))))
+                total = {}
+                for block in held:
+                    own, labels = seeds(block.keys, seed), block.labels.view(np.uint8)
+                    for number, tree, nodes in some:
+                        spot = np.full(2 << tree.depth, -1)
+                        spot[nodes] = np.arange(len(nodes))
+                        cell, times = spot.take(tree.nodes(block.bins)), drawn(own, number)
+                        mine = np.flatnonzero((cell >= 0) & (times > 0) & (labels < 2))
+                        cells = 2 * cell.take(mine) + labels.take(mine)
+                        sums = histogram(cells, block.bins, [times.take(mine)], 2 * len(nodes), mine)
+                        total[number] = total[number] + sums if number in total else sums
+                for number, sums in total.items():
+                    sums = np.moveaxis(sums.reshape(-1, 2, width, BINS), 1, 3)
+                    yield number, sums.astype(np.min_scalar_type(-1 - int(sums.max(initial=0))))
 
             def decide(found: tuple[int, np.ndarray], some=some) -> tuple[int, list]:
                 """For each node its rows by class, and its split with the rows by class left of it."""

@@ -141,3 +141,65 @@ def test_a_boosting_task_has_a_block_of_rows_even_if_they_come_in_one_partition(
     cuts = trees.quantile_cuts(table, FEATURES)
     blocks = trees.blocks_of(table.coalesce(1), "id", "y", FEATURES, cuts)
     assert blocks.map(lambda b: len(b.keys)).collect() == [300] * 3
+
+
+def test_cuts_of_more_features_take_no_more_passes(spark):
+    """Each feature had a sketch, a count and a gathering of its own."""
+    x = F.xxhash64("id")
+    frame = spark.range(260_000).select(
+        (x % 1000 / 7).alias("a"), F.when(x % 3 == 0, 1.0).otherwise(x % 50_000 / 3).alias("b"), F.rand(1).alias("c"),
+        F.lit(2.0).alias("d"),
+    ).persist()
+    values, context, jobs = frame.toPandas(), spark.sparkContext, []
+    for features in (["a"], ["a", "b", "c", "d"]):
+        context.setJobGroup(f"cuts-{len(features)}", "")
+        cuts = trees.quantile_cuts(frame, features)
+        jobs.append(len(context.statusTracker().getJobIdsForGroup(f"cuts-{len(features)}")))
+        for name, found in zip(features, cuts):
+            ordered = np.sort(values[name].to_numpy())
+            assert found.tolist() == np.unique([ordered[-(-k * 260_000 // 64) - 1] for k in range(1, 64)]).tolist()
+    context.setJobGroup("", "")
+    frame.unpersist()
+    assert jobs[1] <= jobs[0] + 1
+
+
+def test_a_task_of_many_rows_works_through_blocks(spark, table, monkeypatch):
+    """Files packed into one task made one block, whose columns left the caches."""
+    monkeypatch.setattr(trees, "BLOCK", 100)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        blocks = trees.blocks_of(table, "id", "y", FEATURES, trees.quantile_cuts(table, FEATURES))
+        sizes = blocks.map(lambda b: len(b.keys)).glom().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(sizes) < 9 and sum(map(sum, sizes)) == 900 and max(map(max, sizes)) <= 100
+
+
+@pytest.mark.parametrize("rows, size, width", [(20_000, 2, 3), (300, 5, 4), (0, 3, 2)])
+def test_histograms_of_chosen_rows_equal_a_count_one_by_one(rows, size, width):
+    rng = np.random.default_rng(rows)
+    bins = np.asfortranarray(rng.integers(0, trees.BINS, (rows, width)).astype(np.uint8))
+    chosen = np.flatnonzero(rng.random(rows) < 0.6)
+    for some in (None, chosen):
+        mine = bins if some is None else bins[some]
+        cells, weight = rng.integers(0, size, len(mine)), rng.integers(-(2**30), 2**30, len(mine)).astype(np.int32)
+        expected = np.zeros((size, width, trees.BINS, 2), dtype=np.int64)
+        for f in range(width):
+            np.add.at(expected[..., 0], (cells, f, mine[:, f]), weight)
+            np.add.at(expected[..., 1], (cells, f, mine[:, f]), 1)
+        found = trees.histogram(cells, bins, [weight, np.ones(len(mine), np.uint8)], size, some)
+        assert (found == expected).all()
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_only_the_child_of_less_curvature_is_added_up(table, monkeypatch, sign):
+    """Left children were, however many rows they had."""
+    table, seen = table.withColumns({c: sign * F.col(c) for c in FEATURES}), []
+    summed = trees.summed
+    monkeypatch.setattr(trees, "summed", lambda blocks, count: seen.append(summed(blocks, count)) or seen[-1])
+    tree = boosted(table, rounds=1, depth=2).trees[0]
+    root, below = (sums[0, 0].sum(axis=0) for sums in seen)
+    left = seen[0][0, tree.feature[1], : tree.cut[1] + 1].sum(axis=0)
+    assert below.tolist() == min((left.tolist(), (root - left).tolist()), key=lambda s: s[1])
