@@ -127,3 +127,16 @@ def test_exact_silhouette_is_null_beside_a_row_without_features(spark):
     missing = labelled.withColumn("Recency", F.when(F.col("CustomerID") > 0, F.col("Recency")))
     missing = missing.withColumn("A", F.when(F.col("CustomerID") > 0, F.col("A")))
     assert clustering.silhouettes(missing, ["A"], 10) == {"A": None}
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_distances_of_two_blocks_are_taken_once_for_both(spark, groups):
+    """Each pair came twice, once for either block."""
+    blocks = spark.range(0, 23, 1, 4).select(F.monotonically_increasing_id().alias("block"), F.col("id").alias("points"))
+    blocks = spark.createDataFrame(blocks.collect(), blocks.schema)
+    pairs = clustering.block_pairs(blocks, groups)
+    met = [tuple(sorted((r.points, r.o_points))) for r in pairs.collect()]
+    assert len(met) == len(set(met)) == 23 * 24 // 2
+    assert "CartesianProduct" in pairs._jdf.queryExecution().toString()
+    own = pairs.filter("block < o_block").count()
+    assert 23 * 22 / 8 < own < 23 * 22 * 3 / 8
